@@ -317,7 +317,8 @@ class Preparation:
 
     def apply(self, df: DataFrame, scale: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
         """The features, filled and scaled, next to the columns to keep."""
-        filled = impute(coerce_numeric(df), {f: self.fills.get(f) for f in self.features})
+        numbers = coerce_numeric(df, keep=(*TEXT_COLUMNS, *keep))
+        filled = impute(numbers, {f: self.fills.get(f) for f in self.features})
         columns = [F.col(c) for c in keep]
         for f in self.features:
             value = F.col(f)

@@ -1,6 +1,6 @@
 """All named queries, in the order of the operator groups."""
 
-from afterplay.plans import queries_rows  # noqa: F401
+from afterplay.plans import queries_rows, queries_players, queries_split, queries_prepare  # noqa: F401  # isort: skip
 from afterplay.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -70,7 +70,7 @@ def label_ctes(events: str, horizon: Horizon, prefix: str = "") -> str:
 def feature_ctes(events: str, horizon: Horizon, prefix: str = "") -> str:
     """The label CTEs and ``features``: labels with all features, unrounded."""
     p = prefix
-    gap = int(horizon.gap.total_seconds())
+    gap = int(horizon.gap.total_seconds()) * 1_000_000
     amount = "CAST(score AS DECIMAL(18,2))"
     return f"""{label_ctes(events, horizon, prefix)},
 {p}plays AS (
@@ -96,7 +96,7 @@ def feature_ctes(events: str, horizon: Horizon, prefix: str = "") -> str:
     SELECT player_id, count(*) AS n,
            CASE WHEN count(*) > 1 THEN CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 3600000000
                 ELSE 0.0 END AS hours,
-           CASE WHEN count(*) > 1 THEN CAST(count(*) FILTER (WHERE pause <= {gap} * 1000000) AS DOUBLE)
+           CASE WHEN count(*) > 1 THEN CAST(count(*) FILTER (WHERE pause <= {gap}) AS DOUBLE)
                 / (count(*) - 1) ELSE 0.0 END AS close_ratio
     FROM {p}plays GROUP BY player_id),
 {p}buys AS (

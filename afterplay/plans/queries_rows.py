@@ -362,7 +362,7 @@ def drop_columns(spark, folder):
 
 
 def _shown(name: str) -> str:
-    return f"""CAST(CAST("{name}" AS DECIMAL(18,2)) AS VARCHAR)"""
+    return f"""CAST(CAST(floor("{name}" * 100 + 0.5) / 100 AS DECIMAL(18,2)) AS VARCHAR)"""
 
 
 _SHORT_SQL = " || ', ' || ".join(f"'{label}: ' || {_shown(name)}" for label, name in PROMPT_FEATURES.items())
@@ -386,7 +386,7 @@ _AFTER = ". Will the player stop playing in the next 10 days?"
 )
 def feature_prompt_query(spark, folder):
     def shown(name: str) -> Column:
-        return F.col(name).cast("decimal(18,2)")
+        return round_half_up(F.col(name), 2).cast("decimal(18,2)")
 
     several = ("playCount", "bestScore", "worstScore", "activeDuration", "purchaseCount", "highestPrice")
     return race_table(spark, folder).select(
