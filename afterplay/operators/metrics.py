@@ -10,6 +10,8 @@ from afterplay.operators.hot import input_bytes
 # Metric names in report order; the first one ranks models.
 METRICS = ("roc_auc", "accuracy", "precision", "recall", "f1_score")
 
+CELLS = ("tp", "fp", "fn", "tn")
+
 _SMALL_TABLE = 128 << 20
 _BANDS = 256
 
@@ -25,60 +27,77 @@ def confusion(predictions: DataFrame, *by: str, label: str = "label", prediction
     return predictions.groupBy(*by).agg(*cells) if by else predictions.agg(*cells)
 
 
-def classification_metrics(
-    predictions: DataFrame, *by: str, label: str = "label", prediction: str = "prediction"
-) -> DataFrame:
-    """Accuracy, precision, recall and F1; a division by zero gives 0."""
+def _threshold_metrics() -> list[Column]:
+    """Accuracy, precision, recall and F1 of the four cells; a division by zero gives 0."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return confusion(predictions, *by, label=label, prediction=prediction).select(
-        *by,
-        "tp",
-        "fp",
-        "fn",
-        "tn",
+    return [
         ratio_or_zero(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         ratio_or_zero(tp, tp + fp).alias("precision"),
         ratio_or_zero(tp, tp + fn).alias("recall"),
         ratio_or_zero(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
-    )
+    ]
+
+
+def classification_metrics(
+    predictions: DataFrame, *by: str, label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    cells = confusion(predictions, *by, label=label, prediction=prediction)
+    return cells.select(*by, *CELLS, *_threshold_metrics())
 
 
 def roc_auc(predictions: DataFrame, *by: str, label: str = "label", score: str = "score") -> DataFrame:
-    """Exact area under the ROC curve; equal scores count half, one class alone gives null.
+    """Exact area under the ROC curve; equal scores count half, one class alone gives null."""
+    rows = predictions.withColumn("_none", F.lit(0))
+    return evaluate(rows, *by, label=label, prediction="_none", score=score).select(*by, "roc_auc")
+
+
+def evaluate(
+    predictions: DataFrame, *by: str, label: str = "label", prediction: str = "prediction", score: str = "score"
+) -> DataFrame:
+    """One wide row per group with every metric, from one pass over the predictions.
 
     Rows shrink to counts per distinct score first. A large table has its scores banded by
     approximate quantiles, each band is summed up by a task of its own, and bands are
-    joined with the number of positives above them: no task sees all scores.
+    joined with the number of positives above them: no task sees all scores. Rows without
+    a score count for the threshold metrics only.
     """
     keys = list(by)
-    rows = predictions.select(*keys, F.col(label).alias("y"), F.col(score).cast("double").alias("s")).filter(
-        F.col("s").isNotNull() & F.col("y").isNotNull()
-    )
+    truth, guess = F.col("y") == 1, F.col("p") == 1
+    rows = predictions.select(
+        *keys, F.col(label).alias("y"), F.col(prediction).alias("p"), F.col(score).cast("double").alias("s")
+    ).filter(F.col("y").isNotNull())
+    ranked = F.col("s").isNotNull()
     counts = rows.groupBy(*keys, "s").agg(
-        F.sum((F.col("y") == 1).cast("bigint")).alias("pos"), F.sum((F.col("y") != 1).cast("bigint")).alias("neg")
+        F.count_if(ranked & truth).alias("pos"),
+        F.count_if(ranked & ~truth).alias("neg"),
+        F.count_if(truth & guess).alias("tp"),
+        F.count_if(~truth & guess).alias("fp"),
+        F.count_if(truth & ~guess).alias("fn"),
+        F.count_if(~truth & ~guess).alias("tn"),
     )
     banded = counts.withColumn("band", _band_of(rows))
     inside = Window.partitionBy(*keys, "band").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
     # Doubled, so that the halves for ties stay whole numbers.
     twice = F.col("neg") * (2 * F.coalesce(F.sum("pos").over(inside), F.lit(0)) + F.col("pos"))
+    sums = [F.sum(c).alias(c) for c in ("pos", "neg", *CELLS)]
     bands = (
         banded.withColumn("twice", twice.cast("decimal(38,0)"))
         .groupBy(*keys, "band")
-        .agg(F.sum("twice").alias("twice"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .agg(F.sum("twice").alias("twice"), *sums)
     )
     above = Window.partitionBy(*keys).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
     joined = F.col("twice") + 2 * F.col("neg").cast("decimal(18,0)") * F.coalesce(
         F.sum("pos").over(above), F.lit(0)
     ).cast("decimal(18,0)")
-    totals = [
-        F.sum("joined").cast("double").alias("twice"),
-        F.sum("pos").cast("double").alias("pos"),
-        F.sum("neg").cast("double").alias("neg"),
-    ]
-    summed = bands.withColumn("joined", joined.cast("decimal(38,0)"))
-    summed = summed.groupBy(*keys).agg(*totals) if keys else summed.agg(*totals)
-    area = F.col("twice") / (2 * F.col("pos") * F.col("neg"))
-    return summed.select(*keys, F.when((F.col("pos") > 0) & (F.col("neg") > 0), area).alias("roc_auc"))
+    summed = bands.withColumn("twice", joined.cast("decimal(38,0)")).groupBy(*keys)
+    totals = summed.agg(F.sum("twice").cast("double").alias("twice"), *sums)
+    area = F.col("twice") / (2.0 * F.col("pos") * F.col("neg"))
+    return totals.select(
+        *keys,
+        F.when((F.col("pos") > 0) & (F.col("neg") > 0), area).alias("roc_auc"),
+        *_threshold_metrics(),
+        *CELLS,
+    )
 
 
 def _band_of(rows: DataFrame) -> Column:
@@ -87,19 +106,9 @@ def _band_of(rows: DataFrame) -> Column:
         return F.lit(0)
     shares = [i / _BANDS for i in range(1, _BANDS)]
     cuts = sorted(set(rows.agg(F.percentile_approx("s", shares, 20 * _BANDS)).first()[0] or ()))
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("s"))) if cuts else F.lit(0)
-
-
-def evaluate(
-    predictions: DataFrame, *by: str, label: str = "label", prediction: str = "prediction", score: str = "score"
-) -> DataFrame:
-    """One wide row per group with every metric."""
-    keys = list(by)
-    threshold = classification_metrics(predictions, *keys, label=label, prediction=prediction)
-    areas = roc_auc(predictions, *keys, label=label, score=score)
-    if keys:
-        return threshold.join(areas, keys, "left")
-    return threshold.withColumn("one", F.lit(1)).join(areas.withColumn("one", F.lit(1)), "one").drop("one")
+    if not cuts:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("s")))
 
 
 def melt_metrics(wide: DataFrame, *by: str, metrics: tuple[str, ...] = METRICS) -> DataFrame:

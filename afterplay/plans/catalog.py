@@ -7,6 +7,7 @@ from afterplay.plans import (  # noqa: F401  # isort: skip
     queries_split,
     queries_prepare,
     queries_metrics,
+    queries_models,
     queries_profile,
 )
 from afterplay.plans.registry import REGISTRY

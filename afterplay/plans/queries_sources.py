@@ -193,7 +193,9 @@ def explode_match_players_query(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("score"),
         F.col("l_linenumber").alias("team"),
     )
-    matches = lines.groupBy("l_orderkey").agg(F.collect_list(player).alias("players"))
+    # At most 1000 lines a document, however many an order has.
+    part = F.floor(F.col("l_linenumber") / 1000).alias("part")
+    matches = lines.groupBy("l_orderkey", part).agg(F.collect_list(player).alias("players"))
     text = F.to_json(F.create_map(F.col("l_orderkey").cast("string"), F.col("players")))
     documents = matches.select(text.alias("document"))
     players = explode_match_players(explode_keyed_document(documents, MATCH_PLAYERS))
