@@ -7,8 +7,9 @@ table of any size takes no shuffle and no join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import combinations
+from math import isfinite
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -338,58 +339,126 @@ def scaling_of(df: DataFrame, columns: list[str]) -> tuple[dict[str, float], dic
     return means, {c: row[f"s_{c}"] or 1.0 for c in columns}
 
 
-def select_features(df: DataFrame, target: str = "churned", threshold: float = COLLINEAR_ABOVE) -> Preparation:
-    """Drop ids, constants and collinear columns; learn the fills. No scaling yet."""
-    numbers = coerce_numeric(df)
-    ids = detect_id_columns(df)
-    candidates = [c for c in df.columns if c != target and c not in ids]
-    fills = _fills(numbers, candidates)
-    filled = impute(numbers, fills)
-    constants = constant_columns(filled, candidates)
-    varying = [c for c in candidates if c not in constants]
-    collinear = []
-    if len(varying) > 1:
-        drops = collinear_drops(correlation_pairs(filled, varying), threshold)
-        collinear = sorted(r.column_name for r in drops.collect())
-    kept = [c for c in varying if c not in collinear]
-    dropped = {"id": ids, "constant": constants, "collinear": collinear}
-    return Preparation(kept, {c: fills[c] for c in kept}, dropped=dropped)
+def with_scaling(train: DataFrame, chosen: Preparation) -> Preparation:
+    filled = impute(coerce_numeric(train), chosen.fills)
+    means, deviations = scaling_of(filled, chosen.features)
+    return replace(chosen, means=means, deviations=deviations)
+
 
+@dataclass(frozen=True)
+class _Extent:
+    """Number of values of a column, of gaps, and the range and mean of the values."""
 
-def _fills(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    """Medians of the columns that have gaps; the others need none."""
-    missing = {r.column_name for r in dirty_counts(df, columns).collect() if r.missing} if columns else set()
-    medians = exact_medians(df, [c for c in columns if c in missing])
-    return {c: medians.get(c) for c in columns}
+    n: int
+    missing: int
+    low: float | None
+    high: float | None
+    mean: float
 
+    @property
+    def is_constant(self) -> bool:
+        return self.low is None or self.low == self.high
 
-def fit_preparation(train: DataFrame, target: str = "churned", threshold: float = COLLINEAR_ABOVE) -> Preparation:
-    """Learn selection, fills and scaling from the training table alone."""
-    chosen = select_features(train, target, threshold)
-    if not chosen.features:
-        raise ValueError("no feature columns remain")
-    return with_scaling(train, chosen)
+    @property
+    def could_hardly_vary(self) -> bool:
+        """With this range, two values alone might stay below the smallest variance."""
+        return not self.is_constant and (self.high - self.low) ** 2 < 2 * TINY_VARIANCE * (self.n + self.missing)
 
 
-def with_scaling(train: DataFrame, chosen: Preparation) -> Preparation:
-    filled = impute(coerce_numeric(train), chosen.fills)
-    means, deviations = scaling_of(filled, chosen.features)
-    return Preparation(chosen.features, chosen.fills, means, deviations, chosen.dropped)
+def _extents(df: DataFrame, columns: list[str]) -> dict[str, _Extent]:
+    values = {c: not_nan(F.col(c).cast("double")) for c in columns}
+    aggregates = [F.count(F.lit(1)).alias("rows")]
+    for i, v in enumerate(values.values()):
+        aggregates += [
+            F.count(v).alias(f"n{i}"),
+            F.min(v).alias(f"lo{i}"),
+            F.max(v).alias(f"hi{i}"),
+            F.avg(v).alias(f"m{i}"),
+        ]
+    row = df.agg(*aggregates).first()
+    return {
+        c: _Extent(row[f"n{i}"], row["rows"] - row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"m{i}"] or 0.0)
+        for i, c in enumerate(columns)
+    }
+
+
+@dataclass(frozen=True)
+class _Moments:
+    means: dict[str, float]
+    deviations: dict[str, float]
+    correlations: dict[tuple[str, str], float]
+
+
+def _moments(df: DataFrame, centers: dict[str, float]) -> _Moments:
+    """Means, deviations and all correlations of columns without gaps, in one pass.
+
+    Plain sums of products about a known center: one number per pair, and none of the
+    cancellation that sums about zero would suffer.
+    """
+    columns = list(centers)
+    shifted = {c: F.col(c).cast("double") - F.lit(centers[c]) for c in columns}
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(shifted[c]).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.sum(shifted[a] * shifted[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
+    ).first()
+    n = row["n"]
+    offsets = {c: (row[f"s{i}"] or 0.0) / max(n, 1) for i, c in enumerate(columns)}
+    joint = {
+        (a, b): (row[f"p{i}"] or 0.0) / max(n, 1) - offsets[a] * offsets[b] for i, (a, b) in enumerate(pairs)
+    }
+    spread = {c: max(joint[c, c], 0.0) ** 0.5 for c in columns}
+    correlations = {
+        (a, b): joint[a, b] / (spread[a] * spread[b]) for a, b in pairs if a != b and spread[a] and spread[b]
+    }
+    means = {c: centers[c] + offsets[c] for c in columns}
+    return _Moments(means, {c: spread[c] or 1.0 for c in columns}, correlations)
+
+
+def fit_preparation(train: DataFrame, target: str = "churned", threshold: float = COLLINEAR_ABOVE) -> Preparation:
+    """Drop ids, constants and collinear columns; learn fills and scaling.
+
+    Two passes over the table, and one more for the medians of columns with gaps. A median
+    lies within the range of its column, so filling changes no range.
+    """
+    numbers = coerce_numeric(train)
+    ids = detect_id_columns(train)
+    candidates = [c for c in train.columns if c != target and c not in ids]
+    extents = _extents(numbers, candidates) if candidates else {}
+    medians = exact_medians(numbers, [c for c, e in extents.items() if e.missing and e.n])
+    fills = {c: medians.get(c) for c in candidates}
+    filled = impute(numbers, fills)
+    doubtful = [c for c, e in extents.items() if e.could_hardly_vary]
+    constants = [c for c, e in extents.items() if e.is_constant] + constant_columns(filled, doubtful)
+    varying = [c for c in candidates if c not in constants]
+    if not varying:
+        raise ValueError("no feature columns remain")
+    centers = {c: extents[c].mean if isfinite(extents[c].mean) else 0.0 for c in varying}
+    moments = _moments(filled, centers)
+    collinear = sorted({max(pair) for pair, r in moments.correlations.items() if abs(r) > threshold})
+    kept = [c for c in varying if c not in collinear]
+    return Preparation(
+        kept,
+        {c: fills[c] for c in kept},
+        {c: moments.means[c] for c in kept},
+        {c: moments.deviations[c] for c in kept},
+        {"id": ids, "constant": constants, "collinear": collinear},
+    )
 
 
 def fit_separately(
     train: DataFrame, held_out: DataFrame, target: str = "churned", threshold: float = COLLINEAR_ABOVE
 ) -> tuple[Preparation, Preparation]:
     """Clean each table by itself, keep the shared features, scale both as the training table."""
-    first, second = (select_features(df, target, threshold) for df in (train, held_out))
+    first, second = (fit_preparation(df, target, threshold) for df in (train, held_out))
     shared = [c for c in first.features if c in second.features]
     if not shared:
         raise ValueError("no common features")
-    fitted = with_scaling(train, Preparation(shared, {c: first.fills[c] for c in shared}, dropped=first.dropped))
-    other = Preparation(
-        shared, {c: second.fills[c] for c in shared}, fitted.means, fitted.deviations, second.dropped
+    means, deviations = ({c: d[c] for c in shared} for d in (first.means, first.deviations))
+    return tuple(
+        Preparation(shared, {c: p.fills[c] for c in shared}, means, deviations, p.dropped) for p in (first, second)
     )
-    return fitted, other
 
 
 # Checks ---------------------------------------------------------------------------------
@@ -459,9 +528,28 @@ def passes_gate(gate: DataFrame) -> bool:
     return gate.filter("outcome = 'fail'").isEmpty()
 
 
-def matrix_problems(
+@dataclass(frozen=True)
+class MatrixCheck:
+    """What is wrong with a matrix, and its rows per class."""
+
+    problems: list[str]
+    zeros: int = 0
+    ones: int = 0
+
+    @property
+    def concerns(self) -> list[str]:
+        few, many = sorted((self.zeros, self.ones))
+        found = []
+        if few < MIN_CLASS_ROWS:
+            found.append(f"a class has {few} rows")
+        if many and few / many < MIN_CLASS_RATIO:
+            found.append(f"classes are {few} to {many}")
+        return found
+
+
+def check_matrix(
     df: DataFrame, columns: list[str], target: str | None = None, fitted: list[str] | None = None
-) -> list[str]:
+) -> MatrixCheck:
     """Reasons not to train on or predict from a table; none for a sound one.
 
     The schema is checked first, so a table of the wrong shape costs no job.
@@ -473,22 +561,35 @@ def matrix_problems(
         problems.append(f"features differ, missing {missing}, extra {extra}")
     text = [c for c in columns if c not in numeric_columns(df)]
     if text:
-        return [*problems, f"not numeric: {text}"]
-    found = matrix_validation(df, columns, target).collect()
-    return problems + [f"{r.check_name}: {r.column_name}" for r in found if r.failed]
+        problems.append(f"not numeric: {text}")
+    if problems:
+        return MatrixCheck(problems)
+    aggregates, checks = _matrix_checks(columns, target)
+    row = df.agg(*aggregates).select("*", F.array(*[c.alias("c") for _, _, c in checks]).alias("failed")).first()
+    problems = [f"{name}: {c}" for (name, c, _), failed in zip(checks, row.failed) if failed]
+    return MatrixCheck(problems, row.t_zero, row.t_one) if target else MatrixCheck(problems)
 
 
 def matrix_validation(df: DataFrame, columns: list[str], target: str | None = None) -> DataFrame:
     """All data checks of a matrix in one pass: rows, gaps, infinities, a 0/1 target with both."""
+    aggregates, checks = _matrix_checks(columns, target)
+    structs = [
+        F.struct(F.lit(name).alias("check_name"), F.lit(c).alias("column_name"), failed.alias("failed"))
+        for name, c, failed in checks
+    ]
+    return df.agg(*aggregates).select(F.inline(F.array(*structs)))
+
+
+def _matrix_checks(columns: list[str], target: str | None) -> tuple[list[Column], list[tuple[str, str, Column]]]:
     aggregates = [F.count(F.lit(1)).alias("rows")]
-    rows = [("empty", "*", F.col("rows") == 0)]
+    checks = [("empty", "*", F.col("rows") == 0)]
     for c in columns:
         value = F.col(c).cast("double")
         aggregates += [
             F.count_if(value.isNull() | F.isnan(value)).alias(f"n_{c}"),
             F.count_if(is_infinite(value)).alias(f"i_{c}"),
         ]
-        rows += [("missing", c, F.col(f"n_{c}") > 0), ("infinite", c, F.col(f"i_{c}") > 0)]
+        checks += [("missing", c, F.col(f"n_{c}") > 0), ("infinite", c, F.col(f"i_{c}") > 0)]
     if target is not None:
         label = F.col(target).cast("double")
         aggregates += [
@@ -497,12 +598,8 @@ def matrix_validation(df: DataFrame, columns: list[str], target: str | None = No
             F.count_if(label == 1).alias("t_one"),
         ]
         only_both = (F.col("t_zero") > 0) & (F.col("t_one") > 0) & (F.col("t_zero") + F.col("t_one") == F.col("rows"))
-        rows += [("missing", target, F.col("t_null") > 0), ("not_binary", target, ~only_both)]
-    structs = [
-        F.struct(F.lit(name).alias("check_name"), F.lit(c).alias("column_name"), failed.alias("failed"))
-        for name, c, failed in rows
-    ]
-    return df.agg(*aggregates).select(F.inline(F.array(*structs)))
+        checks += [("missing", target, F.col("t_null") > 0), ("not_binary", target, ~only_both)]
+    return aggregates, checks
 
 
 # Weights --------------------------------------------------------------------------------

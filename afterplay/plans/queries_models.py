@@ -24,6 +24,7 @@ from afterplay.plans.training import (
     run_grid,
     save_model,
     train_model,
+    training_matrix,
 )
 from afterplay.session import scratch_path
 
@@ -100,7 +101,8 @@ def model_leaderboard(spark, folder):
 def model_roundtrip(spark, folder):
     """Predictions of a model and of its saved copy, side by side."""
     data = score_game(spark, folder)
-    model = train_model(ModelRegistry().get("LogisticRegression"), data.train, fit_preparation(data.train))
+    matrix = training_matrix(data.train, fit_preparation(data.train))
+    model = train_model(ModelRegistry().get("LogisticRegression"), matrix)
     path = scratch_path(spark, "model")
     save_model(model, path)
     again = load_model(path).predict(data.held_out).withColumnRenamed("score", "score_again")

@@ -18,13 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from afterplay.operators.metrics import evaluate, melt_metrics
 from afterplay.operators.prepare import (
     Preparation,
-    class_weights,
+    check_matrix,
     fit_preparation,
     fit_separately,
-    matrix_problems,
-    passes_gate,
-    quality_gate,
-    weigh_rows,
 )
 
 TARGET = "churned"
@@ -227,45 +223,72 @@ class FittedModel:
         return [(f, float(v)) for f, v in zip(self.features, self.classifier.coefficients.toArray())]
 
 
-def train_model(
-    config: ModelConfig,
-    table: DataFrame,
-    preparation: Preparation,
-    scaled: bool = True,
-    estimator: EstimatorFactory | None = None,
-) -> FittedModel:
-    """Fit one classifier on a feature table with a 0/1 target.
+@dataclass(frozen=True)
+class TrainingMatrix:
+    """A checked matrix with rows per class, kept for the many passes of the learners."""
 
-    The prepared matrix is kept for the many passes of the learner, and given up after.
-    """
+    preparation: Preparation
+    scaled: bool
+    assembler: VectorAssembler
+    rows: DataFrame
+    class_rows: dict[int, int]
+
+    def weighted(self, balanced: bool) -> DataFrame:
+        """Rows with a weight: 1, or for each class ``n / (2 * n_class)``."""
+        if not balanced:
+            return self.rows.withColumn("weight", F.lit(1.0))
+        total = sum(self.class_rows.values())
+        weights = {c: total / (len(self.class_rows) * n) for c, n in self.class_rows.items()}
+        return self.rows.withColumn(
+            "weight", F.when(F.col(TARGET) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0]))
+        )
+
+    def release(self) -> None:
+        self.rows.unpersist()
+
+
+def training_matrix(table: DataFrame, preparation: Preparation, scaled: bool = True) -> TrainingMatrix:
+    """Prepare and check a feature table with a 0/1 target."""
     matrix = preparation.apply(table, scale=scaled, keep=(TARGET,))
-    problems = matrix_problems(matrix, preparation.features, TARGET)
-    if problems:
-        raise ValueError("; ".join(problems))
-    weights = class_weights(matrix, TARGET)
-    total = float(weights.agg(F.sum("n")).first()[0])
-    if config.params.get("class_weight") == "balanced":
-        weighted = weigh_rows(matrix, weights, TARGET)
-    else:
-        weighted = matrix.withColumn("weight", F.lit(1.0))
+    check = check_matrix(matrix, preparation.features, TARGET)
+    if check.problems:
+        raise ValueError("; ".join(check.problems))
+    for concern in check.concerns:
+        warnings.warn(concern, stacklevel=2)
     assembler = VectorAssembler(inputCols=preparation.features, outputCol="features")
-    assembled = assembler.transform(weighted).select("features", TARGET, "weight").persist()
-    try:
-        factory = estimator or ESTIMATORS[config.name]
-        model = factory(config.params, total).fit(assembled)
-    finally:
-        assembled.unpersist()
-    return FittedModel(config.name, config.params, preparation, PipelineModel([assembler, model]), scaled)
+    rows = assembler.transform(matrix).select("features", TARGET).persist()
+    return TrainingMatrix(preparation, scaled, assembler, rows, {0: check.zeros, 1: check.ones})
 
 
-def evaluate_model(model: FittedModel, table: DataFrame) -> DataFrame:
-    """All metrics of a fitted model on a labelled feature table, in one wide row."""
+def train_model(
+    config: ModelConfig, matrix: TrainingMatrix, estimator: EstimatorFactory | None = None
+) -> FittedModel:
+    """Fit one classifier. Any MLlib estimator can take the place of the named one."""
+    balanced = config.params.get("class_weight") == "balanced"
+    factory = estimator or ESTIMATORS[config.name]
+    total = float(sum(matrix.class_rows.values()))
+    model = factory(config.params, total).fit(matrix.weighted(balanced))
+    pipeline = PipelineModel([matrix.assembler, model])
+    return FittedModel(config.name, config.params, matrix.preparation, pipeline, matrix.scaled)
+
+
+def check_held_out(model: FittedModel, table: DataFrame) -> None:
+    """Refuse a table the model cannot be evaluated on."""
     if not isinstance(model, FittedModel):
         raise ValueError("the model is not fitted")
-    matrix = model.preparation.apply(table, scale=model.scaled, keep=(TARGET,))
-    problems = matrix_problems(matrix, model.features, fitted=model.features)
+    lacking = [f for f in model.features if f not in table.columns]
+    if lacking:
+        raise ValueError(f"{model.name} needs features {lacking}")
+    prepared = model.preparation.apply(table, scale=model.scaled, keep=(TARGET,))
+    problems = check_matrix(prepared, model.features).problems
     if problems:
         raise ValueError("; ".join(problems))
+
+
+def evaluate_model(model: FittedModel, table: DataFrame, checked: bool = False) -> DataFrame:
+    """All metrics of a fitted model on a labelled feature table, in one wide row."""
+    if not checked:
+        check_held_out(model, table)
     return evaluate(model.predict(table), label=TARGET)
 
 
@@ -351,21 +374,26 @@ def run_grid(
     for data in datasets:
         try:
             train_prep, held_prep = _prepared(data, separately)
+            matrices = {s: training_matrix(data.train, train_prep, s) for s in _scalings(configs, scale)}
         except Exception as error:  # e.g. no features remain: the data set as a whole fails
             metrics += [(data.name, c.name, None, None, str(error)) for c in configs]
             continue
+        checked = False
         for config in configs:
-            scaled = scale == "all" or config.name in LINEAR
             try:
-                model = train_model(config, data.train, train_prep, scaled)
-                found = evaluate_model(replace(model, preparation=held_prep), data.held_out)
+                model = train_model(config, matrices[_is_scaled(config, scale)])
+                tested = replace(model, preparation=held_prep)
+                found = evaluate_model(tested, data.held_out, checked)
                 values = melt_metrics(found.withColumn("one", F.lit(1)), "one").collect()
             except Exception as error:
                 metrics.append((data.name, config.name, None, None, str(error)))
                 continue
-            models[data.name, config.name] = model
+            checked = True
+            models[data.name, config.name] = tested
             metrics += [(data.name, config.name, r.metric, r.value, None) for r in values]
             importances += [(data.name, config.name, f, v) for f, v in model.importance()]
+        for matrix in matrices.values():
+            matrix.release()
     return GridResult(
         spark.createDataFrame(metrics, METRIC_SCHEMA),
         spark.createDataFrame(importances, IMPORTANCE_SCHEMA),
@@ -373,17 +401,21 @@ def run_grid(
     )
 
 
+def _is_scaled(config: ModelConfig, scale: str) -> bool:
+    return scale == "all" or config.name in LINEAR
+
+
+def _scalings(configs: list[ModelConfig], scale: str) -> set[bool]:
+    return {_is_scaled(config, scale) for config in configs}
+
+
 def _prepared(data: Dataset, separately: bool) -> tuple[Preparation, Preparation]:
     if data.train.isEmpty() or data.held_out.isEmpty():
         raise ValueError("empty training or evaluation table")
     if separately:
-        first, second = fit_separately(data.train, data.held_out, TARGET)
-    else:
-        first = second = fit_preparation(data.train, TARGET)
-    gate = quality_gate(first.apply(data.train, keep=(TARGET,)), first.features, TARGET)
-    if not passes_gate(gate):
-        raise ValueError("training data did not pass the quality gate")
-    return first, second
+        return fit_separately(data.train, data.held_out, TARGET)
+    both = fit_preparation(data.train, TARGET)
+    return both, both
 
 
 def all_predictions(result: GridResult, datasets: Iterable[Dataset]) -> DataFrame:
