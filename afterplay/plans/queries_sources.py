@@ -37,6 +37,7 @@ from afterplay.sources.readers import (
 )
 from afterplay.sources.schemas import MATCH, MATCH_PLAYERS, RACE_LOG, SCORE_LOG
 from afterplay.sources.writers import write_csv, write_json_lines
+from afterplay.streaming.ingest import ingest_player_logs, read_ingested
 
 
 @query(
@@ -279,3 +280,21 @@ def sink_features_csv(spark: SparkSession, folder: str) -> DataFrame:
     features = feature_table(race_table(spark, folder), purchases=True)
     write_csv(features, path)
     return scan_csv(spark, path, features.schema).select("player_id", "churned", "playCount", "bestScore", "highestPrice")
+
+
+@query(
+    "stream_player_logs",
+    f"""SELECT player_id, count(*) AS n, count(*) FILTER (WHERE is_play) AS plays,
+        count(*) FILTER (WHERE is_purchase) AS purchases FROM ({RACE_EVENTS}) GROUP BY player_id""",
+)
+def stream_player_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same logs, taken in as a stream of files."""
+    source = _race_log_file(spark, folder, broken=True)
+    target, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-state")
+    ingest_player_logs(spark, source, target, checkpoint).awaitTermination()
+    events = read_ingested(spark, target)
+    return events.groupBy("player_id").agg(
+        F.count("*").alias("n"),
+        F.count_if("is_play").alias("plays"),
+        F.count_if("is_purchase").alias("purchases"),
+    )
