@@ -1,7 +1,7 @@
 """Labels and features of every player in one pass over the events.
 
-With no hot players the plan has one exchange by player, shared by the windows and the
-aggregate. With hot players the same stage runs on ``(player_id, slice)`` and a second,
+With no hot players the plan has one exchange by player and one sort, shared by the window
+and the aggregate. With hot players the same stage runs on ``(player_id, slice)`` and a second,
 small exchange merges one partial row per slice.
 """
 
@@ -58,17 +58,20 @@ class Horizon:
 
 
 def with_windows(sliced: Sliced, horizon: Horizon) -> DataFrame:
-    """Each event with its player's window bounds and its ``phase``: ``op``, ``cp`` or null."""
-    first = F.min("ts").over(Window.partitionBy(*sliced.keys))
-    if sliced.cuts is not None:
-        first = F.coalesce("hot_first_ts", first)
+    """Each event with its player's window start and its ``phase``: ``op``, ``cp`` or null."""
+    first = _first_time(sliced, F.min("ts").over(Window.partitionBy(*sliced.keys)))
+    started = sliced.events.withColumn("op_start", first)
+    return started.withColumn("phase", _phase(horizon))
+
+
+def _first_time(sliced: Sliced, of_group: Column) -> Column:
+    """A hot player's first time is known; else it is that of the group."""
+    return of_group if sliced.cuts is None else F.coalesce("hot_first_ts", of_group)
+
+
+def _phase(horizon: Horizon) -> Column:
     bounds = window_bounds(F.col("op_start"), horizon.observation, horizon.churn)
-    return (
-        sliced.events.withColumn("op_start", first)
-        .withColumn("op_end", bounds["op_end"])
-        .withColumn("cp_end", bounds["cp_end"])
-        .withColumn("phase", phase_of(F.col("ts"), F.col("op_end"), F.col("cp_end")))
-    )
+    return phase_of(F.col("ts"), bounds["op_end"], bounds["cp_end"])
 
 
 def phase_of(ts: Column, op_end: Column, cp_end: Column) -> Column:
@@ -92,26 +95,19 @@ def _merge_label_partials() -> list[Column]:
     ]
 
 
-def _finish_labels(merged: DataFrame, horizon: Horizon) -> DataFrame:
-    """A player with an event that has no time cannot be labelled and is left out."""
-    bounds = window_bounds(F.col("op_start"), horizon.observation, horizon.churn)
-    return merged.filter("untimed = 0 AND op_event_count > 0").select(
-        "*",
-        (F.col("cp_event_count") == 0).alias("churned"),
-        *[bounds[name].alias(name) for name in ("op_end", "cp_start", "cp_end")],
-    )
+# A player with an event that has no time cannot be labelled and is left out.
+LABELLED = "untimed = 0 AND op_event_count > 0"
 
 
-LABEL_COLUMNS = (
-    "player_id",
-    "churned",
-    "op_start",
-    "op_end",
-    "cp_start",
-    "cp_end",
-    "op_event_count",
-    "cp_event_count",
-)
+def _finished_labels(horizon: Horizon) -> list[Column]:
+    bounds = window_bounds(F.col("op_start"), horizon.observation, horizon.churn)
+    return [
+        F.col("player_id"),
+        (F.col("cp_event_count") == 0).alias("churned"),
+        *[end.alias(name) for name, end in bounds.items()],
+        F.col("op_event_count"),
+        F.col("cp_event_count"),
+    ]
 
 
 def churn_labels(
@@ -128,10 +124,8 @@ def churn_labels(
     merged = with_windows(sliced, horizon).groupBy(*sliced.keys).agg(*_label_partials())
     if sliced.cuts is not None:
         merged = merged.groupBy("player_id").agg(*_merge_label_partials())
-    labels = _finish_labels(merged, horizon)
-    if observed_until is not None:
-        labels = labels.filter(F.col("cp_end") <= observed_until)
-    return labels.select(*LABEL_COLUMNS)
+    labels = merged.filter(LABELLED).select(*_finished_labels(horizon))
+    return labels if observed_until is None else labels.filter(F.col("cp_end") <= observed_until)
 
 
 def label_job_counts(players: DataFrame, labels: DataFrame) -> DataFrame:
@@ -142,46 +136,54 @@ def label_job_counts(players: DataFrame, labels: DataFrame) -> DataFrame:
     return both.agg(F.sum("d").alias("processed"), (F.sum("n") - F.sum("d")).alias("skipped"))
 
 
-def _mark_plays(tagged: DataFrame, keys: list[str]) -> DataFrame:
-    """Observed plays with the time of the previous play and the running number of scores."""
-    order = Window.partitionBy(*keys).orderBy("ts", "pos")
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+def _marked(sliced: Sliced, horizon: Horizon) -> DataFrame:
+    """Events with all the order-dependent columns, from one sort and one window pass.
+
+    Observed events come first in a player's time line, so what precedes an observed event
+    is observed as well: the window needs no knowledge of where the observation ends.
+    """
+    order = Window.partitionBy(*sliced.keys).orderBy("ts", "pos")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    observed = F.coalesce(F.col("phase") == "op", F.lit(False))
-    return (
-        tagged.withColumn("play", observed & F.col("is_play"))
-        .withColumn("scored", F.col("play") & F.col("score").isNotNull())
-        .withColumn("bought", observed & F.col("is_purchase"))
-        .withColumn("play_ts", F.when(F.col("play"), F.col("ts")))
-        .withColumn("previous_play", F.last("play_ts", ignorenulls=True).over(earlier))
-        .withColumn("score_number", F.sum(F.col("scored").cast("bigint")).over(so_far))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    score = F.when(F.col("is_play"), F.col("score"))
+    ordered = sliced.events.select(
+        *sliced.keys,
+        "ts",
+        "is_play",
+        score.alias("score"),
+        "is_purchase",
+        "price",
+        _first_time(sliced, F.min("ts").over(so_far)).alias("op_start"),
+        F.last(F.when(F.col("is_play"), F.col("ts")), ignorenulls=True).over(earlier).alias("previous_play"),
+        F.count(score).over(so_far).alias("score_number"),
+        F.max(score).over(so_far).alias("best_so_far"),
     )
-
-
-def _score_decimal(horizon: Horizon) -> Column:
-    return F.when(F.col("scored"), F.col("score").cast(f"decimal(18,{horizon.score_scale})"))
+    return ordered.withColumn("phase", _phase(horizon))
 
 
 def _feature_partials(horizon: Horizon) -> list[Column]:
-    scored_value = F.when(F.col("scored"), F.col("score"))
-    pause = micros_between(F.col("play_ts"), F.col("previous_play"))
+    observed = F.col("phase") == "op"
+    play_ts = F.when(observed & F.col("is_play"), F.col("ts"))
+    score = F.when(observed, F.col("score"))
+    bought = observed & F.col("is_purchase")
+    pause = micros_between(play_ts, F.col("previous_play"))
     partials = [
-        F.count_if("play").alias("plays"),
-        F.count_if("scored").alias("scores"),
-        F.max(F.when(F.col("scored"), F.struct("score", F.col("score_number").alias("at")))).alias("best"),
-        F.min(scored_value).alias("worst"),
-        F.min("play_ts").alias("first_play"),
-        F.max("play_ts").alias("last_play"),
+        F.count(play_ts).alias("plays"),
+        F.count(score).alias("scores"),
+        F.max(score).alias("best"),
+        # The last score that no earlier one exceeds is the last of the best ones.
+        F.max(F.when(score == F.col("best_so_far"), F.col("score_number"))).alias("best_at"),
+        F.min(score).alias("worst"),
+        F.min(play_ts).alias("first_play"),
+        F.max(play_ts).alias("last_play"),
         F.count_if(pause <= micros_of(horizon.gap)).alias("close_plays"),
-        F.count_if("bought").alias("purchases"),
-        F.max(F.when(F.col("bought") & (F.col("price") > 0), F.col("price"))).alias("top_price"),
+        F.count_if(bought).alias("purchases"),
+        F.max(F.when(bought & (F.col("price") > 0), F.col("price"))).alias("top_price"),
     ]
     if horizon.score_scale is None:
-        partials += [F.avg(scored_value).alias("mean"), F.var_pop(scored_value).alias("spread")]
-    else:
-        value = _score_decimal(horizon)
-        partials += [F.sum(value).alias("total"), F.sum(value * value).alias("squares")]
-    return partials
+        return [*partials, F.avg(score).alias("mean"), F.var_pop(score).alias("spread")]
+    amount = score.cast(f"decimal(18,{horizon.score_scale})")
+    return [*partials, F.sum(amount).alias("total"), F.sum(amount * amount).alias("squares")]
 
 
 def _merge_feature_partials(partials: DataFrame, horizon: Horizon) -> DataFrame:
@@ -189,25 +191,21 @@ def _merge_feature_partials(partials: DataFrame, horizon: Horizon) -> DataFrame:
     line = Window.partitionBy("player_id").orderBy(SLICE)
     earlier = line.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("player_id")
-    ordered = (
-        partials.withColumn("scores_before", F.coalesce(F.sum("scores").over(earlier), F.lit(0)))
-        .withColumn("last_before", F.last("last_play", ignorenulls=True).over(earlier))
-        .withColumn(
-            "best_here",
-            F.when(
-                F.col("best").isNotNull(),
-                F.struct(
-                    F.col("best.score").alias("score"),
-                    (F.col("best.at") + F.col("scores_before")).alias("at"),
-                ),
-            ),
-        )
+    ordered = partials.select(
+        "*",
+        F.coalesce(F.sum("scores").over(earlier), F.lit(0)).alias("scores_before"),
+        F.last("last_play", ignorenulls=True).over(earlier).alias("last_before"),
+    )
+    best_at = F.when(
+        F.col("best").isNotNull(),
+        F.struct("best", (F.col("best_at") + F.col("scores_before")).alias("at")),
     )
     seam = micros_between(F.col("first_play"), F.col("last_before")) <= micros_of(horizon.gap)
     merges = [
         *_merge_label_partials(),
         *[F.sum(c).alias(c) for c in ("plays", "scores", "purchases")],
-        F.max("best_here").alias("best"),
+        F.max("best").alias("best"),
+        F.max(best_at)["at"].alias("best_at"),
         F.min("worst").alias("worst"),
         F.min("first_play").alias("first_play"),
         F.max("last_play").alias("last_play"),
@@ -229,51 +227,40 @@ def _merge_feature_partials(partials: DataFrame, horizon: Horizon) -> DataFrame:
     return ordered.groupBy("player_id").agg(*merges)
 
 
-def _finish_features(merged: DataFrame, horizon: Horizon, purchases: bool) -> DataFrame:
-    n = F.col("scores").cast("double")
+def _finished_features(horizon: Horizon, purchases: bool) -> list[Column]:
+    scores, plays = F.col("scores"), F.col("plays")
+    n = scores.cast("double")
+    best, worst = (F.coalesce(c, F.lit(0.0)) for c in ("best", "worst"))
     if horizon.score_scale is None:
-        mean = F.coalesce(F.col("mean"), F.lit(0.0))
+        mean = F.coalesce("mean", F.lit(0.0))
         deviation = F.sqrt(F.col("spread") * n / (n - 1))
     else:
-        count = F.col("scores").cast("decimal(9,0)")
         scale = horizon.score_scale
+        count = scores.cast("decimal(9,0)")
         total = F.col("total").cast(f"decimal(18,{scale})")
         squares = F.col("squares").cast(f"decimal(28,{2 * scale})")
-        mean = ratio_or_zero(F.coalesce(F.col("total"), F.lit(0)), F.col("scores"))
+        mean = ratio_or_zero(F.coalesce("total", F.lit(0)), scores)
         deviation = F.sqrt((count * squares - total * total).cast("double") / (n * (n - 1)))
-    several_scores = F.col("scores") > 1
-    several_plays = F.col("plays") > 1
-    best = F.coalesce(F.col("best.score"), F.lit(0.0))
-    above = F.col("bestScore") - F.col("meanScore")
-    table = (
-        merged.withColumn("playCount", F.col("plays"))
-        .withColumn("bestScore", best)
-        .withColumn("meanScore", mean)
-        .withColumn("worstScore", F.coalesce("worst", F.lit(0.0)))
-        .withColumn("sdScore", F.when(several_scores, deviation).otherwise(0.0))
-        .withColumn(
-            "bestScoreIndex",
-            F.when(several_scores, (F.col("best.at") - 1).cast("double") / n).otherwise(0.0),
-        )
-        .withColumn("bestSubMeanCount", F.when(F.col("scores") > 0, above / n).otherwise(0.0))
-        .withColumn("bestSubMeanRatio", ratio_or_zero(above, F.col("meanScore")))
-        .withColumn(
-            "activeDuration",
-            F.when(
-                several_plays,
-                micros_between(F.col("last_play"), F.col("first_play")).cast("double") / MICROS_PER_HOUR,
-            ).otherwise(0.0),
-        )
-        .withColumn(
-            "consecutivePlayRatio",
-            F.when(several_plays, F.col("close_plays").cast("double") / (F.col("plays") - 1)).otherwise(0.0),
-        )
-    )
-    if purchases:
-        table = table.withColumn("purchaseCount", F.col("purchases")).withColumn(
-            "highestPrice", F.coalesce("top_price", F.lit(0.0))
-        )
-    return table
+    hours = micros_between(F.col("last_play"), F.col("first_play")).cast("double") / MICROS_PER_HOUR
+
+    def if_several(count: Column, value: Column) -> Column:
+        return F.when(count > 1, value).otherwise(0.0)
+
+    features = {
+        "playCount": plays,
+        "bestScore": best,
+        "meanScore": mean,
+        "worstScore": worst,
+        "sdScore": if_several(scores, deviation),
+        "bestScoreIndex": if_several(scores, (F.col("best_at") - 1).cast("double") / n),
+        "bestSubMeanCount": F.when(scores > 0, (best - mean) / n).otherwise(0.0),
+        "bestSubMeanRatio": ratio_or_zero(best - mean, mean),
+        "activeDuration": if_several(plays, hours),
+        "consecutivePlayRatio": if_several(plays, F.col("close_plays").cast("double") / (plays - 1)),
+        "purchaseCount": F.col("purchases"),
+        "highestPrice": F.coalesce("top_price", F.lit(0.0)),
+    }
+    return [features[name].alias(name) for name in feature_names(purchases)]
 
 
 def feature_names(purchases: bool) -> tuple[str, ...]:
@@ -289,12 +276,10 @@ def player_table(
     """Label columns and features of every player. Players without plays keep zeros."""
     needed = ["player_id", "ts", "pos", "is_play", "score", "is_purchase", "price"]
     sliced = slice_hot_players(events.select(*needed), policy)
-    marked = _mark_plays(with_windows(sliced, horizon), sliced.keys)
-    merged = marked.groupBy(*sliced.keys).agg(*_label_partials(), *_feature_partials(horizon))
+    merged = _marked(sliced, horizon).groupBy(*sliced.keys).agg(*_label_partials(), *_feature_partials(horizon))
     if sliced.cuts is not None:
         merged = _merge_feature_partials(merged, horizon)
-    labelled = _finish_labels(merged, horizon)
-    return _finish_features(labelled, horizon, purchases).select(*LABEL_COLUMNS, *feature_names(purchases))
+    return merged.filter(LABELLED).select(*_finished_labels(horizon), *_finished_features(horizon, purchases))
 
 
 def feature_table(table: DataFrame, purchases: bool = False, metadata: bool = False) -> DataFrame:
