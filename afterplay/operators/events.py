@@ -18,7 +18,7 @@ def assign_windows(
     events: DataFrame, horizon: Horizon = Horizon(), policy: HotPolicy = DEFAULT_POLICY
 ) -> DataFrame:
     """Each event with the window it falls in: ``op``, ``cp`` or null."""
-    sliced = slice_hot_players(events, policy)
+    sliced = slice_hot_players(events, policy, ordered=False)
     return with_windows(sliced, horizon).select(*events.columns, "op_start", "phase")
 
 
@@ -70,7 +70,8 @@ def time_ordered(
 def first_n_events(events: DataFrame, n: int) -> DataFrame:
     """The first ``n`` events per player. Spark keeps ``n`` rows a player before the shuffle."""
     order = Window.partitionBy("player_id").orderBy("ts", "pos")
-    return events.withColumn("position", F.row_number().over(order) - 1).filter(F.col("position") < n)
+    numbered = events.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= n)
+    return numbered.withColumn("position", F.col("position") - 1)
 
 
 def detect_game(events: DataFrame, marker: Column, looked_at: int = 10) -> DataFrame:

@@ -9,6 +9,8 @@ ranges of their own time line with about equal row counts. Every operator then w
   left alone and costs nothing extra.
 * Above it, one count per player (combined map-side) finds the players with more than
   ``rows_per_slice`` rows. At most ``max_players`` are cut, the largest first.
+* Where order within a player does not matter, the first time from that same count is all
+  that is needed, and a hash of the time spreads the rows instead.
 * The cut points are approximate quantiles of the time. They come to the driver once, at
   most ``max_players * max_slices`` numbers, and go out as a literal relation. So a task
   that is run again sees the same slices, and the broadcast has a fixed size bound.
@@ -39,8 +41,9 @@ DEFAULT_POLICY = HotPolicy()
 class Sliced:
     """Events with the keys that hold a bounded number of rows each.
 
-    ``cuts`` has one row per hot player: its first time, its number of rows and its cut
-    points. It is ``None`` when no player had to be cut; then there is no slice column.
+    ``cuts`` has one row per hot player with its first time, its number of rows and, for
+    ordered slices, its cut points. It is ``None`` when no player had to be cut; then there
+    is no slice column.
     """
 
     events: DataFrame
@@ -71,7 +74,10 @@ def hot_players(events: DataFrame, policy: HotPolicy = DEFAULT_POLICY) -> DataFr
     )
 
 
-def slice_hot_players(events: DataFrame, policy: HotPolicy = DEFAULT_POLICY) -> Sliced:
+def slice_hot_players(
+    events: DataFrame, policy: HotPolicy = DEFAULT_POLICY, ordered: bool = True
+) -> Sliced:
+    """Add the slice of each row, if any player is hot. ``ordered`` slices are time ranges."""
     if input_bytes(events) <= policy.small_table_bytes:
         return Sliced(events)
     spark = events.sparkSession
@@ -83,6 +89,11 @@ def slice_hot_players(events: DataFrame, policy: HotPolicy = DEFAULT_POLICY) ->
     hot = spark.createDataFrame(hot_rows, hot_schema)
     largest = max(row.n for row in hot_rows)
     slices = min(policy.max_slices, -(-largest // policy.rows_per_slice))
+    if not ordered:
+        known = F.broadcast(hot.select("player_id", F.col("first_ts").alias("hot_first_ts")))
+        salt = F.pmod(F.xxhash64("ts"), F.lit(slices)).cast("int")
+        number = F.when(F.col("hot_first_ts").isNull(), 0).otherwise(salt)
+        return Sliced(events.join(known, "player_id", "left").withColumn(SLICE, number), hot)
     shares = [i / slices for i in range(1, slices)]
     quantiles = (
         events.select("player_id", F.unix_micros("ts").alias("us"))

@@ -120,7 +120,7 @@ def churn_labels(
 
     ``observed_until`` drops the players whose churn window ends after the logs do.
     """
-    sliced = slice_hot_players(events.select("player_id", "ts"), policy)
+    sliced = slice_hot_players(events.select("player_id", "ts"), policy, ordered=False)
     merged = with_windows(sliced, horizon).groupBy(*sliced.keys).agg(*_label_partials())
     if sliced.cuts is not None:
         merged = merged.groupBy("player_id").agg(*_merge_label_partials())
@@ -145,25 +145,32 @@ def _marked(sliced: Sliced, horizon: Horizon) -> DataFrame:
     order = Window.partitionBy(*sliced.keys).orderBy("ts", "pos")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    score = F.when(F.col("is_play"), F.col("score"))
     ordered = sliced.events.select(
-        *sliced.keys,
+        "*",
+        _first_time(sliced, F.min("ts").over(so_far)).alias("op_start"),
+        F.last("play_ts", ignorenulls=True).over(earlier).alias("previous_play"),
+        F.count("score").over(so_far).alias("score_number"),
+        F.max("score").over(so_far).alias("best_so_far"),
+    )
+    return ordered.withColumn("phase", _phase(horizon))
+
+
+def _shuffled_columns(events: DataFrame) -> DataFrame:
+    """What the exchange carries: the time of a play stands for the play itself."""
+    return events.select(
+        "player_id",
         "ts",
-        "is_play",
-        score.alias("score"),
+        "pos",
+        F.when(F.col("is_play"), F.col("ts")).alias("play_ts"),
+        F.when(F.col("is_play"), F.col("score")).alias("score"),
         "is_purchase",
         "price",
-        _first_time(sliced, F.min("ts").over(so_far)).alias("op_start"),
-        F.last(F.when(F.col("is_play"), F.col("ts")), ignorenulls=True).over(earlier).alias("previous_play"),
-        F.count(score).over(so_far).alias("score_number"),
-        F.max(score).over(so_far).alias("best_so_far"),
     )
-    return ordered.withColumn("phase", _phase(horizon))
 
 
 def _feature_partials(horizon: Horizon) -> list[Column]:
     observed = F.col("phase") == "op"
-    play_ts = F.when(observed & F.col("is_play"), F.col("ts"))
+    play_ts = F.when(observed, F.col("play_ts"))
     score = F.when(observed, F.col("score"))
     bought = observed & F.col("is_purchase")
     pause = micros_between(play_ts, F.col("previous_play"))
@@ -274,8 +281,7 @@ def player_table(
     policy: HotPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Label columns and features of every player. Players without plays keep zeros."""
-    needed = ["player_id", "ts", "pos", "is_play", "score", "is_purchase", "price"]
-    sliced = slice_hot_players(events.select(*needed), policy)
+    sliced = slice_hot_players(_shuffled_columns(events), policy)
     merged = _marked(sliced, horizon).groupBy(*sliced.keys).agg(*_label_partials(), *_feature_partials(horizon))
     if sliced.cuts is not None:
         merged = _merge_feature_partials(merged, horizon)

@@ -66,8 +66,19 @@ def value_kind(value: Column) -> Column:
     )
 
 
+def whole_json(text: Column) -> Column:
+    """The text as a variant if all of it is one JSON value, else null.
+
+    Spark's parser stops after the first value, so ``5 apples`` would pass for a number.
+    As one of exactly two members of an object, the text must be a value to its end.
+    """
+    members = F.json_object_keys(F.concat(F.lit('{"_text":'), text, F.lit(',"_end":0}')))
+    is_whole = members == F.array(F.lit("_text"), F.lit("_end"))
+    return F.when(is_whole, F.try_parse_json(text))
+
+
 def text_kind(text: Column) -> Column:
-    parsed = F.try_parse_json(text)
+    parsed = whole_json(text)
     return F.when(text.isNull(), "null").when(parsed.isNull(), "str").otherwise(value_kind(parsed))
 
 
@@ -82,14 +93,13 @@ def profile_keys(df: DataFrame, text: str) -> DataFrame:
 
 def profile_nested(df: DataFrame, text: str) -> DataFrame:
     """Shape of JSON values in a text column: kind, length or key count, number of rows."""
-    value = F.try_parse_json(F.col(text))
     kind = text_kind(F.col(text))
     size = (
         F.when(kind == "dict", F.size(F.json_object_keys(F.col(text))))
-        .when(kind == "list", F.json_array_length(F.col(text)))
+        .when(kind == "list", F.json_array_length(F.col(text)).cast("bigint"))
         .otherwise(F.length(F.col(text)))
     )
-    shaped = df.select(kind.alias("kind"), size.cast("bigint").alias("size"), value.isNotNull().alias("is_json"))
+    shaped = df.select(kind.alias("kind"), size.cast("bigint").alias("size"))
     return shaped.groupBy("kind").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("size").alias("min_size"),
@@ -101,7 +111,7 @@ def profile_nested(df: DataFrame, text: str) -> DataFrame:
 def profile_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Records, bad lines and the joint type of all records, in one pass."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = F.try_parse_json("value")
+    parsed = whole_json(F.col("value"))
     return lines.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count(parsed).alias("records"),

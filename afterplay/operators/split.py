@@ -119,19 +119,20 @@ def split_by_ids(records: DataFrame, train_ids: DataFrame, eval_ids: DataFrame)
 
     The two id lists become one small relation, so the records take part in one join. Spark
     broadcasts it below its size limit, and splits skewed partitions of the records above.
-    Records without an id never enter the join.
+    Records without an id match nothing; in a shuffle they spread by where they come from.
     """
-    known = has_player_id(F.col("player_id"))
     members = (
         train_ids.select("player_id", F.lit(1).alias("rank"))
         .unionByName(eval_ids.select("player_id", F.lit(2).alias("rank")))
-        .groupBy("player_id")
+        .filter(has_player_id(F.col("player_id")))
+        .groupBy(F.col("player_id").alias("_member"))
         .agg(F.min("rank").alias("rank"))
     )
+    nowhere = F.concat(F.lit("\0"), F.spark_partition_id().cast("string"))
+    key = F.when(has_player_id(F.col("player_id")), F.col("player_id")).otherwise(nowhere)
     part = F.when(F.col("rank") == 1, "train").when(F.col("rank") == 2, "eval").otherwise("skipped")
-    joined = records.filter(known).join(members, "player_id", "left").withColumn("part", part).drop("rank")
-    nameless = records.filter(~F.coalesce(known, F.lit(False))).withColumn("part", F.lit("skipped"))
-    return joined.unionByName(nameless)
+    joined = records.withColumn("_key", key).join(members, F.col("_key") == F.col("_member"), "left")
+    return joined.select(*records.columns, part.alias("part"))
 
 
 def split_counts(parts: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from afterplay.operators.player_table import feature_table
 from afterplay.operators.prepare import (
+    HIGH_SCALED_CORRELATION,
     Preparation,
     class_weights,
     collinear_drops,
@@ -185,8 +186,10 @@ def standard_scale(spark, folder):
 @query(
     "scaling_audit",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, FALSE AS has_missing, FALSE AS has_infinite, FALSE AS low_variance,
-            TRUE AS centered, count(*) > 600 AS unit_deviation FROM lineitem"""
+        f"""SELECT '{c}' AS column_name, count(*) > count(z) AS has_missing, bool_or(isinf(z)) AS has_infinite,
+            var_samp(z) < 1e-6 AS low_variance, abs(avg(z)) <= 1e-6 AS centered,
+            abs(stddev_samp(z) - 1) <= 1.01e-3 AS unit_deviation
+            FROM (SELECT ({c} - m) / s AS z FROM lineitem, (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM lineitem))"""
         for c in MEASURES
     ),
 )
@@ -196,6 +199,26 @@ def scaling_audit_query(spark, folder):
     return scaling_audit(fitted.apply(rows), MEASURES)
 
 
+_AUDITED = ("playCount", "bestScore", "meanScore", "worstScore", "sdScore", "activeDuration")
+
+
+@query(
+    "scaled_correlations",
+    f"WITH {score_features()} SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{a}' AS "left", '{b}' AS "right", {rounded(f'corr("{a}", "{b}")')} AS r FROM features"""
+        for a, b in combinations(_AUDITED, 2)
+    )
+    + ") WHERE abs(r) > 0.8",
+)
+def scaled_correlations(spark, folder):
+    """Scaled features that are still close to each other."""
+    rows = score_table(spark, folder).select(*_AUDITED)
+    scaled = with_scaling(rows, Preparation(list(_AUDITED), {})).apply(rows)
+    pairs = correlation_pairs(scaled, list(_AUDITED)).filter(F.abs("r") > HIGH_SCALED_CORRELATION)
+    return pairs.select("left", "right", *rounded_columns("r"))
+
+
 @query("fitted_selection")
 def fitted_selection(spark, folder):
     """What the whole preparation decides per feature of the race game."""

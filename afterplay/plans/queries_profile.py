@@ -72,8 +72,13 @@ def profile_keys_query(spark, folder):
 
 @query(
     "profile_text_kinds",
-    """SELECT 'str' AS kind, count(*) AS n, min(length(text)) AS min_size, max(length(text)) AS max_size,
-        CAST(sum(length(text)) AS BIGINT) AS total_size FROM documents""",
+    """SELECT kind, count(*) AS n, min(size) AS min_size, max(size) AS max_size, CAST(sum(size) AS BIGINT) AS total_size
+       FROM (SELECT CASE WHEN NOT json_valid(text) THEN 'str' ELSE CASE json_type(text)
+                 WHEN 'OBJECT' THEN 'dict' WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str'
+                 WHEN 'BOOLEAN' THEN 'bool' WHEN 'DOUBLE' THEN 'float' WHEN 'NULL' THEN 'null' ELSE 'int' END END AS kind,
+             CASE WHEN NOT json_valid(text) THEN length(text) WHEN json_type(text) = 'OBJECT' THEN len(json_keys(text))
+                  WHEN json_type(text) = 'ARRAY' THEN json_array_length(text) ELSE length(text) END AS size FROM documents)
+       GROUP BY kind""",
 )
 def profile_text_kinds(spark, folder):
     return profile_nested(table(spark, folder, "documents"), "text")
@@ -103,7 +108,7 @@ def profile_jsonl(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "profile_json_document",
     """SELECT 'dict' AS root, count(*) AS members, 'yes' AS keyed
-        FROM orders GROUP BY o_orderkey // 1000""",
+        FROM orders GROUP BY o_orderkey // 50000""",
 )
 def profile_json_document_query(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "profile-documents")

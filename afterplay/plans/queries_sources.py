@@ -129,12 +129,16 @@ def sample_first_n(spark: SparkSession, folder: str) -> DataFrame:
     return first_json_lines(spark, f"{path}/part-00000*", schema).drop("line")
 
 
+# Entries of a document. A document is one file and is read by one task, so its size is fixed.
+ENTRIES = 50_000
+
+
 def customer_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of at most 1000 customers each, one JSON array over several lines."""
+    """Customers in large documents, one JSON array over several lines each."""
     customers = table(spark, folder, "customer")
     entry = F.to_json(F.struct("c_custkey", "c_mktsegment"))
     return (
-        customers.groupBy(F.floor(F.col("c_custkey") / 1000).alias("bucket"))
+        customers.groupBy(F.floor(F.col("c_custkey") / ENTRIES).alias("bucket"))
         .agg(F.array_join(F.collect_list(entry), ",\n").alias("text"))
         .select("bucket", F.concat(F.lit("[\n"), F.col("text"), F.lit("\n]")).alias("value"))
     )
@@ -149,7 +153,7 @@ def scan_json_document_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of at most 1000 matches each, keyed by number: every order is a match."""
+    """Large documents of matches keyed by number: every order is a match."""
     orders = table(spark, folder, "orders")
     match = F.struct(
         F.col("o_orderpriority").alias("server"),
@@ -162,7 +166,7 @@ def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
     entry = F.struct(F.col("o_orderkey").cast("string").alias("key"), match.alias("value"))
     return (
-        orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("bucket"))
+        orders.groupBy(F.floor(F.col("o_orderkey") / ENTRIES).alias("bucket"))
         .agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
         .select("bucket", F.to_json("m").alias("value"))
     )

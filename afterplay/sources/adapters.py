@@ -13,6 +13,9 @@ from afterplay.functions.numbers import not_nan, variant_number
 from afterplay.functions.timing import epoch_to_timestamp
 from afterplay.sources.schemas import EVENT_COLUMNS
 
+# The predicates are null for an event without a name, which every operator takes for false.
+# Left as they are, they reach the scan when events are filtered by them.
+
 # Names of the events that count as plays or purchases.
 PLAY_EVENT = "play"
 RACE_EVENT = "progress"
@@ -22,15 +25,15 @@ PURCHASE_EVENTS = ("softPurchase", "hardPurchase", "purchase")
 
 
 def is_score_play(event: Column) -> Column:
-    return F.coalesce(event == PLAY_EVENT, F.lit(False))
+    return event == PLAY_EVENT
 
 
 def is_race_play(event: Column, action: Column, kind: Column) -> Column:
-    return F.coalesce((event == RACE_EVENT) & (action == RACE_ACTION) & (kind == RACE_TYPE), F.lit(False))
+    return (event == RACE_EVENT) & (action == RACE_ACTION) & (kind == RACE_TYPE)
 
 
 def is_purchase(event: Column) -> Column:
-    return F.coalesce(event.isin(*PURCHASE_EVENTS), F.lit(False))
+    return event.isin(*PURCHASE_EVENTS)
 
 
 def _canonical(df: DataFrame, **columns: Column) -> DataFrame:
@@ -133,7 +136,7 @@ def events_from_clicks(events: DataFrame, plays: tuple[str, ...] = ("view", "cli
         ts=F.col("ts").cast("timestamp"),
         pos=F.col("event_id"),
         event=kind,
-        is_play=F.coalesce(kind.isin(*plays), F.lit(False)),
+        is_play=kind.isin(*plays),
         score=F.when(kind.isin(*plays), not_nan(F.col("value"))),
         is_purchase=bought,
         price=F.when(bought, not_nan(F.col("value"))),

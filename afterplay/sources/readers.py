@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from afterplay.sources.schemas import SCORE_CSV
 
@@ -30,18 +30,37 @@ class JsonLines:
     @classmethod
     def parse(cls, lines: DataFrame, schema: T.StructType) -> JsonLines:
         """Parse column ``value``; other columns of ``lines`` go along with the rows."""
-        wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
         others = [c for c in lines.columns if c != "value"]
-        parsed = lines.withColumn("r", F.from_json("value", wide, options))
-        broken = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
-        fields = [F.col(f"r.`{name}`") for name in schema.names]
+        parsed = _parsed(lines, schema)
         return cls(
-            parsed.filter(~broken).select(*others, *fields),
-            parsed.filter(broken).select(*others, F.col("value").alias("line_text")),
+            parsed.filter(_good()).select(*others, "r._line.*"),
+            parsed.filter(~_good()).select(*others, F.col("value").alias("line_text")),
         )
 
 
+def _good() -> Column:
+    """Whether all of a line parsed.
+
+    Spark's parser stops after the first value of a line. Parsed as the first member of an
+    object that has to end with a known member, a line with anything behind its value fails.
+    """
+    whole = F.col(f"r.{CORRUPT}").isNull() & F.col("r._line").isNotNull() & (F.col("r._end") == 0)
+    return F.coalesce(whole, F.lit(False))
+
+
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    wrapped = F.concat(F.lit('{"_line":'), F.col("value"), F.lit(',"_end":0}'))
+    wide = T.StructType(
+        [
+            T.StructField("_line", schema),
+            T.StructField("_end", T.IntegerType()),
+            T.StructField(CORRUPT, T.StringType()),
+        ]
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
+    return lines.withColumn("r", F.from_json(wrapped, wide, options))
+
+
 def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> JsonLines:
     """One object per line. Bad lines are set aside instead of failing; blank lines are ignored."""
     return JsonLines.parse(spark.read.text(path).filter(F.trim("value") != ""), schema)
@@ -49,7 +68,9 @@ def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Jso
 
 def scan_json_lines_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The first bad line fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    failure = F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).cast("boolean")
+    return _parsed(lines, schema).filter(F.when(_good(), True).otherwise(failure)).select("r._line.*")
 
 
 def first_json_lines(spark: SparkSession, path: str, schema: T.StructType, n: int = 5) -> DataFrame:

@@ -65,10 +65,11 @@ def test_player_ids(spark, tmp_path):
 
 
 def test_malformed_lines_are_set_aside(spark, tmp_path):
-    path = write(tmp_path / "logs.jsonl", log("a", race(1, reward=2)), "", "not json", log("b"))
+    bad = [log("c") + " and more", "{'uid': 'd'}", log("e")[:-3], log("f") + log("g"), '{"uid": "h"} {"_end": 0', "5"]
+    path = write(tmp_path / "logs.jsonl", log("a", race(1, reward=2)), "", "not json", log("b"), *bad)
     lines = scan_json_lines(spark, path, RACE_LOG)
     assert {r.uid for r in lines.rows.collect()} == {"a", "b"}
-    assert [r.line_text for r in lines.malformed.collect()] == ["not json"]
+    assert [r.line_text for r in lines.malformed.collect()] == ["not json", *bad]
     with pytest.raises(Exception):
         scan_json_lines_strict(spark, path, RACE_LOG).collect()
 
@@ -129,10 +130,10 @@ def test_documents_and_feature_files(spark, tmp_path):
 
 
 def test_text_kinds(spark):
-    values = ["plain", "[1, 2]", '{"a": 1}', "5", "2.5", "true", "null", None, '"x"']
+    values = ["plain", "[1, 2]", '{"a": 1}', "5", "2.5", "true", "null", None, '"x"', "5 apples", "1, 2"]
     rows = spark.createDataFrame([(v,) for v in values], "t string")
     kinds = [r[0] for r in rows.select(text_kind(F.col("t"))).collect()]
-    assert kinds == ["str", "list", "dict", "int", "float", "bool", "null", "null", "str"]
+    assert kinds == ["str", "list", "dict", "int", "float", "bool", "null", "null", "str", "str", "str"]
     sizes = {r.kind: r.max_size for r in profile_nested(rows, "t").collect()}
     assert sizes["list"] == 2 and sizes["dict"] == 1
 
