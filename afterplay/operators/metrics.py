@@ -78,7 +78,8 @@ def evaluate(
     banded = counts.withColumn("band", _band_of(rows))
     inside = Window.partitionBy(*keys, "band").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
     # Doubled, so that the halves for ties stay whole numbers.
-    twice = F.col("neg") * (2 * F.coalesce(F.sum("pos").over(inside), F.lit(0)) + F.col("pos"))
+    higher = 2 * F.coalesce(F.sum("pos").over(inside), F.lit(0)) + F.col("pos")
+    twice = F.col("neg").cast("decimal(18,0)") * higher.cast("decimal(19,0)")
     sums = [F.sum(c).alias(c) for c in ("pos", "neg", *CELLS)]
     bands = (
         banded.withColumn("twice", twice.cast("decimal(38,0)"))

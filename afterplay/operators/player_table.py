@@ -46,8 +46,8 @@ class Horizon:
     """Window lengths and the largest pause between consecutive plays.
 
     ``score_scale`` sums scores as exact decimals of that many digits, which gives the
-    same mean and deviation whatever the order of the rows (and suits money-like scores,
-    up to 10^9 per player). Without it, doubles are summed and deviations are merged in
+    same mean and deviation whatever the order of the rows, and suits money-like scores.
+    Without it, doubles are summed and deviations are merged in
     the stable way.
     """
 
@@ -234,6 +234,17 @@ def _merge_feature_partials(partials: DataFrame, horizon: Horizon) -> DataFrame:
     return ordered.groupBy("player_id").agg(*merges)
 
 
+def _decimal_deviation(n: Column, scale: int) -> Column:
+    """From exact sums where all digits fit, else (beyond 10^9 scores) from their doubles."""
+    count = F.col("scores").try_cast("decimal(9,0)")
+    total = F.col("total").try_cast(f"decimal(18,{scale})")
+    squares = F.col("squares").try_cast(f"decimal(28,{2 * scale})")
+    exact = (count * squares - total * total).cast("double") / (n * (n - 1))
+    mean = F.col("total").cast("double") / n
+    close = (F.col("squares").cast("double") / n - mean * mean) * n / (n - 1)
+    return F.sqrt(F.coalesce(exact, F.greatest(close, F.lit(0.0))))
+
+
 def _finished_features(horizon: Horizon, purchases: bool) -> list[Column]:
     scores, plays = F.col("scores"), F.col("plays")
     n = scores.cast("double")
@@ -242,12 +253,8 @@ def _finished_features(horizon: Horizon, purchases: bool) -> list[Column]:
         mean = F.coalesce("mean", F.lit(0.0))
         deviation = F.sqrt(F.col("spread") * n / (n - 1))
     else:
-        scale = horizon.score_scale
-        count = scores.cast("decimal(9,0)")
-        total = F.col("total").cast(f"decimal(18,{scale})")
-        squares = F.col("squares").cast(f"decimal(28,{2 * scale})")
         mean = ratio_or_zero(F.coalesce("total", F.lit(0)), scores)
-        deviation = F.sqrt((count * squares - total * total).cast("double") / (n * (n - 1)))
+        deviation = _decimal_deviation(n, horizon.score_scale)
     hours = micros_between(F.col("last_play"), F.col("first_play")).cast("double") / MICROS_PER_HOUR
 
     def if_several(count: Column, value: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from afterplay.functions.numbers import ratio_or_zero
 from afterplay.operators.events import first_n_events
@@ -28,11 +28,10 @@ def dataset_stats(labels: DataFrame, *by: str, exact: bool = False) -> DataFrame
     for prefix, name in COUNTS.items():
         value = F.coalesce(F.col(name), F.lit(0))
         if exact:
-            total = F.coalesce(F.sum(value), F.lit(0)).cast("decimal(18,0)")
-            squares = F.coalesce(F.sum(value * value), F.lit(0)).cast("decimal(18,0)")
-            count = n.cast("decimal(18,0)")
-            mean = ratio_or_zero(total, n)
-            spread = F.sqrt((count * squares - total * total).cast("double")) / n.cast("double")
+            wide = value.cast("decimal(18,0)")
+            total, squares = F.sum(wide), F.sum(wide * wide)
+            mean = F.when(n > 0, total.cast("double") / n)
+            spread = _population_deviation(n, total, squares)
         else:
             mean, spread = F.avg(value), F.stddev_pop(value)
         columns += [
@@ -44,6 +43,16 @@ def dataset_stats(labels: DataFrame, *by: str, exact: bool = False) -> DataFrame
     return labels.groupBy(*by).agg(*columns) if by else labels.agg(*columns)
 
 
+def _population_deviation(n: Column, total: Column, squares: Column) -> Column:
+    """From exact sums where all digits fit, else from their doubles."""
+    digits = "decimal(18,0)"
+    narrow = total.try_cast(digits)
+    exact = F.sqrt((n.cast(digits) * squares.try_cast(digits) - narrow * narrow).cast("double")) / n
+    mean = total.cast("double") / n
+    close = F.sqrt(F.greatest(squares.cast("double") / n - mean * mean, F.lit(0.0)))
+    return F.coalesce(exact, close)
+
+
 def feature_means(table: DataFrame) -> DataFrame:
     names = ("activeDuration", "playCount", "meanScore")
     return table.agg(*[F.avg(name).alias(f"avg_{name}") for name in names])

@@ -27,7 +27,7 @@ from afterplay.operators.prepare import (
 )
 from afterplay.operators.split import fit_player_split
 from afterplay.plans.fragments import race_features, rounded, score_features, score_labels
-from afterplay.plans.queries_rows import race_table, rounded_columns, score_table
+from afterplay.plans.queries_rows import race_table, rounded_columns, score_events, score_table
 from afterplay.plans.queries_split import PARTS_SQL
 from afterplay.plans.registry import query, table
 
@@ -177,7 +177,7 @@ _MOMENTS_SQL = ", ".join(
 def standard_scale(spark, folder):
     names = ["playCount", "bestScore", "worstScore", "activeDuration"]
     features = score_table(spark, folder).select("player_id", *names)
-    cut = fit_player_split(features)
+    cut = fit_player_split(score_events(spark, folder))
     parts = features.withColumn("part", cut.part("player_id"))
     fitted = with_scaling(parts.filter("part = 'train'"), Preparation(names, {}))
     return fitted.apply(parts, keep=("player_id", "part")).select("player_id", "part", *rounded_columns(*names))

@@ -184,3 +184,19 @@ def test_one_exchange_without_hot_players(spark, sf_dir):
     plan = player_table(events_from_orders(spark.read.parquet(f"{sf_dir}/orders.parquet")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_deviation_beyond_exact_digits(spark):
+    from afterplay.operators.player_table import _decimal_deviation
+    from afterplay.operators.stats import dataset_stats
+
+    row = spark.createDataFrame([(4_000_000_000,)], "scores long").select(
+        "scores",
+        F.lit("10000000000").cast("decimal(28,2)").alias("total"),
+        F.lit("41000000000").cast("decimal(38,4)").alias("squares"),
+    )
+    n = F.col("scores").cast("double")
+    assert row.select(_decimal_deviation(n, 2).alias("sd")).first().sd == pytest.approx(2.0, rel=1e-9)
+    counts = [(True, 300_000_000_000, 0), (False, 100_000_000_000, 0)]
+    labels = spark.createDataFrame(counts, "churned boolean, op_event_count long, cp_event_count long")
+    assert dataset_stats(labels, exact=True).first().op_std == pytest.approx(1e11)
