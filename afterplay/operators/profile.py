@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from afterplay.functions.display import shorten
-from afterplay.sources.readers import explode_keyed_document, read_documents
+from afterplay.sources.readers import read_documents, scan_keyed_document
 
 # How many sample values, sample records and keys a profile shows.
 SAMPLE_VALUES = 3
@@ -134,8 +134,8 @@ def profile_json_document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def profile_keyed_members(spark: SparkSession, path: str) -> DataFrame:
-    """Kinds of the members of keyed documents, counted after they are spread over tasks."""
-    members = explode_keyed_document(read_documents(spark, path), T.VariantType())
+    """Kinds of the members of keyed documents of any size."""
+    members = scan_keyed_document(spark, path, T.VariantType())
     return members.groupBy(value_kind(F.col("value")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -28,12 +28,12 @@ from afterplay.sources.readers import (
     explode_match_players,
     explode_matches,
     first_json_lines,
-    read_documents,
     scan_csv,
     scan_features,
     scan_json_document,
     scan_json_lines,
     scan_json_lines_strict,
+    scan_keyed_document,
 )
 from afterplay.sources.schemas import MATCH, MATCH_PLAYERS, RACE_LOG, SCORE_LOG
 from afterplay.sources.writers import write_csv, write_json_lines
@@ -172,18 +172,24 @@ def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "explode_keyed_json",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS match_id, o_orderpriority AS server, o_orderstatus = 'F' AS official,
+MATCHES_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS match_id, o_orderpriority AS server, o_orderstatus = 'F' AS official,
         0 AS team, o_orderstatus AS team_name, CAST(floor(o_totalprice) AS BIGINT) AS team_score FROM orders
        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderpriority, o_orderstatus = 'F', 1,
-        o_orderpriority, o_custkey FROM orders""",
-)
+        o_orderpriority, o_custkey FROM orders"""
+MATCH_COLUMNS = ("match_id", "server", "official", "team", "team_name", "team_score")
+
+
+@query("explode_keyed_json", MATCHES_SQL)
 def explode_keyed_json(spark: SparkSession, folder: str) -> DataFrame:
+    documents = keyed_documents(spark, folder).select(F.col("value").alias("document"))
+    return explode_matches(explode_keyed_document(documents, MATCH)).select(*MATCH_COLUMNS)
+
+
+@query("scan_keyed_document", MATCHES_SQL)
+def scan_keyed_document_query(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "matches")
     keyed_documents(spark, folder).write.partitionBy("bucket").text(path)
-    matches = explode_keyed_document(read_documents(spark, path), MATCH)
-    return explode_matches(matches).select("match_id", "server", "official", "team", "team_name", "team_score")
+    return explode_matches(scan_keyed_document(spark, path, MATCH)).select(*MATCH_COLUMNS)
 
 
 @query(

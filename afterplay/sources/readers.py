@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from afterplay.sources.schemas import SCORE_CSV
 
@@ -99,13 +99,63 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "document")
 
 
+# Fixed value: the entries of a keyed document have numbers for names.
+NUMBERED_KEY = r'^(\d+)"\s*:\s*'
+
+
+def scan_keyed_document(
+    spark: SparkSession,
+    path: str,
+    value_type: T.DataType,
+    separator: str = ',"',
+    key: str = NUMBERED_KEY,
+) -> DataFrame:
+    """Rows ``(key, value)`` of keyed documents of any size, read by many tasks.
+
+    A file is cut at every ``separator``, wherever it stands, so its splits are read in
+    parallel. A fragment that begins with a key of the root starts an entry, those up to
+    the next start belong to it. Entries are numbered by counting starts: within a split
+    in order, and over the splits of a file, of which there are few. The fragments of an
+    entry are put together again and parsed. ``separator`` is what ends an entry in the
+    file, up to the quote of the next key, and ``key`` must match no key further inside.
+    """
+    fragments = spark.read.option("lineSep", separator).text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("n"),
+        "value",
+    )
+    opening = (F.col("split") == 0) & F.col("value").rlike(r"^\s*\{")
+    fragments = fragments.withColumn(
+        "value", F.when(opening, F.regexp_replace("value", r'^\s*\{\s*"', "")).otherwise(F.col("value"))
+    ).withColumn("start", F.col("value").rlike(key).cast("bigint"))
+    in_split = Window.partitionBy("file", "split").orderBy("n")
+    over_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        fragments.groupBy("file", "split")
+        .agg(F.sum("start").alias("starts"))
+        .select("file", "split", F.coalesce(F.sum("starts").over(over_splits), F.lit(0)).alias("before"))
+    )
+    numbered = fragments.withColumn("within", F.sum("start").over(in_split)).join(before, ["file", "split"])
+    pieces = F.array_sort(F.collect_list(F.struct("split", "n", "value")))
+    entries = numbered.groupBy("file", (F.col("before") + F.col("within")).alias("entry")).agg(
+        F.array_join(F.transform(pieces, lambda p: p["value"]), separator).alias("text")
+    )
+    # What is left of the root behind the last value is not looked at by the parser.
+    body = F.concat(F.lit('{"v":'), F.regexp_replace("text", key, ""), F.lit("}"))
+    holder = T.StructType([T.StructField("v", value_type)])
+    return entries.filter("entry > 0").select(
+        F.regexp_extract("text", key, 1).alias("key"), F.from_json(body, holder)["v"].alias("value")
+    )
+
+
 def explode_keyed_document(
     documents: DataFrame, value_type: T.DataType, text: str = "document"
 ) -> DataFrame:
     """``{"1": {...}, "2": {...}}`` to rows ``(key, value)``.
 
-    A document is parsed by one task. Convert large ones to a table once; the rows are
-    spread over all tasks from here on.
+    For documents that are column values. Each is parsed by one task;
+    :func:`scan_keyed_document` reads large files by many.
     """
     keyed = F.from_json(F.col(text), T.MapType(T.StringType(), value_type))
     others = [c for c in documents.columns if c != text]

@@ -22,6 +22,7 @@ from afterplay.sources.readers import (
     scan_json_document,
     scan_json_lines,
     scan_json_lines_strict,
+    scan_keyed_document,
 )
 from afterplay.sources.schemas import RACE_LOG, SCORE_LOG
 from afterplay.sources.writers import write_json_lines
@@ -129,6 +130,31 @@ def test_documents_and_feature_files(spark, tmp_path):
     assert [(r.player_id, r.churned, r.x) for r in rows] == [("007", 1, 2.5), ("008", 0, None)]
 
 
+@pytest.mark.parametrize("separators,separator", [((",", ":"), ',"'), ((", ", ": "), ', "')])
+def test_keyed_document_is_read_in_splits(spark, tmp_path, separators, separator):
+    folder = tmp_path / "keyed"
+    folder.mkdir()
+    expected = {}
+    for name, base in (("a", 0), ("b", 1_000)):
+        document = {}
+        for i in range(base, base + 200):
+            note = ['plain', 'ends with ,', '{"77": 1}', 'x,"88":{', "é" * (i % 40)][i % 5]
+            document[str(i)] = {"n": i, "note": note, "inner": [{"a": 1, "b": "2,"}, {"note": note}]}
+            expected[str(i)] = (i, note)
+        text = json.dumps(document, separators=separators, ensure_ascii=False)
+        (folder / f"{name}.json").write_text(text, encoding="utf-8")
+    schema = spark.createDataFrame([], "n long, note string, inner array<struct<note: string>>").schema
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        rows = scan_keyed_document(spark, str(folder), schema, separator).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 400
+    assert {r.key: (r.value.n, r.value.note) for r in rows} == expected
+    assert all(r.value.inner[1].note == r.value.note for r in rows)
+
+
 def test_text_kinds(spark):
     values = ["plain", "[1, 2]", '{"a": 1}', "5", "2.5", "true", "null", None, '"x"', "5 apples", "1, 2"]
     rows = spark.createDataFrame([(v,) for v in values], "t string")
