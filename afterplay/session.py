@@ -19,6 +19,7 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)

@@ -37,6 +37,7 @@ def is_purchase(event: Column) -> Column:
 
 
 def _canonical(df: DataFrame, **columns: Column) -> DataFrame:
+    """Event rows; those that name no player are dropped, at the scan where it can be."""
     nothing = {
         "is_play": F.lit(False),
         "score": F.lit(None).cast("double"),
@@ -44,7 +45,8 @@ def _canonical(df: DataFrame, **columns: Column) -> DataFrame:
         "price": F.lit(None).cast("double"),
     }
     filled = nothing | columns
-    return df.select(*[filled[name].alias(name) for name in EVENT_COLUMNS])
+    rows = df.select(*[filled[name].alias(name) for name in EVENT_COLUMNS])
+    return rows.filter(has_player_id(F.col("player_id")))
 
 
 def events_from_score_csv(rows: DataFrame) -> DataFrame:
@@ -67,7 +69,7 @@ def events_from_score_csv(rows: DataFrame) -> DataFrame:
 def _exploded(players: DataFrame) -> DataFrame:
     return players.select(
         resolve_player_id(players).alias("player_id"), F.posexplode("records").alias("pos", "r")
-    ).filter(has_player_id(F.col("player_id")))
+    )
 
 
 def events_from_score_logs(players: DataFrame) -> DataFrame:
