@@ -34,7 +34,6 @@ from afterplay.plans.fragments import (
     iso,
     race_features,
     race_labels,
-    rounded,
     score_features,
     score_labels,
 )
