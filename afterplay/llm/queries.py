@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from afterplay.llm import jaccard, mixing, packing, perplexity, quality, secrets
+from afterplay.llm import jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, winnow
 from afterplay.llm.arrow import small_batches
 from afterplay.llm.components import written
 from afterplay.plans.registry import Query, table
@@ -80,6 +80,33 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+TOP = 5
+TOP_SQL = """
+    WITH usable AS (
+        SELECT vec_id, embedding FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+    ), whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM usable
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op2_metric_tree_search", TOP_SQL)
+def metric_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = written(metric_tree.scaled(table(spark, folder, "embeddings")), "vectors")
+    index = metric_tree.build(vectors)
+    if index is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    return metric_tree.top_k(vectors.filter("id % 50 = 0"), index, TOP)
+
+
 @query("op3_cross_entropy_difference")
 def cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -99,29 +126,52 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_winnowing_fingerprints")
+def winnowing_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.fingerprints_and_edits(table(spark, folder, "documents"))
+
+
 @query("op6_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"))
 
 
+@query("op7_crf_language_id")
+def crf_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.train(docs, remainder("doc_id", 3) != 1)
+    return language.predict(docs, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query("op8_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op9_secret_scans")
-def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    found = secrets.scan(docs, secrets.train(docs))
+def span_digests(found: DataFrame, base: tuple[str, ...], learned: str) -> DataFrame:
+    """Counts per kind, the digest of the base spans, and all spans, from arrays of spans."""
     line = "concat_ws(':', s.kind, s.start, s.end)"
-    base = f"concat_ws(',', transform(filter(found, s -> s.kind <> 'random'), s -> {line}))"
+    shapes = f"concat_ws(',', transform(filter(found, s -> s.kind <> '{learned}'), s -> {line}))"
     counts = [
         F.expr(f"CAST(size(filter(found, s -> s.kind = '{kind}')) AS BIGINT)").alias(f"n_{kind}")
-        for kind in ("assign", "access", "hex", "random")
+        for kind in (*base, learned)
     ]
     return found.select(
         "doc_id",
         *counts,
-        F.sha2(F.expr(base).cast("binary"), 256).alias("base_sha256"),
+        F.sha2(F.expr(shapes).cast("binary"), 256).alias("base_sha256"),
         F.expr(f"concat_ws(',', transform(found, s -> {line}))").alias("spans"),
     )
+
+
+@query("op9_secret_scans")
+def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return span_digests(secrets.scan(docs, secrets.train(docs)), secrets.KINDS[:3], secrets.KINDS[3])
+
+
+@query("op10_contextual_pii")
+def contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return span_digests(pii.scan(table(spark, folder, "documents")), pii.KINDS, "context")
