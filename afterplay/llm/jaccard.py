@@ -1,10 +1,12 @@
 """N-gram Jaccard join by filtering under several global token orders.
 
 A document is the set of its distinct shingles of five words. If two sets are to overlap by
-75%, then under *any* order of all shingles the first ``n - ceil(0.75 n) + 1`` of each share
-one. Three orders are used. Under the first, sets that share a prefix shingle meet in a bucket;
-a pair is verified only if its prefixes also meet under the other two. In each order shingles
-that many texts share come last, so common passages are seldom in a prefix.
+75%, then under *any* order of all shingles the first ``n - ceil(0.75 n) + l`` of each share
+``l`` at least; ``l`` is 1 and 10% of the smaller set. Three orders are used. Under the first, sets
+that share a prefix shingle meet in a bucket; a set that does not share enough of its prefix with
+others is left out, and so is a pair. What is left is verified only if its prefixes share enough
+under the other orders too. In each order shingles that many texts share come last, so that common passages are
+seldom in a prefix.
 
 Links are needed only between components, which keeps the work away from all pairs:
 
@@ -39,6 +41,7 @@ from afterplay.llm.words import hashed, mixed
 
 WORDS = 5
 PERCENT = 75
+SHARED_PERCENT = 10
 ORDERS = 3
 PIVOT_ROUNDS = 3
 COMMON_LEAST = 48
@@ -62,23 +65,47 @@ def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     return mixed(h, 5)
 
 
-def sets(column: pa.Array) -> Iterator[np.ndarray]:
-    """The sorted distinct shingles of each text."""
+class Sets:
+    """The sets of a block of texts: ``values[bounds[i]:bounds[i + 1]]``, sorted and distinct."""
+
+    def __init__(self, words: np.ndarray, first: np.ndarray):
+        run = shingles(words) if len(words) >= WORDS else np.zeros(0, np.uint64)
+        parts = []
+        for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
+            if hi - lo < WORDS:
+                parts.append(shingles(words[lo:hi]))
+                continue
+            own = np.sort(run[lo : hi - WORDS + 1])
+            new = own[1:] != own[:-1]
+            parts.append(own if new.all() else own[np.append(True, new)])
+        sizes = np.array([len(part) for part in parts], np.int64)
+        self.values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
+        self.sizes = sizes
+        # equal sets have equal numbers: two sums over the set, mixed with its size
+        self.numbers = np.zeros(len(sizes), np.int64)
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            begin = self.bounds[:-1][filled]
+            one, two = np.add.reduceat(self.values, begin), np.add.reduceat(mixed(self.values, 9), begin)
+            self.numbers[filled] = mixed(mixed(one ^ sizes[filled].astype(np.uint64), 1) ^ two, 2).view(np.int64)
+
+    def of(self, row: int) -> np.ndarray:
+        return self.values[self.bounds[row] : self.bounds[row + 1]]
+
+
+def sets(column: pa.Array) -> Iterator[Sets]:
     for _, _, words, bounds in hashed(column, lower=True):
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            yield np.unique(shingles(words[lo:hi]))
+        yield Sets(words, bounds)
 
 
-def class_of(values: np.ndarray) -> int:
-    """One number for a set; equal sets have equal numbers."""
-    with np.errstate(over="ignore"):
-        total = values.sum(dtype=np.uint64), mixed(values, 9).sum(dtype=np.uint64)
-        parts = np.array([total[0] ^ np.uint64(len(values))]), np.array([total[1]])
-    return int(mixed(mixed(parts[0], 1) ^ parts[1], 2).view(np.int64)[0])
+def least_shared(n: int) -> int:
+    """How many prefix shingles a pair shares, if the smaller set has ``n``."""
+    return 1 + n * SHARED_PERCENT // 100
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
-    return n + (-percent * n // 100) + 1
+    return n + (-percent * n // 100) + least_shared(n)
 
 
 class Orders:
@@ -88,15 +115,25 @@ class Orders:
         order = np.argsort(common)
         self.common = common[order]
         self.level = (8 * np.log2(np.maximum(counts[order], 1))).astype(np.int64) + 1
-
-    def prefix(self, values: np.ndarray, order: int, size: int) -> np.ndarray:
-        spread = mixed(values, 100 + order)
-        if len(self.common):
-            at = np.minimum(np.searchsorted(self.common, values), len(self.common) - 1)
-            known = self.common[at] == values
-            if known.any():
-                return values[np.lexsort((spread, np.where(known, self.level[at], 0)))[:size]]
-        return values[np.argpartition(spread, size - 1)[:size]] if size < len(values) else values
+        self.maybe = np.zeros(1 << 23, bool)
+        self.maybe[(common & np.uint64(len(self.maybe) - 1)).astype(np.int64)] = True
+
+    def levels(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(values), np.int64)
+        at = np.flatnonzero(self.maybe[(values & np.uint64(len(self.maybe) - 1)).astype(np.int64)])
+        if len(at) and len(self.common):
+            place = np.minimum(np.searchsorted(self.common, values[at]), len(self.common) - 1)
+            out[at] = np.where(self.common[place] == values[at], self.level[place], 0)
+        return out
+
+    @staticmethod
+    def prefix(values: np.ndarray, levels: np.ndarray, spread: np.ndarray, size: int) -> np.ndarray:
+        """The first ``size`` values by level, then by ``spread``."""
+        if size >= len(values):
+            return values
+        if levels.any():
+            return values[np.lexsort((spread, levels))[:size]]
+        return values[np.argpartition(spread, size - 1)[:size]]
 
 
 def _classes(docs: DataFrame, key: str) -> DataFrame:
@@ -120,43 +157,80 @@ def _classes(docs: DataFrame, key: str) -> DataFrame:
         held, many, kind = [], 0, None
         for batch in batches:
             kind, n, classes = batch.schema.field(0).type, [], []
-            for values in sets(batch.column(1)):
-                n.append(len(values))
-                classes.append(class_of(values) if len(values) else 0)
-                held.append(values)
-                many += len(values)
+            for found in sets(batch.column(1)):
+                n.append(found.sizes)
+                classes.append(found.numbers)
+                held.append(found.values)
+                many += len(found.values)
                 if many >= FLUSH:
                     yield repeated(held, kind)
                     held, many = [], 0
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(classes, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(len(n), bool))], schema.names)
+            if not n:
+                continue
+            columns = [batch.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(classes))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(batch.num_rows, bool))], schema.names)
         if many:
             yield repeated(held, kind)
 
     return rows.mapInArrow(describe, schema)
 
 
-def _scan_classes(docs: DataFrame, shared, make, schema: str) -> DataFrame:
-    """``make(class, set, shared value)`` gives a batch for every class that a task meets."""
+class _Once:
+    """The rows of blocks whose class this task has not met yet; at most ``KNOWN_CLASSES`` are kept."""
+
+    def __init__(self) -> None:
+        self.known: set[int] = set()
+
+    def new(self, found: Sets) -> Iterator[int]:
+        for row, (number, size) in enumerate(zip(found.numbers.tolist(), found.sizes.tolist())):
+            if size and number not in self.known:
+                if len(self.known) >= KNOWN_CLASSES:
+                    self.known.clear()
+                self.known.add(number)
+                yield row
+
+
+def _prefixes(docs: DataFrame, orders) -> DataFrame:
+    """``token, class, n`` for the prefix of every set under the first order."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _Once()
+        for batch in batches:
+            for found in sets(batch.column(0)):
+                levels, spread = orders.value.levels(found.values), mixed(found.values, 100)
+                tokens, rows = [], list(once.new(found))
+                for row in rows:
+                    own = slice(found.bounds[row], found.bounds[row + 1])
+                    size = prefix_size(int(found.sizes[row]))
+                    tokens.append(Orders.prefix(found.values[own], levels[own], spread[own], size))
+                if rows:
+                    counts = [len(t) for t in tokens]
+                    columns = [np.concatenate(tokens).view(np.int64)]
+                    columns += [np.repeat(x[rows], counts) for x in (found.numbers, found.sizes)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "class", "n"])
+
     rows = docs.select(docs["text"].cast("string").alias("text"))
+    return rows.mapInArrow(_gathered(first), "token bigint, class bigint, n bigint")
+
 
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
+def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
+    """``class, shingles`` of the documents whose hashed id is in the bitmap; some may come twice."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _Once()
         for batch in batches:
-            for values in sets(batch.column(0)):
-                if not len(values):
-                    continue
-                number = class_of(values)
-                if number in known:
-                    continue
-                if len(known) >= KNOWN_CLASSES:
-                    known.clear()
-                known.add(number)
-                made = make(number, values, shared.value)
-                if made is not None:
-                    yield made
-
-    return rows.mapInArrow(_gathered(once), schema)
+            place = batch.column(0).to_numpy() & (64 * len(bitmap.value) - 1)
+            wanted = (bitmap.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+            if not wanted.any():
+                continue
+            for found in sets(batch.column(1).filter(pa.array(wanted))):
+                rows = list(once.new(found))
+                if rows:
+                    values = pa.array([found.of(row).tobytes() for row in rows], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(found.numbers[rows]), values], ["class", "shingles"])
+
+    rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs["text"].cast("string").alias("text"))
+    return rows.mapInArrow(_gathered(keep), "class bigint, shingles binary")
 
 
 def _gathered(function):
@@ -176,44 +250,46 @@ def _gathered(function):
     return run
 
 
-def _bitmap(classes: DataFrame) -> np.ndarray:
-    """One bit per hashed class, at most ``BITMAP_BITS`` of them."""
-    bits = 1 << 16
-    many = classes.count()
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """One bit per hashed id in the column ``id``, at most ``BITMAP_BITS`` of them."""
+    bits, many = 1 << 16, ids.count()
     while bits < min(16 * many, BITMAP_BITS):
         bits *= 2
-    place = F.col("class").bitwiseAND(F.lit(bits - 1))
+    place = F.xxhash64("id").bitwiseAND(F.lit(bits - 1))
     word = F.shiftright(place, 6).alias("word")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    rows = classes.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    rows = ids.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
     out = np.zeros(bits // 64, np.uint64)
     out[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
     return out
 
 
-def _in_bitmap(bitmap: np.ndarray, number: int) -> bool:
-    place = number & (64 * len(bitmap) - 1)
-    return bool(int(bitmap[place >> 6]) >> (place & 63) & 1)
+def _verified(pairs: DataFrame, kept: DataFrame, orders) -> DataFrame:
+    """``a, b, shared, union`` of the pairs that meet under every order; else both are null.
 
-
-def _verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
-    """``a, b, shared, union`` of the pairs that meet under every order; else both are null."""
-    names = ["n", "prefixes", "shingles"]
-    left = kept.select(F.col("class").alias("a"), *[F.col(c).alias(f"{c}_a") for c in names])
-    right = kept.select(F.col("class").alias("b"), *[F.col(c).alias(f"{c}_b") for c in names])
-    wide = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", *left.columns[2:], *right.columns[2:])
+    Only the sets of ``a`` travel with the pairs; ``b`` has few distinct sets.
+    """
+    pairs = written(pairs.select("a", "b"), "candidates")
+    few = kept.join(pairs.select(F.col("b").alias("class")).distinct(), "class", "left_semi")
+    left = pairs.join(kept.select(F.col("class").alias("a"), F.col("shingles").alias("set_a")), "a")
+    wide = left.join(few.select(F.col("class").alias("b"), F.col("shingles").alias("set_b")), "b")
+    wide = wide.select("a", "b", "set_a", "set_b")
     out = ["a", "b", "shared", "union"]
 
+    def prefixes(values: np.ndarray) -> list[np.ndarray]:
+        levels, size = orders.value.levels(values), prefix_size(len(values))
+        return [np.sort(Orders.prefix(values, levels, mixed(values, 100 + i), size)) for i in range(1, ORDERS)]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, of_last = None, []
         for batch in batches:
             shared, union = [], []
-            for row in zip(*[batch.column(i) for i in range(2, 6)]):
-                pre_a, set_a, pre_b, set_b = (np.frombuffer(v.as_buffer(), np.uint64) for v in row)
-                size = len(pre_a) // (ORDERS - 1), len(pre_b) // (ORDERS - 1)
-                meets = all(
-                    len(np.intersect1d(pre_a[i * size[0] : (i + 1) * size[0]], pre_b[i * size[1] : (i + 1) * size[1]], True))
-                    for i in range(ORDERS - 1)
-                )
+            for b, one, other in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                set_a, set_b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, other))
+                if b != last:
+                    last, of_last = b, prefixes(set_b)
+                least = least_shared(min(len(set_a), len(set_b)))
+                meets = all(len(np.intersect1d(x, y, True)) >= least for x, y in zip(prefixes(set_a), of_last))
                 both = len(np.intersect1d(set_a, set_b, True)) if meets else None
                 shared.append(both)
                 union.append(None if both is None else len(set_a) + len(set_b) - both)
@@ -248,53 +324,35 @@ def _links(tested: DataFrame) -> DataFrame:
     return tested.filter(F.col("shared") * 100 >= F.col("union") * PERCENT).select("a", "b")
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, common: DataFrame) -> DataFrame:
-    """``node, label`` of every class that shares a bucket; equal labels are one component."""
+def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFrame) -> DataFrame:
+    """``node, label`` of the classes that may link; equal labels are one component."""
     spark = docs.sparkSession
     top = most_frequent(common, "n", COMMON_LIMIT, COMMON_LEAST).toArrow()
     orders = spark.sparkContext.broadcast(
         Orders(top.column("class").to_numpy().astype(np.int64).view(np.uint64), top.column("n").to_numpy())
     )
-
-    def first_prefix(number: int, values: np.ndarray, by: Orders) -> pa.RecordBatch:
-        chosen = by.prefix(values, 0, prefix_size(len(values)))
-        columns = [pa.array(chosen.view(np.int64))]
-        columns += [pa.array(np.full(len(chosen), v, np.int64)) for v in (number, len(values))]
-        return pa.RecordBatch.from_arrays(columns, ["token", "class", "n"])
-
-    prefixes = _scan_classes(docs, orders, first_prefix, "token bigint, class bigint, n bigint")
     bucket = Window.partitionBy("token")
-    shared = (
-        prefixes.withColumn("lo", F.min("class").over(bucket))
-        .withColumn("hi", F.max("class").over(bucket))
-        .filter("lo <> hi")
-        .groupBy("token", "class")
-        .agg(F.first("n").alias("n"))
-    )
-    shared = written(shared, "buckets")
+    several = F.min("class").over(bucket) != F.max("class").over(bucket)
+    met = _prefixes(docs, orders).withColumn("several", several).filter("several")
+    met = written(met.groupBy("token", "class").agg(F.first("n").alias("n")), "buckets")
+    for _ in range(2):  # without the sets that share too little, others share less
+        partner = F.floor((F.col("n") * PERCENT + 99) / 100)
+        enough = met.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared"))
+        enough = enough.filter(F.col("shared") >= F.floor(partner * SHARED_PERCENT / 100) + 1)
+        left = met.join(enough.select("class"), "class", "left_semi").withColumn("several", several)
+        met = written(left.filter("several").drop("several"), "buckets")
     # tokens with the same members say the same: one of them stays
-    same = shared.groupBy("token").agg(
+    same = met.groupBy("token").agg(
         F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("size")
     )
-    chosen = same.groupBy("sum", "size").agg(F.min("token").alias("token")).select("token")
-    buckets = written(shared.join(chosen, "token"), "buckets")
+    chosen = same.groupBy("sum", "size").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
+    chosen = chosen.select("token", "weight")
+    buckets = written(met.join(chosen, "token"), "buckets")
     nodes = written(buckets.select("class").distinct(), "nodes")
 
-    shared_state = spark.sparkContext.broadcast((orders.value, _bitmap(nodes)))
-
-    def whole_set(number: int, values: np.ndarray, state: tuple[Orders, np.ndarray]) -> pa.RecordBatch | None:
-        if not _in_bitmap(state[1], number):
-            return None
-        size = prefix_size(len(values))
-        others = [np.sort(state[0].prefix(values, i, size)) for i in range(1, ORDERS)]
-        columns = [[number], [len(values)], [np.concatenate(others).tobytes()], [values.tobytes()]]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["class", "n", "prefixes", "shingles"]
-        )
-
-    kept = _scan_classes(docs, shared_state, whole_set, "class bigint, n bigint, prefixes binary, shingles binary")
-    kept = written(kept.join(nodes, "class", "left_semi").dropDuplicates(["class"]), "sets")
+    ids = classes.join(nodes, "class", "left_semi").select(F.col("least_id").alias("id"))
+    bitmap = spark.sparkContext.broadcast(_bitmap(ids))
+    kept = written(_whole_sets(docs, key, bitmap), "sets")
 
     labels = nodes.select(F.col("class").alias("node"), F.col("class").alias("label"))
     tested = None
@@ -303,8 +361,14 @@ def linked_classes(docs: DataFrame, classes: DataFrame, common: DataFrame) -> Da
         return buckets.join(labels.select(F.col("node").alias("class"), "label"), "class")
 
     def untested(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        """``a, b`` of the pairs (a, b, n_a, n_b, weight) whose buckets together weigh enough."""
+        smaller = F.least(F.min("n_a"), F.min("n_b"))
+        enough = F.sum("weight") >= F.floor(smaller * SHARED_PERCENT / 100) + 1
+        pairs = pairs.groupBy("a", "b").agg(enough.alias("enough")).filter("enough").select("a", "b")
+        if tested is None:
+            return pairs
+        known = tested.select("a", "b").unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        return pairs.join(known, ["a", "b"], "left_anti")
 
     for number in range(PIVOT_ROUNDS):
         found = members()
@@ -312,7 +376,10 @@ def linked_classes(docs: DataFrame, classes: DataFrame, common: DataFrame) -> Da
         met = found.join(pivots, found["token"] == pivots["bucket"]).filter(
             (F.col("label") != F.col("main")) & _close("n", "pivot_n")
         )
-        new = written(_verified(untested(met.select(F.col("class").alias("a"), F.col("pivot").alias("b"))), kept), "pairs")
+        pairs = met.select(
+            F.col("class").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b"), "weight"
+        )
+        new = written(_verified(untested(pairs), kept, orders), "pairs")
         if new.isEmpty():
             break
         tested = new if tested is None else tested.unionByName(new)
@@ -331,7 +398,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, common: DataFrame) -> Da
     ).withColumn("d", F.when(F.col("class") == F.col("pivot"), 0.0).otherwise(F.col("d")))
     with_distance = written(with_distance, "open")
     names = ["class", "n", "label", "d"]
-    minor = with_distance.filter("label <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in names])
+    minor = with_distance.filter("label <> main").select("token", "weight", *[F.col(c).alias(f"{c}_a") for c in names])
     every = with_distance.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in names])
     near = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True))
     cross = minor.join(every, "token").filter(
@@ -340,7 +407,10 @@ def linked_classes(docs: DataFrame, classes: DataFrame, common: DataFrame) -> Da
         & _close("n_a", "n_b")
         & near
     )
-    new = written(_verified(untested(cross.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))), kept), "pairs")
+    pairs = cross.select(
+        F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "n_a", "n_b", "weight"
+    )
+    new = written(_verified(untested(pairs), kept, orders), "pairs")
     return merged(labels, _links(new))
 
 
@@ -351,8 +421,8 @@ def join(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     rows = described.filter("NOT common").select("doc_id", "n", "class")
     common = described.filter("common").groupBy("class").agg(F.sum("n").alias("n"))
     filled = rows.filter("n > 0")
-    classes = filled.groupBy("class").agg(F.min("doc_id").alias("least_id"))
-    labels = linked_classes(docs, classes, common)
+    classes = written(filled.groupBy("class").agg(F.min("doc_id").alias("least_id")), "least")
+    labels = linked_classes(docs, key, classes, common)
     # classes alone in every bucket keep their own number as label
     numbered = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "label", F.coalesce("label", "class")
