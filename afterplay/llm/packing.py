@@ -13,7 +13,9 @@ Repeated rows are packed each. Columns other than the id and the text do not mat
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,34 +27,93 @@ from afterplay.session import scratch_path
 
 MAX_TOKENS = 2048
 END_ID = 0
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers spell the letters a-z and those of Latin-1: one sign per byte."""
+    signs, others = {}, 0
+    for byte in range(256):
+        shown = 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174
+        signs[byte] = chr(byte if shown else 256 + others)
+        others += not shown
+    letters = [*range(97, 123), *(c for c in range(0xDF, 0x100) if c != 0xF7)]
+    return {c: "".join(signs[b] for b in chr(c).encode()) for c in letters}
 
 
 class WordIds:
     """Token ids of texts, as little-endian bytes, each distinct word encoded once.
 
     Exact for tokenizers that drop white space: no token spans a space, so a text's ids are
-    those of its words in turn. At most ``CACHED_WORDS`` words are remembered.
+    those of its words in turn. The first ``CACHED_WORDS`` words are remembered. Plain words,
+    small letters with stops behind them, go straight to the tokenizer's model, if that gives
+    what the tokenizer gives for the words in ``PROBES``.
     """
 
+    PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,!]*)")
+    LETTERS = _byte_letters()
+    PROBES = ("the", "éèñöüß", "unfathomable", "ægir.", "straße,", "rivière!", "a.,", "übermäßig!!")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.stops: dict[str, list[int]] = {"": []}
+        self.direct = True
+        self.direct = all(self._plain(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in self.PROBES)
+        self.lowers = self._same("ABC", "abc") and self._same("É", "é")
+
+    def _same(self, one: str, other: str) -> bool:
+        return self.tokenizer.encode(one).ids == self.tokenizer.encode(other).ids
+
+    def _plain(self, word: str) -> list[int] | None:
+        match = self.PLAIN.fullmatch(word)
+        if not self.direct or match is None:
+            return None
+        stops = self.stops.get(match[2])
+        if stops is None:
+            stops = self.tokenizer.encode(match[2], add_special_tokens=False).ids
+            if len(self.stops) < 1000:
+                self.stops[match[2]] = stops
+        return [t.id for t in self.tokenizer.model.tokenize(match[1].translate(self.LETTERS))] + stops
+
+    def _encoded(self, new: set[bytes]) -> dict[bytes, bytes]:
+        found, rest = {}, []
+        for word in new:
+            ids = self._plain(word.decode())
+            if ids is None:
+                rest.append(word)
+            else:
+                found[word] = array("I", ids).tobytes()
+        for word, encoding in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
+            found[word] = array("I", encoding.ids).tobytes()
+        return found
+
+    def _words(self, text: str | None) -> list[bytes]:
+        # bytes.split() cuts at the ASCII white space; any other is left to the tokenizer
+        data = (text or "").encode()
+        # names of special tokens are small, so capitals must not become one
+        return (data.lower() if self.lowers and b"<|" not in data else data).split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        # bytes.split() cuts at the ASCII white space; any other is left to the tokenizer
-        words = [(t or "").encode().split() for t in texts]
-        new = list(set().union(*words).difference(self.known)) if words else []
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list(set().union(*words))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found):
-            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
-        known = self.known.__getitem__
-        return [b"".join(map(known, w)) for w in words]
+        words = [self._words(t) for t in texts]
+        found = self._encoded(set().union(*words).difference(self.known))
+        known = self.known
+        if len(known) + len(found) <= CACHED_WORDS:
+            known.update(found)
+            return [b"".join(map(known.__getitem__, w)) for w in words]
+        return [b"".join([known[x] if x in known else found[x] for x in w]) for w in words]
+
+
+_encoders: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The encoder of this Python process, which keeps its words from task to task."""
+    if path not in _encoders:
+        _encoders[path] = WordIds(path)
+    return _encoders[path]
 
 
 def pieces(
@@ -66,7 +127,7 @@ def pieces(
     width, end = 4 * max_tokens, np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
+        words = word_ids(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
