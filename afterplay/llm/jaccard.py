@@ -11,11 +11,15 @@ seldom in a prefix.
 Links are needed only between components, which keeps the work away from all pairs:
 
 * Equal sets are one class from the start.
+* How many of the sets that are left share a shingle is then known, and gives the order under
+  which they meet in buckets: what few share comes first.
 * A bucket compares its members with one pivot. What links becomes one component. This is
   repeated with new pivots for the buckets that still hold several components.
-* Last, all pairs of a bucket that are in different components are verified, unless their
-  sizes, or their distances to the same pivot, rule a link out (the Jaccard distance keeps the
-  triangle inequality). So no link between components is missed, with no limit on partners.
+* Last, all pairs of a bucket that are in different components are verified, unless one of
+  three bounds rules a link out: their sizes, their distances to the same pivot (the Jaccard
+  distance keeps the triangle inequality), or the shingles that each alone has (they are in the
+  union and not in the intersection). So no link between components is missed, with no limit on
+  partners.
 
 Sets are compared by 64-bit hashes of the shingles. What a task holds is bounded: the most
 frequent shingles (``COMMON_LIMIT``) and a bitmap of the classes in some bucket
@@ -43,7 +47,7 @@ WORDS = 5
 PERCENT = 75
 SHARED_PERCENT = 10
 ORDERS = 3
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 6
 COMMON_LEAST = 48
 COMMON_LIMIT = 1 << 20
 BITMAP_BITS = 1 << 27
@@ -190,13 +194,21 @@ class _Once:
                 yield row
 
 
-def _prefixes(docs: DataFrame, orders) -> DataFrame:
-    """``token, class, n`` for the prefix of every set under the first order."""
+def _in_bitmap(hashed_ids: pa.Array, bitmap: np.ndarray) -> np.ndarray:
+    place = hashed_ids.to_numpy() & (64 * len(bitmap) - 1)
+    return (bitmap[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
+def _prefixes(docs: DataFrame, key: str, orders, bitmap=None) -> DataFrame:
+    """``token, class, n`` for the prefix of every set, or of those whose hashed id is in the bitmap."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _Once()
         for batch in batches:
-            for found in sets(batch.column(0)):
+            texts = batch.column(1)
+            if bitmap is not None:
+                texts = texts.filter(pa.array(_in_bitmap(batch.column(0), bitmap.value)))
+            for found in sets(texts):
                 levels, spread = orders.value.levels(found.values), mixed(found.values, 100)
                 tokens, rows = [], list(once.new(found))
                 for row in rows:
@@ -209,18 +221,32 @@ def _prefixes(docs: DataFrame, orders) -> DataFrame:
                     columns += [np.repeat(x[rows], counts) for x in (found.numbers, found.sizes)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "class", "n"])
 
-    rows = docs.select(docs["text"].cast("string").alias("text"))
+    rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs["text"].cast("string").alias("text"))
     return rows.mapInArrow(_gathered(first), "token bigint, class bigint, n bigint")
 
 
+def _shared(prefixes: DataFrame) -> DataFrame:
+    """The rows of ``prefixes`` whose token several classes have, in classes that share enough."""
+    bucket = Window.partitionBy("token")
+    several = F.min("class").over(bucket) != F.max("class").over(bucket)
+    met = prefixes.withColumn("several", several).filter("several")
+    met = written(met.groupBy("token", "class").agg(F.first("n").alias("n")), "met")
+    partner = F.floor((F.col("n") * PERCENT + 99) / 100)
+    for _ in range(2):  # without the sets that share too little, others share less
+        enough = met.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared"))
+        enough = enough.filter(F.col("shared") >= F.floor(partner * SHARED_PERCENT / 100) + 1)
+        left = met.join(enough.select("class"), "class", "left_semi").withColumn("several", several)
+        met = left.filter("several").drop("several")
+    return met
+
+
 def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
     """``class, shingles`` of the documents whose hashed id is in the bitmap; some may come twice."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _Once()
         for batch in batches:
-            place = batch.column(0).to_numpy() & (64 * len(bitmap.value) - 1)
-            wanted = (bitmap.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+            wanted = _in_bitmap(batch.column(0), bitmap.value)
             if not wanted.any():
                 continue
             for found in sets(batch.column(1).filter(pa.array(wanted))):
@@ -299,15 +325,34 @@ def _verified(pairs: DataFrame, kept: DataFrame, orders) -> DataFrame:
     return wide.mapInArrow(compare, "a bigint, b bigint, shared bigint, union bigint")
 
 
+def _own_shingles(kept: DataFrame, among: DataFrame) -> DataFrame:
+    """``class, own``: how many shingles of each class of ``among`` no other of them has."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
+            if values:
+                numbers = np.repeat(batch.column(0).to_numpy(), [len(v) for v in values])
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(np.concatenate(values))], ["class", "token"])
+
+    tokens = kept.join(among, "class", "left_semi").select("class", "shingles").mapInArrow(each, "class bigint, token bigint")
+    alone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("class")).filter("n = 1")
+    return alone.groupBy("class").agg(F.count(F.lit(1)).alias("own"))
+
+
 def _pivots(members: DataFrame, number: int) -> DataFrame:
-    """For buckets with several labels: the commonest label and one member of it."""
+    """For buckets with several labels: the commonest label and one member of it.
+
+    The first pivots are those in the middle of their groups, later ones are any.
+    """
+    first = F.col("middle") if number == 0 else F.xxhash64("class", F.lit(number)).cast("double")
     by_label = members.groupBy("token", "label").agg(
         F.count(F.lit(1)).alias("size"),
-        F.min(F.struct(F.xxhash64("class", F.lit(number)).alias("h"), "class", "n")).alias("pick"),
+        F.max(F.struct(first.alias("first"), "class", "n")).alias("pick"),
     )
     return (
         by_label.groupBy("token")
-        .agg(F.max(F.struct("size", "label", "pick")).alias("top"), F.count(F.lit(1)).alias("labels"))
+        .agg(F.max(F.struct("size", "pick", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
         .filter("labels > 1")
         .select(
             F.col("token").alias("bucket"), F.col("top.label").alias("main"),
@@ -331,28 +376,34 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
     orders = spark.sparkContext.broadcast(
         Orders(top.column("class").to_numpy().astype(np.int64).view(np.uint64), top.column("n").to_numpy())
     )
-    bucket = Window.partitionBy("token")
-    several = F.min("class").over(bucket) != F.max("class").over(bucket)
-    met = _prefixes(docs, orders).withColumn("several", several).filter("several")
-    met = written(met.groupBy("token", "class").agg(F.first("n").alias("n")), "buckets")
-    for _ in range(2):  # without the sets that share too little, others share less
-        partner = F.floor((F.col("n") * PERCENT + 99) / 100)
-        enough = met.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared"))
-        enough = enough.filter(F.col("shared") >= F.floor(partner * SHARED_PERCENT / 100) + 1)
-        left = met.join(enough.select("class"), "class", "left_semi").withColumn("several", several)
-        met = written(left.filter("several").drop("several"), "buckets")
+    def bitmap_of(kept_classes: DataFrame):
+        ids = classes.join(kept_classes, "class", "left_semi").select(F.col("least_id").alias("id"))
+        return spark.sparkContext.broadcast(_bitmap(ids))
+
+    met = written(_shared(_prefixes(docs, key, orders)), "met")
+    # the counts of the first prefixes order the second ones; what these do not hold comes first
+    times = met.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    seen = most_frequent(times, "n", COMMON_LIMIT, 3).toArrow()
+    orders = spark.sparkContext.broadcast(
+        Orders(seen.column("token").to_numpy().astype(np.int64).view(np.uint64), seen.column("n").to_numpy())
+    )
+    first = met.select("class").distinct()
+    again = _prefixes(docs, key, orders, bitmap_of(first)).join(first, "class", "left_semi")
+    met = written(_shared(again), "met")
     # tokens with the same members say the same: one of them stays
     same = met.groupBy("token").agg(
         F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("size")
     )
     chosen = same.groupBy("sum", "size").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
     chosen = chosen.select("token", "weight")
-    buckets = written(met.join(chosen, "token"), "buckets")
+    # a member of many crowded buckets is near the middle of its group
+    crowd = Window.partitionBy("token")
+    buckets = met.join(chosen, "token").withColumn("crowd", F.count(F.lit(1)).over(crowd) * F.col("weight"))
+    middle = buckets.groupBy("class").agg((F.sum("crowd") / F.first("n")).alias("middle"))
+    buckets = written(buckets.drop("crowd").join(middle, "class"), "buckets")
     nodes = written(buckets.select("class").distinct(), "nodes")
 
-    ids = classes.join(nodes, "class", "left_semi").select(F.col("least_id").alias("id"))
-    bitmap = spark.sparkContext.broadcast(_bitmap(ids))
-    kept = written(_whole_sets(docs, key, bitmap), "sets")
+    kept = written(_whole_sets(docs, key, bitmap_of(nodes)), "sets")
 
     labels = nodes.select(F.col("class").alias("node"), F.col("class").alias("label"))
     tested = None
@@ -383,7 +434,10 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
         if new.isEmpty():
             break
         tested = new if tested is None else tested.unionByName(new)
-        labels = merged(labels, _links(new))
+        links = _links(new)
+        if links.isEmpty() and number:
+            break
+        labels = merged(labels, links)
 
     found = written(members(), "members")
     pivots = written(_pivots(found, PIVOT_ROUNDS), "pivots")
@@ -396,16 +450,22 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
     with_distance = open_buckets.join(
         distance.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "d"), ["class", "pivot"], "left"
     ).withColumn("d", F.when(F.col("class") == F.col("pivot"), 0.0).otherwise(F.col("d")))
-    with_distance = written(with_distance, "open")
-    names = ["class", "n", "label", "d"]
-    minor = with_distance.filter("label <> main").select("token", "weight", *[F.col(c).alias(f"{c}_a") for c in names])
-    every = with_distance.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in names])
+    own = _own_shingles(kept, open_buckets.select("class").distinct())
+    bounded = with_distance.join(own, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    # what two sets share is PERCENT of their union, which holds what each alone has
+    share = PERCENT / (100 - PERCENT)
+    bounded = written(bounded.filter(F.col("n") - F.col("own") >= F.col("own") * share), "open")
+    names = ["class", "n", "label", "d", "own"]
+    minor = bounded.filter("label <> main").select("token", "weight", *[F.col(c).alias(f"{c}_a") for c in names])
+    every = bounded.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in names])
     near = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True))
+    most_shared = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
     cross = minor.join(every, "token").filter(
         (F.col("label_a") != F.col("label_b"))
         & ((F.col("label_b") == F.col("main")) | (F.col("class_a") < F.col("class_b")))
         & _close("n_a", "n_b")
         & near
+        & (most_shared >= (F.col("own_a") + F.col("own_b")) * share)
     )
     pairs = cross.select(
         F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "n_a", "n_b", "weight"
