@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from afterplay.functions.timing import iso_time, micros_between, window_bounds
-from afterplay.operators.hot import DEFAULT_POLICY, SLICE, HotPolicy, slice_hot_players
-from afterplay.operators.player_table import Horizon, churn_labels, with_windows
+from afterplay.operators.hot import DEFAULT_POLICY, SLICE, HotPolicy, Sliced, hot_players, slice_hot_players
+from afterplay.operators.player_table import Horizon, with_windows
 
 
 def first_events(events: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def time_ordered(
     """Events with their 0-based ``position`` and the ``gap_seconds`` since the one before.
 
     Slices of a hot player are numbered on their own. What precedes a slice is one small
-    row per slice, at most players cut times slices, and is broadcast.
+    row per slice.
     """
     chosen = events if where is None else events.filter(where)
     sliced = slice_hot_players(chosen, policy)
@@ -48,7 +48,7 @@ def time_ordered(
     if sliced.cuts is not None:
         line = Window.partitionBy("player_id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         before = (
-            sliced.events.join(F.broadcast(sliced.cuts.select("player_id")), "player_id", "left_semi")
+            sliced.events.join(sliced.cuts.select("player_id"), "player_id", "left_semi")
             .groupBy("player_id", SLICE)
             .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
             .select(
@@ -59,7 +59,7 @@ def time_ordered(
             )
         )
         numbered = (
-            numbered.join(F.broadcast(before), ["player_id", SLICE], "left")
+            numbered.join(before, ["player_id", SLICE], "left")
             .withColumn("position", F.col("position") + F.coalesce("rows_before", F.lit(0)))
             .withColumn("previous_ts", F.coalesce("previous_ts", "ts_before"))
         )
@@ -83,21 +83,27 @@ def detect_game(events: DataFrame, marker: Column, looked_at: int = 10) -> DataF
     )
 
 
-# A record is one line of text, so it holds fewer events than a task could sort.
-RECORD_POLICY = HotPolicy(rows_per_slice=200_000)
+# A record is one line of text and one value in a task, so its length is limited.
+RECORD_EVENTS = 1_000_000
 
 
-def nest_events(events: DataFrame, *fields: str, policy: HotPolicy = RECORD_POLICY) -> DataFrame:
-    """Records with a player's events in time order, for interchange files only.
+def _refuse_long(events: DataFrame, most: int) -> None:
+    """A history too long for one record is an error; it is never cut."""
+    longest = hot_players(events, HotPolicy(rows_per_slice=most)).first()
+    if longest is not None:
+        raise ValueError(f"player {longest.player_id} has {longest.n} events; a record holds at most {most}")
 
-    A player has one record, ``part`` 0. A history too long for one line goes on in parts
-    1, 2, ..., which the log readers take together again. Features never go this way.
+
+def nest_events(events: DataFrame, *fields: str, most_events: int = RECORD_EVENTS) -> DataFrame:
+    """One record per player with its events in time order, for interchange files only.
+
+    A player with more than ``most_events`` events raises. Features never go this way.
     """
-    sliced = slice_hot_players(events, policy)
+    _refuse_long(events, most_events)
     return (
-        sliced.events.groupBy(*sliced.keys)
+        events.groupBy("player_id")
         .agg(_ordered(F.struct("ts", "pos", *fields)).alias("records"))
-        .select("player_id", _part(sliced.keys), "records")
+        .select("player_id", F.lit(0).alias("part"), "records")
     )
 
 
@@ -105,39 +111,32 @@ def _ordered(event: Column) -> Column:
     return F.transform(F.array_sort(F.collect_list(event)), lambda e: e.dropFields("pos"))
 
 
-def _part(keys: list[str]) -> Column:
-    return (F.col(SLICE) if SLICE in keys else F.lit(0)).alias("part")
-
-
 def nest_labelled_events(
     events: DataFrame,
     *fields: str,
     horizon: Horizon = Horizon(),
-    policy: HotPolicy = RECORD_POLICY,
+    most_events: int = RECORD_EVENTS,
 ) -> DataFrame:
     """Labelled records: the observed and the churn-window events as two ordered arrays."""
-    sliced = slice_hot_players(events, policy)
-    tagged = with_windows(sliced, horizon)
+    _refuse_long(events, most_events)
+    tagged = with_windows(Sliced(events), horizon)
     columns = ("op_start", "op_end", "cp_start", "cp_end", "op_event_count", "cp_event_count")
 
     def observed(phase: str) -> Column:
         return _ordered(F.when(F.col("phase") == phase, F.struct("ts", "pos", *fields)))
 
     arrays = [observed("op").alias("observation_records"), observed("cp").alias("churn_period_records")]
-    nested = tagged.groupBy(*sliced.keys).agg(F.min("op_start").alias("op_start"), *arrays)
-    if sliced.cuts is None:
-        bounds = window_bounds(F.col("op_start"), horizon.observation, horizon.churn)
-        labelled = nested.select(
-            "*",
-            *[bounds[name].alias(name) for name in ("op_end", "cp_start", "cp_end")],
-            F.size("observation_records").cast("bigint").alias("op_event_count"),
-            F.size("churn_period_records").cast("bigint").alias("cp_event_count"),
-        ).withColumn("churned", F.col("cp_event_count") == 0)
-    else:
-        labelled = nested.drop("op_start").join(churn_labels(events, horizon, policy), "player_id")
+    nested = tagged.groupBy("player_id").agg(F.min("op_start").alias("op_start"), *arrays)
+    bounds = window_bounds(F.col("op_start"), horizon.observation, horizon.churn)
+    labelled = nested.select(
+        "*",
+        *[bounds[name].alias(name) for name in ("op_end", "cp_start", "cp_end")],
+        F.size("observation_records").cast("bigint").alias("op_event_count"),
+        F.size("churn_period_records").cast("bigint").alias("cp_event_count"),
+    ).withColumn("churned", F.col("cp_event_count") == 0)
     return labelled.select(
         "player_id",
-        _part(sliced.keys),
+        F.lit(0).alias("part"),
         "observation_records",
         "churn_period_records",
         "churned",

@@ -5,15 +5,13 @@ may own a large share of all rows, so such players are cut into *slices*: consec
 ranges of their own time line with about equal row counts. Every operator then works on
 ``(player_id, slice)`` and merges the slices of a player afterwards, one small row each.
 
-* A table below ``small_table_bytes`` cannot hold a group too big for a task, so it is
-  left alone and costs nothing extra.
-* Above it, one count per player (combined map-side) finds the players with more than
-  ``rows_per_slice`` rows. At most ``max_players`` are cut, the largest first.
+* One count per player (combined map-side) finds the players with more than
+  ``rows_per_slice`` rows. All of them are cut; file sizes play no part.
 * Where order within a player does not matter, the first time from that same count is all
   that is needed, and a hash of the time spreads the rows instead.
-* The cut points are approximate quantiles of the time. They come to the driver once, at
-  most ``max_players * max_slices`` numbers, and go out as a literal relation. So a task
-  that is run again sees the same slices, and the broadcast has a fixed size bound.
+* The cut points are approximate quantiles of the time. They come to the driver once, about
+  one number for ``rows_per_slice`` rows, and go out as a literal relation. So a task that
+  is run again sees the same slices. Spark decides by its size how it is joined.
 """
 
 from __future__ import annotations
@@ -28,10 +26,7 @@ _STEP = 24
 
 @dataclass(frozen=True)
 class HotPolicy:
-    small_table_bytes: int = 128 << 20
     rows_per_slice: int = 2_000_000
-    max_players: int = 1_000
-    max_slices: int = 512
 
 
 DEFAULT_POLICY = HotPolicy()
@@ -64,13 +59,11 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def hot_players(events: DataFrame, policy: HotPolicy = DEFAULT_POLICY) -> DataFrame:
-    """The largest players above the row limit with row count and first time."""
+    """The players above the row limit with row count and first time."""
     return (
         events.groupBy("player_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"))
         .filter(F.col("n") > policy.rows_per_slice)
-        .orderBy(F.desc("n"), "player_id")
-        .limit(policy.max_players)
     )
 
 
@@ -78,8 +71,6 @@ def slice_hot_players(
     events: DataFrame, policy: HotPolicy = DEFAULT_POLICY, ordered: bool = True
 ) -> Sliced:
     """Add the slice of each row, if any player is hot. ``ordered`` slices are time ranges."""
-    if input_bytes(events) <= policy.small_table_bytes:
-        return Sliced(events)
     spark = events.sparkSession
     hot_rows = hot_players(events, policy).collect()
     if not hot_rows:
@@ -88,16 +79,16 @@ def slice_hot_players(
     hot_schema = "player_id string, n bigint, first_ts timestamp"
     hot = spark.createDataFrame(hot_rows, hot_schema)
     largest = max(row.n for row in hot_rows)
-    slices = min(policy.max_slices, -(-largest // policy.rows_per_slice))
+    slices = -(-largest // policy.rows_per_slice)
     if not ordered:
-        known = F.broadcast(hot.select("player_id", F.col("first_ts").alias("hot_first_ts")))
+        known = hot.select("player_id", F.col("first_ts").alias("hot_first_ts"))
         salt = F.pmod(F.xxhash64("ts"), F.lit(slices)).cast("int")
         number = F.when(F.col("hot_first_ts").isNull(), 0).otherwise(salt)
         return Sliced(events.join(known, "player_id", "left").withColumn(SLICE, number), hot)
     shares = [i / slices for i in range(1, slices)]
     quantiles = (
         events.select("player_id", F.unix_micros("ts").alias("us"))
-        .join(F.broadcast(hot.select("player_id")), "player_id")
+        .join(hot.select("player_id"), "player_id")
         .groupBy("player_id")
         .agg(F.percentile_approx("us", shares, 20 * slices).alias("us"))
     )
@@ -112,10 +103,9 @@ def slice_hot_players(
     for row in quantiles.collect():
         fine = sorted(set(row.us or ()))
         points.append((row.player_id, fine[_STEP - 1 :: _STEP], fine))
-    # Aggregating the literal rows would lose the size bound, so both are local relations.
-    cuts = hot.join(F.broadcast(spark.createDataFrame(points, cut_schema)), "player_id")
+    cuts = hot.join(spark.createDataFrame(points, cut_schema), "player_id")
     tagged = events.join(
-        F.broadcast(cuts.select("player_id", F.col("first_ts").alias("hot_first_ts"), "coarse", "fine")),
+        cuts.select("player_id", F.col("first_ts").alias("hot_first_ts"), "coarse", "fine"),
         "player_id",
         "left",
     )

@@ -7,6 +7,8 @@ table of any size takes no shuffle and no join.
 
 from __future__ import annotations
 
+import math
+import sys
 from dataclasses import dataclass, field, replace
 from itertools import combinations
 from math import isfinite
@@ -149,16 +151,25 @@ def exact_medians(df: DataFrame, columns: list[str], in_memory: int = 200_000) -
     medians: dict[str, float | None] = {}
     if small:
         medians |= df.agg(*[F.median(values[c]).alias(c) for c in small]).first().asDict()
+    # infinite values take part as the largest finite ones, so that every range can be halved
+    most = sys.float_info.max
+    values = {c: F.least(F.greatest(v, F.lit(-most)), F.lit(most)) for c, v in values.items()}
     pending = {
         c: _Bracket(ranks=((sizes[c] - 1) // 2, sizes[c] // 2), inside=sizes[c]) for c in columns if c not in medians
     }
     while pending:
+        before = {c: (b.low, b.high, b.inside) for c, b in pending.items()}
         _narrow(df, values, pending, in_memory)
+        stuck = [c for c, b in pending.items() if before[c] == (b.low, b.high, b.inside)]
+        if stuck:
+            raise RuntimeError(f"the range of the median does not shrink for {stuck}")
         done = {c: b for c, b in pending.items() if b.inside <= in_memory or b.low == b.high}
         if done:
             medians |= _medians_inside(df, values, done)
         pending = {c: b for c, b in pending.items() if c not in done}
-    return medians
+    # half of the largest finite value is what an infinite middle value leaves of a mean
+    far = {c: m for c, m in medians.items() if m is not None and abs(m) >= most / 4}
+    return medians | {c: math.copysign(float("inf"), m) for c, m in far.items()}
 
 
 @dataclass

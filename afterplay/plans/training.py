@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import warnings
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
@@ -279,6 +280,9 @@ def check_held_out(model: FittedModel, table: DataFrame) -> None:
     lacking = [f for f in model.features if f not in table.columns]
     if lacking:
         raise ValueError(f"{model.name} needs features {lacking}")
+    known = F.coalesce(F.col(TARGET).cast("double").isin(0.0, 1.0), F.lit(False))
+    if not table.filter(~known).isEmpty():
+        raise ValueError(f"{TARGET} must be 0 or 1 in every row to evaluate on")
     prepared = model.preparation.apply(table, scale=model.scaled, keep=(TARGET,))
     problems = check_matrix(prepared, model.features).problems
     if problems:
@@ -305,8 +309,8 @@ def save_model(model: FittedModel, path: str) -> None:
     ]
     schema = "i int, feature string, fill double, mean double, deviation double"
     spark.createDataFrame(features, schema).coalesce(1).write.mode("overwrite").json(f"{path}/features")
-    params = [(model.name, {k: str(v) for k, v in model.params.items()}, model.scaled)]
-    about = spark.createDataFrame(params, "name string, params map<string,string>, scaled boolean")
+    params = [(model.name, json.dumps(model.params), model.scaled)]
+    about = spark.createDataFrame(params, "name string, params string, scaled boolean")
     about.coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
 
@@ -326,8 +330,8 @@ def load_model(path: str) -> FittedModel:
         {r.feature: r.mean for r in rows if r.mean is not None},
         {r.feature: r.deviation for r in rows if r.deviation is not None},
     )
-    about = spark.read.schema("name string, params map<string,string>, scaled boolean").json(f"{path}/about").first()
-    return FittedModel(about.name, about.params, preparation, PipelineModel.load(f"{path}/pipeline"), about.scaled)
+    about = spark.read.schema("name string, params string, scaled boolean").json(f"{path}/about").first()
+    return FittedModel(about.name, json.loads(about.params), preparation, PipelineModel.load(f"{path}/pipeline"), about.scaled)
 
 
 # Grid ------------------------------------------------------------------------------------

@@ -99,53 +99,73 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "document")
 
 
-# Fixed value: the entries of a keyed document have numbers for names.
-NUMBERED_KEY = r'^(\d+)"\s*:\s*'
+_KEY = r'^\s*"((?:[^"\\]|\\.)*)"\s*:\s*'
 
 
-def scan_keyed_document(
-    spark: SparkSession,
-    path: str,
-    value_type: T.DataType,
-    separator: str = ',"',
-    key: str = NUMBERED_KEY,
-) -> DataFrame:
+def scan_keyed_document(spark: SparkSession, path: str, value_type: T.DataType) -> DataFrame:
     """Rows ``(key, value)`` of keyed documents of any size, read by many tasks.
 
-    A file is cut at every ``separator``, wherever it stands, so its splits are read in
-    parallel. A fragment that begins with a key of the root starts an entry, those up to
-    the next start belong to it. Entries are numbered by counting starts: within a split
-    in order, and over the splits of a file, of which there are few. The fragments of an
-    entry are put together again and parsed. ``separator`` is what ends an entry in the
-    file, up to the quote of the next key, and ``key`` must match no key further inside.
+    A file is cut at every comma, so its splits are read in parallel. Which commas stand
+    between entries of the root is found by structure: the quotes before a fragment tell
+    whether it begins inside a string, the brackets outside strings how deep it lies. Both
+    are sums, within a split in order and over the splits of a file, of which there are
+    few. An entry begins with a fragment directly inside the root, whatever its key and
+    the space around it; its fragments are put together again and parsed. A document whose
+    brackets or quotes do not close raises.
     """
-    fragments = spark.read.option("lineSep", separator).text(path).select(
+    fragments = spark.read.option("lineSep", ",").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("n"),
         "value",
+        F.regexp_replace("value", r"\\.", "").alias("plain"),  # without escaped signs
     )
-    opening = (F.col("split") == 0) & F.col("value").rlike(r"^\s*\{")
-    fragments = fragments.withColumn(
-        "value", F.when(opening, F.regexp_replace("value", r'^\s*\{\s*"', "")).otherwise(F.col("value"))
-    ).withColumn("start", F.col("value").rlike(key).cast("bigint"))
-    in_split = Window.partitionBy("file", "split").orderBy("n")
-    over_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        fragments.groupBy("file", "split")
-        .agg(F.sum("start").alias("starts"))
-        .select("file", "split", F.coalesce(F.sum("starts").over(over_splits), F.lit(0)).alias("before"))
+    opened = fragments.withColumn("quotes", F.regexp_count("plain", F.lit('"')).cast("bigint"))
+    placed = _sum_before(opened, "quotes", "quotes_before")
+    inside = F.pmod("quotes_before", F.lit(2)) == 1
+    bare = F.regexp_replace(F.when(inside, F.concat(F.lit('"'), "plain")).otherwise(F.col("plain")), '"[^"]*("|$)', "")
+    depth = F.regexp_count(bare, F.lit(r"[{\[]")) - F.regexp_count(bare, F.lit(r"[}\]]"))
+    nested = _sum_before(placed.withColumn("inside", inside).withColumn("depth", depth.cast("bigint")), "depth", "depth_before")
+    first = (F.col("split") == 0) & F.col("value").rlike(r"^\s*\{") & (F.col("depth_before") == 0)
+    starts = first | (~F.col("inside") & (F.col("depth_before") == 1))
+    body = F.when(first, F.regexp_replace("value", r"^\s*\{", "")).otherwise(F.col("value"))
+    closed = (F.pmod("quotes_total", F.lit(2)) == 0) & (F.col("depth_total") == 0)
+    broken = F.raise_error(F.concat(F.lit("a keyed document does not close: "), F.col("file"))).cast("bigint")
+    numbered = _sum_before(
+        nested.withColumns({"start": F.when(closed, starts.cast("bigint")).otherwise(broken), "value": body}),
+        "start",
+        "starts_before",
     )
-    numbered = fragments.withColumn("within", F.sum("start").over(in_split)).join(before, ["file", "split"])
     pieces = F.array_sort(F.collect_list(F.struct("split", "n", "value")))
-    entries = numbered.groupBy("file", (F.col("before") + F.col("within")).alias("entry")).agg(
-        F.array_join(F.transform(pieces, lambda p: p["value"]), separator).alias("text")
+    entries = numbered.groupBy("file", (F.col("starts_before") + F.col("start")).alias("entry")).agg(
+        F.array_join(F.transform(pieces, lambda p: p["value"]), ",").alias("text")
     )
     # What is left of the root behind the last value is not looked at by the parser.
-    body = F.concat(F.lit('{"v":'), F.regexp_replace("text", key, ""), F.lit("}"))
+    document = F.concat(F.lit('{"v":'), F.regexp_replace("text", _KEY, ""), F.lit("}"))
     holder = T.StructType([T.StructField("v", value_type)])
-    return entries.filter("entry > 0").select(
-        F.regexp_extract("text", key, 1).alias("key"), F.from_json(body, holder)["v"].alias("value")
+    name = F.from_json(F.concat(F.lit('["'), F.regexp_extract("text", _KEY, 1), F.lit('"]')), "array<string>")[0]
+    return entries.filter((F.col("entry") > 0) & F.col("text").rlike(_KEY)).select(
+        name.alias("key"), F.from_json(document, holder)["v"].alias("value")
+    )
+
+
+def _sum_before(fragments: DataFrame, column: str, name: str) -> DataFrame:
+    """Add what the fragments of the file before each one add up to, and the file's total."""
+    in_split = Window.partitionBy("file", "split").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    over_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = fragments.groupBy("file", "split").agg(F.sum(column).alias("sum"))
+    before = splits.select(
+        "file",
+        "split",
+        F.coalesce(F.sum("sum").over(over_splits), F.lit(0)).alias("_before"),
+        F.sum("sum").over(Window.partitionBy("file")).alias(f"{column}_total"),
+    )
+    within = F.coalesce(F.sum(column).over(in_split), F.lit(0))
+    return (
+        fragments.withColumn("_within", within)
+        .join(before, ["file", "split"])
+        .withColumn(name, F.col("_before") + F.col("_within"))
+        .drop("_before", "_within")
     )
 
 
@@ -178,9 +198,19 @@ def explode_match_players(players: DataFrame) -> DataFrame:
     ).select("match_id", "slot", "p.*")
 
 
+TARGET_COLUMN = "churned"
+
+
 def scan_features(spark: SparkSession, path: str) -> DataFrame:
-    """A feature CSV with numbers where numbers belong; text that is no number gives null."""
+    """A feature CSV with numbers where numbers belong; text that is no number gives null.
+
+    A target written as true and false becomes 1 and 0.
+    """
     raw = spark.read.option("header", True).csv(path)
+    if TARGET_COLUMN in raw.columns:
+        said = F.lower(F.trim(TARGET_COLUMN))
+        target = F.when(said == "true", "1").when(said == "false", "0").otherwise(F.col(TARGET_COLUMN))
+        raw = raw.withColumn(TARGET_COLUMN, target)
     return coerce_numeric(raw)
 
 

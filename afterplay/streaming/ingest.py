@@ -34,10 +34,14 @@ def ingest_player_logs(
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source)
 
     def write(batch: DataFrame, number: int) -> None:
-        parsed = JsonLines.parse(batch.filter(F.trim("value") != ""), schema)
-        folder = f"batch={number}"
-        to_events(parsed.rows).write.mode("overwrite").parquet(f"{target}/events/{folder}")
-        parsed.malformed.write.mode("overwrite").text(f"{target}/malformed/{folder}")
+        read = batch.filter(F.trim("value") != "").persist()
+        try:
+            parsed = JsonLines.parse(read, schema)
+            folder = f"batch={number}"
+            to_events(parsed.rows).write.mode("overwrite").parquet(f"{target}/events/{folder}")
+            parsed.malformed.write.mode("overwrite").text(f"{target}/malformed/{folder}")
+        finally:
+            read.unpersist()
 
     return (
         lines.writeStream.foreachBatch(write)

@@ -18,13 +18,21 @@ NAMES = (
     "evaluate_models",
     "roc_auc",
     "dataset_stats",
+    "nest_player_events",
+    "nest_labelled_events",
+    "sink_jsonl_roundtrip",
+    "validate_players",
+    "scan_jsonl_strict",
+    "feature_error_rate",
+    "scan_jsonl_malformed",
+    "scan_jsonl_players",
 )
 
 
 @pytest.fixture
 def forced(monkeypatch):
     before = dict(vars(hot.DEFAULT_POLICY))
-    vars(hot.DEFAULT_POLICY).update(small_table_bytes=-1, rows_per_slice=15)
+    vars(hot.DEFAULT_POLICY).update(rows_per_slice=15)
     monkeypatch.setattr(metrics, "_SMALL_TABLE", -1)
     yield
     vars(hot.DEFAULT_POLICY).update(before)

@@ -11,7 +11,7 @@ from afterplay.operators.player_table import COMMON_FEATURES, Horizon, churn_lab
 from afterplay.sources.schemas import EVENT
 
 START = datetime(2015, 1, 13, 13, 55, 20, tzinfo=timezone.utc)
-ALWAYS_SLICE = HotPolicy(small_table_bytes=-1, rows_per_slice=3)
+ALWAYS_SLICE = HotPolicy(rows_per_slice=3)
 
 CASES = {
     "basic": [(0, 7), (600, 0), (4000, 7), (5800, 6)],
@@ -56,7 +56,7 @@ def events(spark):
 @pytest.fixture(scope="module", params=["whole", "sliced", "decimal", "decimal_sliced"])
 def table(request, events):
     horizon = Horizon(score_scale=2 if "decimal" in request.param else None)
-    policy = ALWAYS_SLICE if "sliced" in request.param else HotPolicy(small_table_bytes=1 << 60)
+    policy = ALWAYS_SLICE if "sliced" in request.param else HotPolicy()
     rows = player_table(events, horizon, purchases=True, policy=policy).collect()
     return {row.player_id: row.asDict() for row in rows}
 
@@ -169,11 +169,11 @@ def test_hot_player_is_spread(spark):
         "player_id", F.concat(F.lit("p"), (F.col("pos") / 10).cast("int") % 50)
     )
     both = rows.unionByName(cold)
-    policy = HotPolicy(small_table_bytes=-1, rows_per_slice=500)
+    policy = HotPolicy(rows_per_slice=500)
     sizes = [r["count"] for r in slice_hot_players(both, policy).events.groupBy("player_id", "slice").count().collect()]
     assert max(sizes) <= 1_000 and sum(sizes) == both.count()
     horizon = Horizon(gap=timedelta(seconds=0), score_scale=2)
-    expected = player_table(both, horizon, policy=HotPolicy(small_table_bytes=1 << 60))
+    expected = player_table(both, horizon, policy=HotPolicy())
     actual = player_table(both, horizon, policy=policy)
     assert expected.exceptAll(actual).isEmpty() and actual.exceptAll(expected).isEmpty()
 

@@ -4,7 +4,7 @@ import json
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from afterplay.functions.identity import resolve_player_id
 from afterplay.functions.timing import epoch_convert, epoch_to_timestamp, epoch_unit, iso_time
@@ -28,7 +28,7 @@ from afterplay.sources.schemas import RACE_LOG, SCORE_LOG
 from afterplay.sources.writers import write_json_lines
 from afterplay.streaming.ingest import ingest_player_logs, read_ingested
 
-FORCED = HotPolicy(small_table_bytes=-1, rows_per_slice=10)
+FORCED = HotPolicy(rows_per_slice=10)
 
 
 def write(path, *lines):
@@ -130,8 +130,8 @@ def test_documents_and_feature_files(spark, tmp_path):
     assert [(r.player_id, r.churned, r.x) for r in rows] == [("007", 1, 2.5), ("008", 0, None)]
 
 
-@pytest.mark.parametrize("separators,separator", [((",", ":"), ',"'), ((", ", ": "), ', "')])
-def test_keyed_document_is_read_in_splits(spark, tmp_path, separators, separator):
+@pytest.mark.parametrize("separators", [(",", ":"), (", ", ": ")])
+def test_keyed_document_is_read_in_splits(spark, tmp_path, separators):
     folder = tmp_path / "keyed"
     folder.mkdir()
     expected = {}
@@ -147,7 +147,7 @@ def test_keyed_document_is_read_in_splits(spark, tmp_path, separators, separator
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     try:
-        rows = scan_keyed_document(spark, str(folder), schema, separator).collect()
+        rows = scan_keyed_document(spark, str(folder), schema).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(rows) == 400
@@ -193,21 +193,33 @@ def test_slicing_changes_no_result(spark, sf_dir, game):
     assert same(time_ordered(events), time_ordered(events, policy=FORCED))
 
 
-def test_long_histories_become_parts(spark, sf_dir, tmp_path):
-    events = race_events(spark, sf_dir).withColumn("time", F.unix_micros("ts") / 1000.0)
-    nested = nest_events(events, "time", "score", "event", policy=FORCED)
-    assert nested.filter("part > 0").count() > 0
-    assert nested.agg(F.max(F.size("records"))).first()[0] <= 40
-    path = str(tmp_path / "logs")
-    write_json_lines(nested.withColumnRenamed("player_id", "uid").drop("part"), path)
-    again = events_from_score_logs(scan_json_lines(spark, path, SCORE_LOG).rows)
-    assert same(again.select("player_id", "ts", "event"), events.select("player_id", "ts", "event"))
-    labelled = nest_labelled_events(events, "event", horizon=RACE, policy=FORCED)
-    columns = ["player_id", "churned", "op_event_count", "cp_event_count"]
-    whole = churn_labels(events, RACE).select(*columns)
-    assert same(labelled.select(*columns).distinct(), whole)
-    sizes = labelled.groupBy("player_id").agg(F.sum(F.size("observation_records")).alias("n"))
-    assert sizes.join(whole, "player_id").filter("n != op_event_count").isEmpty()
+def test_long_histories_are_refused_not_cut(spark, sf_dir):
+    events = race_events(spark, sf_dir)
+    longest = events.groupBy("player_id").count().agg(F.max("count")).first()[0]
+    assert nest_events(events, "event", most_events=longest).count() == events.select("player_id").distinct().count()
+    with pytest.raises(ValueError, match="at most"):
+        nest_events(events, "event", most_events=longest - 1)
+    with pytest.raises(ValueError, match="at most"):
+        nest_labelled_events(events, "event", horizon=RACE, most_events=longest - 1)
+
+
+@pytest.mark.parametrize("style", [{"separators": (",", ":")}, {}, {"indent": 2}])
+def test_keyed_document_is_read_by_structure(spark, tmp_path, style):
+    root = {str(i): {"server": f'a,"{i}":{{ \\ ', "7": {"x": [1, {"2": 3}]}, "port": i} for i in range(20)}
+    root |= {"m1": {"server": "}]", "port": 1}, 'q"uote': {"server": "", "port": 2}, "": {"server": "x,", "port": 3}}
+    path = tmp_path / "doc.json"
+    path.write_text(json.dumps(root, **style))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        kind = T.StructType([T.StructField("server", T.StringType()), T.StructField("port", T.IntegerType())])
+        rows = scan_keyed_document(spark, str(path), kind).collect()
+        (tmp_path / "broken.json").write_text(json.dumps(root, **style)[:-30])
+        with pytest.raises(Exception, match="does not close"):
+            scan_keyed_document(spark, str(tmp_path / "broken.json"), kind).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.key: (r.value.server, r.value.port) for r in rows} == {k: (v["server"], v["port"]) for k, v in root.items()}
 
 
 def test_order_of_rows_does_not_matter(spark, sf_dir):
