@@ -19,7 +19,7 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64
 _LOWER = _BYTE.copy()
 _LOWER[65:91] = _BYTE[97:123]
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(64, np.uint64)
+_powers = np.cumprod(np.append(np.uint64(1), np.full(63, _FACTOR)))
 
 
 def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -33,7 +33,7 @@ def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
 def powers(n: int) -> np.ndarray:
     global _powers
     if len(_powers) < n:
-        _powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(2 * n, _FACTOR, np.uint64))])
+        _powers = np.cumprod(np.append(np.uint64(1), np.full(2 * n, _FACTOR)))
     return _powers
 
 

@@ -1,0 +1,238 @@
+"""Every operator against brute force on a small table, and on awkward rows."""
+
+import hashlib
+import re
+import struct
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F, types as T
+
+from afterplay.llm import jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, winnow
+from afterplay.llm.queries import REGISTRY, source_mixing
+from oracle import connect, difference
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, copies long, score double, rank int, chosen string"
+
+
+@pytest.fixture(scope="module")
+def texts(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()
+    return {r.doc_id: r for r in rows}
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Nulls, empty, blank, very long, repeated and equal texts, and columns with clashing names."""
+    word = "The quick brown fox, jumps over mail a.b@c.example token = abcdefgh12345678 "
+    given = [None, "", " \t\n", "x", "x", "one two three", word * 5, word * 5, word * 4000, "é" * 50_000, "1234 " * 30]
+    rows = [(i, t, "en" if i % 2 else "fr", None if i % 3 else f"s{i}", 1, 2, 3, 0.5, 1, "c") for i, t in enumerate(given)]
+    rows += [(None, "null id text " * 9, None, None, None, None, None, None, None, None)] * 2 + [rows[6]]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module", params=["awkward", "empty"])
+def docs(request, spark, awkward):
+    return awkward if request.param == "awkward" else spark.createDataFrame([], SCHEMA)
+
+
+def run(name, spark, folder):
+    return {r.doc_id: r for r in REGISTRY[name].run(spark, folder).collect()}
+
+
+@pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if q.sql])
+def test_same_as_sql(name, spark, sf_dir):
+    assert difference(REGISTRY[name].run(spark, sf_dir), connect(sf_dir), REGISTRY[name].sql) is None
+
+
+def test_mixing_is_near_its_targets(spark, sf_dir):
+    rows = source_mixing(spark, sf_dir).collect()
+    assert all(r.taken <= 3 * r["size"] for r in rows)
+    assert abs(sum(r.taken for r in rows) / sum(r["size"] for r in rows) - 1) < 0.2
+
+
+def chain(values):
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64(struct.pack("<Q", v), seed=seed).intdigest()
+    return seed
+
+
+def fingerprint(text):
+    hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    grams = [(chain(hashes[i : i + 5]) & (2**33 - 1), i) for i in range(len(hashes) - 4)]
+    grams = grams or ([(chain(hashes) & (2**33 - 1), 0)] if hashes else [])
+    chosen = []
+    for i in range(max(1, len(grams) - 15)) if grams else ():
+        least = min(grams[i : i + 16], key=lambda g: (g[0], -g[1]))
+        if least not in chosen[-1:]:
+            chosen.append(least)
+    return ",".join(f"{h:X}:{p}" for h, p in chosen)
+
+
+def test_winnowing(spark, sf_dir, texts):
+    found = run("op5_winnowing_fingerprints", spark, sf_dir)
+    ids = sorted(texts, reverse=True)
+    for i, doc_id in enumerate(ids):
+        text, other = texts[doc_id].text, texts[ids[(i + 1) % len(ids)]].text
+        half = len(text) // 2
+        edited = text[: len(text) - half] + other[:half]
+        assert found[doc_id].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert found[doc_id].fingerprint == fingerprint(text)
+        assert found[doc_id].edited_fingerprint == fingerprint(edited)
+
+
+def shingles(text):
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def test_jaccard_join(spark, sf_dir, texts):
+    found = run("op6_ngram_jaccard_join", spark, sf_dir)
+    sets = {i: shingles(r.text) for i, r in texts.items()}
+    least = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) > 0 and least[a] != least[b]:
+                low, high = sorted((least[a], least[b]))
+                least = {k: low if v == high else v for k, v in least.items()}
+    assert {i: r.component_id for i, r in found.items()} == least
+    assert {i: r.n_shingles for i, r in found.items()} == {i: len(s) for i, s in sets.items()}
+
+
+def test_packing(spark, sf_dir, texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    rows = REGISTRY["op8_best_fit_packing"].run(spark, sf_dir).collect()
+    ids = {i: [*tokenizer.encode(r.text, add_special_tokens=False).ids, 0] for i, r in texts.items()}
+    for r in rows:
+        piece = ids[r.doc_id][r.start : r.start + r.length]
+        assert len(piece) == r.length and zlib.crc32(np.array(piece, "<u4").tobytes()) == r.ids_crc32
+    assert sum(r.length for r in rows) == sum(map(len, ids.values()))
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 2048 and len(ends) <= -(-sum(ends.values()) // 2048) + 2
+
+
+def digest(spans):
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(spans)).encode()).hexdigest()
+
+
+def test_secret_base_spans(spark, sf_dir, texts):
+    for doc_id, row in run("op9_secret_scans", spark, sf_dir).items():
+        text = texts[doc_id].text
+        spans = [(m.start(), 0, "assign", m.end()) for m in secrets.ASSIGN.finditer(text) if len(m[2]) >= 8]
+        spans += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+        assert row.base_sha256 == digest(spans)
+
+
+def test_random_strings_are_told_from_words():
+    model = secrets.learn([], ["configuration", "initialised", "the_quick_brown_fox", "documentation", "national"] * 20)
+    assert model.mean("q7Xz9Kw2Lp4Vn8Bt6Rj3") > model.threshold > model.mean("configurationinitialised")
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def test_pii_base_spans(spark, sf_dir, texts):
+    digits = lambda v: re.sub("[^0-9]", "", v)
+    rules = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v: all(int(x) <= 255 for x in v.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda v: 14 <= len(digits(v)) <= 19 and luhn(digits(v))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda v: 10 <= len(digits(v)) <= 15),
+    }
+    for doc_id, row in run("op10_contextual_pii", spark, sf_dir).items():
+        spans = [
+            (m.start(), i, kind, m.end())
+            for i, (kind, (pattern, holds)) in enumerate(rules.items())
+            for m in re.finditer(pattern, texts[doc_id].text)
+            if holds(m[0])
+        ]
+        assert row.base_sha256 == digest(spans)
+
+
+def test_contexts_find_unseen_identifiers(spark):
+    lines = [f"please write to user{i}@mail.example.com today" for i in range(8)]
+    lines += ["please write to handle_77x now", "an ordinary text 1234567 with nothing"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.doc_id: [s.value for s in r.found if s.kind == "context"] for r in pii.scan(frame).collect()}
+    assert found[8] == ["handle_77x"] and not found[9]
+
+
+def test_classifiers_on_held_out_rows(spark, sf_dir, texts):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    judged = run("op4_quality_classifier", spark, sf_dir)
+    right = [judged[i].predicted == q for i, q in labels.items()]
+    assert sum(right) / len(right) > 0.9
+    held = [(r.lang_pred, texts[i].lang) for i, r in run("op7_crf_language_id", spark, sf_dir).items() if r.held_out]
+    assert sum(a == b for a, b in held) / len(held) > 0.95
+
+
+def test_code_switched_words():
+    field = language.fit(["the house and the garden"] * 30 + ["das haus und der garten"] * 30, ["en"] * 30 + ["de"] * 30)
+    p = field.word_probabilities("the house and das haus und")
+    assert [field.labels[i] for i in p.argmax(1)] == ["en"] * 3 + ["de"] * 3
+
+
+def test_forward_backward_is_exact():
+    rng = np.random.default_rng(0)
+    emissions, transitions = rng.normal(size=(70, 3)), rng.normal(size=(3, 3))
+    found = language.marginals(emissions, np.array([0, 0, 67, 70]), transitions)
+    paths = np.array(np.meshgrid(*[range(3)] * 3)).T.reshape(-1, 3)
+    scores = emissions[67:][np.arange(3), paths].sum(1) + transitions[paths[:, :-1], paths[:, 1:]].sum(1)
+    weights = np.exp(scores) / np.exp(scores).sum()
+    expected = np.array([[weights[paths[:, t] == j].sum() for j in range(3)] for t in range(3)])
+    assert np.allclose(found[67:], expected)
+
+
+def test_awkward_rows(docs):
+    n = docs.count()
+    assert mixing.mix(docs, mixing.word_count(F.col("text"))).count() == n
+    assert mixing.emit(mixing.mix(docs, mixing.word_count(F.col("text")))).columns == docs.columns
+    counted = quality.with_statistics(docs, "doc_id")
+    trees = quality.train(counted, docs.select("doc_id", F.lit(1).alias("quality")), F.lit(True))
+    assert quality.score(counted, trees).count() == n
+    assert quality.keep_good(docs, trees, 0.0).count() == n
+    assert winnow.fingerprints_and_edits(docs).count() == n
+    joined = jaccard.join(docs).collect()
+    assert len(joined) == n and all(r.n_shingles or r.component_id == r.doc_id for r in joined)
+    assert jaccard.keep_first(docs).columns == docs.columns
+    model = language.train(docs, F.lit(True))
+    predicted = language.predict(docs, model).collect()
+    assert len(predicted) == n and all(r.lang_pred == "und" for r in predicted if r.doc_id in (0, 1, 2, 10))
+    packed = packing.pack(docs, TOKENIZER).collect()
+    assert sum(r.piece == 0 for r in packed) == n
+    markov = secrets.train(docs)
+    assert secrets.scan(docs, markov).count() == n and secrets.redact(docs, markov).count() == n
+    assert pii.scan(docs).count() == n
+    scored = perplexity.score(docs, perplexity.train(docs, docs.select("doc_id"))).collect()
+    assert len(scored) == n and all((r.difference is None) == (r.n_words == 0) for r in scored)
+
+
+def test_awkward_vectors(spark):
+    rows = [(0, [0.5, 0.5]), (50, [0.5, 0.5]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0])]
+    rows += [(5, [float("inf"), 0.0]), (None, [1.0, 1.0]), (6, []), (7, [1.0]), (8, [-1.0, 0.25])] + [(i, [0.1, 0.1]) for i in range(101, 400) if i % 50]
+    schema = T.StructType.fromDDL("vec_id long, embedding array<double>")
+    for given in (rows, []):
+        vectors = metric_tree.scaled(spark.createDataFrame(given, schema)).cache()
+        index = metric_tree.build(vectors, tree_rows=64)
+        if index is None:
+            assert not given
+            continue
+        found = metric_tree.top_k(vectors.filter("id % 50 = 0"), index, 5, block_queries=1).collect()
+        data = {r.id: np.array([*r.v, 0][:2]) for r in vectors.collect()}
+        for q in (0, 50):
+            best = sorted(((-int(data[q] @ v), i) for i, v in data.items() if i != q))[:5]
+            mine = sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])
+            assert [(-r.score, r.vec_id) for r in mine] == best
