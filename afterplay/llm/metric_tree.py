@@ -39,7 +39,7 @@ from afterplay.llm.components import written
 SCALE = 256
 TREE_ROWS = 8_192
 PIVOTS = 512
-LEAF_ROWS = 128
+LEAF_ROWS = 512
 FANOUT = 16
 BLOCK_QUERIES = 512
 _SLACK = 1e-6
