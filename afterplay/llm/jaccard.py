@@ -15,11 +15,11 @@ Links are needed only between components, which keeps the work away from all pai
   which they meet in buckets: what few share comes first.
 * A bucket compares its members with one pivot. What links becomes one component. This is
   repeated with new pivots for the buckets that still hold several components.
-* Last, all pairs of a bucket that are in different components are verified, unless one of
-  three bounds rules a link out: their sizes, their distances to the same pivot (the Jaccard
-  distance keeps the triangle inequality), or the shingles that each alone has (they are in the
-  union and not in the intersection). So no link between components is missed, with no limit on
-  partners.
+* Last, the buckets that still hold several components are compared in blocks of sets. Blocks
+  meet if they share such a bucket, and a set travels once for each block that its own meets, not
+  once for each partner. A task filters by size and by the shared prefixes under every order,
+  verifies what is left, and gives one link for each two components that it joins. So no link
+  between components is missed, with no limit on partners.
 
 Sets are compared by 64-bit hashes of the shingles. What a task holds is bounded: the most
 frequent shingles (``COMMON_LIMIT``) and a bitmap of the classes in some bucket
@@ -47,7 +47,9 @@ WORDS = 5
 PERCENT = 75
 SHARED_PERCENT = 10
 ORDERS = 3
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 3
+BLOCK_SETS = 1024
+BLOCK_SHINGLES = 1 << 19
 COMMON_LEAST = 48
 COMMON_LIMIT = 1 << 20
 BITMAP_BITS = 1 << 27
@@ -241,7 +243,7 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
-    """``class, shingles`` of the documents whose hashed id is in the bitmap; some may come twice."""
+    """``hashed, class, shingles`` of the documents whose hashed id is in the bitmap."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _Once()
@@ -249,14 +251,17 @@ def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
             wanted = _in_bitmap(batch.column(0), bitmap.value)
             if not wanted.any():
                 continue
+            ids, at = batch.column(0).filter(pa.array(wanted)), 0
             for found in sets(batch.column(1).filter(pa.array(wanted))):
                 rows = list(once.new(found))
                 if rows:
                     values = pa.array([found.of(row).tobytes() for row in rows], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(found.numbers[rows]), values], ["class", "shingles"])
+                    columns = [ids.slice(at).take(pa.array(rows)), pa.array(found.numbers[rows]), values]
+                    yield pa.RecordBatch.from_arrays(columns, ["hashed", "class", "shingles"])
+                at += len(found.sizes)
 
     rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(_gathered(keep), "class bigint, shingles binary")
+    return rows.mapInArrow(_gathered(keep), "hashed bigint, class bigint, shingles binary")
 
 
 def _gathered(function):
@@ -325,19 +330,106 @@ def _verified(pairs: DataFrame, kept: DataFrame, orders) -> DataFrame:
     return wide.mapInArrow(compare, "a bigint, b bigint, shared bigint, union bigint")
 
 
-def _own_shingles(kept: DataFrame, among: DataFrame) -> DataFrame:
-    """``class, own``: how many shingles of each class of ``among`` no other of them has."""
+def block_links(
+    classes: list[int], labels: np.ndarray, second: np.ndarray, values: list[np.ndarray], orders: Orders
+) -> Iterator[tuple[int, int]]:
+    """Links that join the labels of two blocks of sets, or of one, if ``second`` is all false."""
+    sizes = np.array([len(v) for v in values])
+    everything = np.concatenate(values)
+    distinct, ids = np.unique(everything, return_inverse=True)
+    levels, labels = orders.levels(everything), labels.copy()
+    ends = np.cumsum(sizes)
+    small = np.array([prefix_size(int(n)) for n in sizes])
+    views = []  # ids of each set's prefix under every order, then of all of it
+    for i in range(ORDERS):
+        spread = mixed(everything, 100 + i)
+        parts = []
+        for lo, hi, size in zip(ends - sizes, ends, small):
+            parts.append(Orders.prefix(ids[lo:hi], levels[lo:hi], spread[lo:hi], int(size)))
+        views.append(parts)
+    views.append([ids[lo:hi] for lo, hi in zip(ends - sizes, ends)])
+    across = bool(second.any())
+    left = np.flatnonzero(~second) if across else np.arange(len(sizes))
+    right = np.flatnonzero(second) if across else left
+    flat = [np.concatenate([parts[y] for y in right]) for parts in views]
+    starts = [np.cumsum([0, *(len(parts[y]) for y in right[:-1])]) for parts in views]
+    mark = np.zeros(len(distinct), bool)
+    n = sizes[right]
+    for x in left:
+        low, high = np.minimum(n, sizes[x]), np.maximum(n, sizes[x])
+        may = (labels[right] != labels[x]) & (low * 100 >= high * PERCENT)
+        if not across:
+            may &= right > x
+        least = 1 + low * SHARED_PERCENT // 100
+        for view, (all_ids, first) in enumerate(zip(flat, starts)):
+            if not may.any():
+                break
+            own = views[view][x]
+            mark[own] = True
+            both = np.add.reduceat(mark[all_ids], first, dtype=np.int64)
+            mark[own] = False
+            if view < ORDERS:
+                may &= both >= least
+            else:
+                may &= both * 100 >= (n + sizes[x] - both) * PERCENT
+        for y in right[may]:
+            if labels[y] != labels[x]:
+                yield classes[x], classes[y]
+                labels[labels == labels[y]] = labels[x]
+
+
+def _block_links(members: DataFrame, kept: DataFrame, orders) -> DataFrame:
+    """``a, b``: links that join the labels of ``members`` (token, class, n, label), block by block.
+
+    Sets are in one family if they share the least set of some bucket; a family is cut into
+    blocks by the number and size of its sets.
+    """
+    least = members.groupBy("token").agg(F.min("class").alias("least"))
+    families = members.join(least, "token").groupBy("class").agg(
+        F.min("least").alias("family"), F.first("n").alias("n"), F.first("label").alias("label")
+    )
+    families = written(families, "families")
+    parts = families.groupBy("family").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).alias("parts")
+    )
+    block = F.xxhash64("family", F.pmod(F.xxhash64("class"), F.col("parts")))
+    placed = written(families.join(parts, "family").select("class", "label", block.alias("block")), "blocks")
+    inside = written(members.select("token", "class").join(placed, "class"), "inside")
+    present = inside.groupBy("token", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    present = written(present, "present")
+    one = present.select("token", F.col("block").alias("lo"), F.col("low").alias("l1"), F.col("high").alias("h1"))
+    two = present.select("token", F.col("block").alias("hi"), F.col("low").alias("l2"), F.col("high").alias("h2"))
+    meet = one.join(two, "token").filter("lo <= hi AND (l1 <> h1 OR l2 <> h2 OR l1 <> l2)").select("token", "lo", "hi")
+    sides = meet.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi"))))
+    # of a block, the sets that have a bucket in common with the other block
+    sent = inside.join(sides, ["token", "block"]).select("class", "label", "lo", "hi", "block").distinct()
+    sent = written(sent, "sent")
+    wide = kept.select("class", "shingles").join(sent, "class")
+    wide = wide.repartition("lo", "hi").sortWithinPartitions("lo", "hi", "block", "class")
+    wide = wide.select("lo", "hi", "block", "class", "label", "shingles")
+
+    def linked(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        one_of_each = {row[3]: row for row in held}
+        classes = list(one_of_each)
+        labels = np.array([row[4] for row in one_of_each.values()])
+        second = np.array([row[2] != row[0] for row in one_of_each.values()])
+        values = [np.frombuffer(row[5], np.uint64) for row in one_of_each.values()]
+        links = list(block_links(classes, labels, second, values, orders.value))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*links)], ["a", "b"])
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
-            values = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
-            if values:
-                numbers = np.repeat(batch.column(0).to_numpy(), [len(v) for v in values])
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(np.concatenate(values))], ["class", "token"])
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if held and held[0][:2] != row[:2]:
+                    yield from linked(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from linked(held)
 
-    tokens = kept.join(among, "class", "left_semi").select("class", "shingles").mapInArrow(each, "class bigint, token bigint")
-    alone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("class")).filter("n = 1")
-    return alone.groupBy("class").agg(F.count(F.lit(1)).alias("own"))
+    return wide.mapInArrow(compare, "a bigint, b bigint")
 
 
 def _pivots(members: DataFrame, number: int) -> DataFrame:
@@ -403,7 +495,11 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
     buckets = written(buckets.drop("crowd").join(middle, "class"), "buckets")
     nodes = written(buckets.select("class").distinct(), "nodes")
 
-    kept = written(_whole_sets(docs, key, bitmap_of(nodes)), "sets")
+    # one set of each class: that of its least id
+    ids = classes.join(nodes, "class", "left_semi").select("class", F.xxhash64("least_id").alias("hashed"))
+    ids = written(ids, "ids")
+    kept = _whole_sets(docs, key, bitmap_of(nodes)).join(ids, ["class", "hashed"], "left_semi")
+    kept = written(kept.select("class", "shingles"), "sets")
 
     labels = nodes.select(F.col("class").alias("node"), F.col("class").alias("label"))
     tested = None
@@ -440,38 +536,11 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
         labels = merged(labels, links)
 
     found = written(members(), "members")
-    pivots = written(_pivots(found, PIVOT_ROUNDS), "pivots")
-    if tested is None or pivots.isEmpty():
+    several = found.groupBy("token").agg((F.min("label") != F.max("label")).alias("several")).filter("several")
+    still = written(found.join(several, "token", "left_semi").select("token", "class", "n", "label"), "open")
+    if still.isEmpty():
         return labels
-    distance = tested.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("d"))
-    distance = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    open_buckets = found.join(pivots, found["token"] == pivots["bucket"]).drop("bucket")
-    # distances to the pivot that has most of them in the bucket's round: the one of its main label
-    with_distance = open_buckets.join(
-        distance.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "d"), ["class", "pivot"], "left"
-    ).withColumn("d", F.when(F.col("class") == F.col("pivot"), 0.0).otherwise(F.col("d")))
-    own = _own_shingles(kept, open_buckets.select("class").distinct())
-    bounded = with_distance.join(own, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    # what two sets share is PERCENT of their union, which holds what each alone has
-    share = PERCENT / (100 - PERCENT)
-    bounded = written(bounded.filter(F.col("n") - F.col("own") >= F.col("own") * share), "open")
-    names = ["class", "n", "label", "d", "own"]
-    minor = bounded.filter("label <> main").select("token", "weight", *[F.col(c).alias(f"{c}_a") for c in names])
-    every = bounded.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in names])
-    near = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True))
-    most_shared = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
-    cross = minor.join(every, "token").filter(
-        (F.col("label_a") != F.col("label_b"))
-        & ((F.col("label_b") == F.col("main")) | (F.col("class_a") < F.col("class_b")))
-        & _close("n_a", "n_b")
-        & near
-        & (most_shared >= (F.col("own_a") + F.col("own_b")) * share)
-    )
-    pairs = cross.select(
-        F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "n_a", "n_b", "weight"
-    )
-    new = written(_verified(untested(pairs), kept, orders), "pairs")
-    return merged(labels, _links(new))
+    return merged(labels, written(_block_links(still, kept, orders), "links"))
 
 
 def join(docs: DataFrame, key: str = "doc_id") -> DataFrame:
