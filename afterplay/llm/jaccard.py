@@ -379,7 +379,7 @@ def block_links(
 
 
 def _block_links(members: DataFrame, kept: DataFrame, orders) -> DataFrame:
-    """``a, b``: links that join the labels of ``members`` (token, class, n, label), block by block.
+    """``a, b``: links that join the labels of ``members`` (token, class, n, label, weight), block by block.
 
     Sets are in one family if they share the least set of some bucket; a family is cut into
     blocks by the number and size of its sets.
@@ -393,17 +393,25 @@ def _block_links(members: DataFrame, kept: DataFrame, orders) -> DataFrame:
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).alias("parts")
     )
     block = F.xxhash64("family", F.pmod(F.xxhash64("class"), F.col("parts")))
-    placed = written(families.join(parts, "family").select("class", "label", block.alias("block")), "blocks")
-    inside = written(members.select("token", "class").join(placed, "class"), "inside")
+    placed = written(families.join(parts, "family").select("class", "n", "label", block.alias("block")), "blocks")
+    inside = written(members.select("token", "weight", "class").join(placed, "class"), "inside")
     present = inside.groupBy("token", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     present = written(present, "present")
     one = present.select("token", F.col("block").alias("lo"), F.col("low").alias("l1"), F.col("high").alias("h1"))
     two = present.select("token", F.col("block").alias("hi"), F.col("low").alias("l2"), F.col("high").alias("h2"))
     meet = one.join(two, "token").filter("lo <= hi AND (l1 <> h1 OR l2 <> h2 OR l1 <> l2)").select("token", "lo", "hi")
     sides = meet.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi"))))
-    # of a block, the sets that have a bucket in common with the other block
-    sent = inside.join(sides, ["token", "block"]).select("class", "label", "lo", "hi", "block").distinct()
-    sent = written(sent, "sent")
+    # of a block, the sets whose buckets in the other block weigh enough for a partner
+    enough = F.sum("weight") >= F.floor(F.floor((F.first("n") * PERCENT + 99) / 100) * SHARED_PERCENT / 100) + 1
+    sent = inside.join(sides, ["token", "block"]).groupBy("class", "lo", "hi", "block").agg(
+        F.first("label").alias("label"), enough.alias("enough")
+    )
+    sent = written(sent.filter("enough").drop("enough"), "sent")
+    filled = sent.groupBy("lo", "hi").agg(
+        F.min("block").alias("b1"), F.max("block").alias("b2"), F.min("label").alias("l1"), F.max("label").alias("l2")
+    )
+    filled = filled.filter("least(b1, b2) = lo AND greatest(b1, b2) = hi AND l1 <> l2").select("lo", "hi")
+    sent = written(sent.join(filled, ["lo", "hi"], "left_semi"), "sent")
     wide = kept.select("class", "shingles").join(sent, "class")
     wide = wide.repartition("lo", "hi").sortWithinPartitions("lo", "hi", "block", "class")
     wide = wide.select("lo", "hi", "block", "class", "label", "shingles")
@@ -537,7 +545,7 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
 
     found = written(members(), "members")
     several = found.groupBy("token").agg((F.min("label") != F.max("label")).alias("several")).filter("several")
-    still = written(found.join(several, "token", "left_semi").select("token", "class", "n", "label"), "open")
+    still = written(found.join(several, "token", "left_semi").drop("middle"), "open")
     if still.isEmpty():
         return labels
     return merged(labels, written(_block_links(still, kept, orders), "links"))

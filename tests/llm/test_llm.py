@@ -104,6 +104,33 @@ def test_jaccard_join(spark, sf_dir, texts):
     assert {i: r.n_shingles for i, r in found.items()} == {i: len(s) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("rounds, block_sets", [(3, 1024), (0, 5), (1, 7)])
+def test_jaccard_join_in_blocks(spark, monkeypatch, rounds, block_sets):
+    """Families of near copies, about 50 to 90% alike, so that some links hold and many do not."""
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block_sets)
+    draw = np.random.default_rng(3)
+    rows = []
+    for family in range(3):
+        base = [f"w{family}x{i}" for i in range(60)]
+        for _ in range(30):
+            words = list(base)
+            for place in draw.integers(0, 60, draw.integers(0, 5)):
+                words[place] = f"new{draw.integers(10**6)}"
+            rows.append((len(rows), " ".join(words[: draw.integers(48, 61)])))
+    rows += [(len(rows), rows[0][1]), (len(rows) + 1, "a b"), (len(rows) + 2, None)]
+    found = {r.doc_id: r for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: shingles(text or "") for i, text in rows}
+    least = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) > 0 and least[a] != least[b]:
+                low, high = sorted((least[a], least[b]))
+                least = {k: low if v == high else v for k, v in least.items()}
+    assert 10 < len(set(least.values())) < len(rows)
+    assert {i: r.component_id for i, r in found.items()} == least
+
+
 def test_packing(spark, sf_dir, texts):
     from tokenizers import Tokenizer
 
