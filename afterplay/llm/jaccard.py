@@ -237,7 +237,9 @@ def _shared(prefixes: DataFrame) -> DataFrame:
     for _ in range(2):  # without the sets that share too little, others share less
         enough = met.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared"))
         enough = enough.filter(F.col("shared") >= F.floor(partner * SHARED_PERCENT / 100) + 1)
-        left = met.join(enough.select("class"), "class", "left_semi").withColumn("several", several)
+        # written first, so that its own size decides whether the rows have to move for the join
+        enough = written(enough.select("class"), "enough")
+        left = met.join(enough, "class", "left_semi").withColumn("several", several)
         met = left.filter("several").drop("several")
     return met
 
