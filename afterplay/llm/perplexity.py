@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from afterplay.llm.arrow import most_frequent, small_batches
+from afterplay.llm.components import written
 from afterplay.llm.words import hashed
 from afterplay.session import scratch_path
 
@@ -122,7 +123,8 @@ class Model:
 def train(docs: DataFrame, good_ids: DataFrame, key: str = "doc_id") -> Model:
     """Count all texts. ``good_ids`` has one column with the ids of the target texts."""
     spark = small_batches(docs.sparkSession)
-    marked = good_ids.toDF("_good").dropna().distinct()
+    # written first, so that its own size decides whether the texts have to move for the join
+    marked = written(good_ids.toDF("_good").dropna().distinct(), "good-ids")
     rows = docs.select(docs[key].alias("_key"), docs["text"].cast("string").alias("_text"))
     rows = rows.join(marked, F.col("_key") == F.col("_good"), "left")
     flagged = rows.select(F.col("_good").isNotNull().cast("int").alias("good"), F.col("_text").alias("text"))
