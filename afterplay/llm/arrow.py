@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BATCH_ROWS = 256
@@ -52,3 +54,20 @@ def most_frequent(counts: DataFrame, count: str, limit: int, least: int = 2) ->
     if lowest is None:
         return counts.filter(F.lit(False))
     return counts.filter((size >= least) & (step >= lowest))
+
+
+def gathered(function):
+    """The same rows in fewer batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in function(batches):
+            held.append(batch)
+            size += batch.nbytes
+            if size >= 1 << 22:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return run

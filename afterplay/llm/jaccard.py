@@ -23,7 +23,7 @@ Links are needed only between components, which keeps the work away from all pai
 
 Sets are compared by 64-bit hashes of the shingles. What a task holds is bounded: the most
 frequent shingles (``COMMON_LIMIT``) and a bitmap of the classes in some bucket
-(``BITMAP_BITS``). Both only order or prefilter; any value of them gives the same components.
+(``bitmap.BITMAP_BITS``). Both only order or prefilter; any value of them gives the same components.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing, not even
 with each other. Texts with fewer than five words are one shingle, the whole sequence. Rows with
@@ -39,7 +39,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from afterplay.llm.arrow import most_frequent, small_batches
+from afterplay.llm.arrow import gathered, most_frequent, small_batches
+from afterplay.llm.bitmap import bitmap_of, in_bitmap
 from afterplay.llm.components import merged, written
 from afterplay.llm.words import hashed, mixed
 
@@ -52,7 +53,6 @@ BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 19
 COMMON_LEAST = 48
 COMMON_LIMIT = 1 << 20
-BITMAP_BITS = 1 << 27
 FLUSH = 1 << 21
 KNOWN_CLASSES = 1 << 20
 
@@ -196,11 +196,6 @@ class _Once:
                 yield row
 
 
-def _in_bitmap(hashed_ids: pa.Array, bitmap: np.ndarray) -> np.ndarray:
-    place = hashed_ids.to_numpy() & (64 * len(bitmap) - 1)
-    return (bitmap[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
-
-
 def _prefixes(docs: DataFrame, key: str, orders, bitmap=None) -> DataFrame:
     """``token, class, n`` for the prefix of every set, or of those whose hashed id is in the bitmap."""
 
@@ -209,7 +204,7 @@ def _prefixes(docs: DataFrame, key: str, orders, bitmap=None) -> DataFrame:
         for batch in batches:
             texts = batch.column(1)
             if bitmap is not None:
-                texts = texts.filter(pa.array(_in_bitmap(batch.column(0), bitmap.value)))
+                texts = texts.filter(pa.array(in_bitmap(batch.column(0), bitmap.value)))
             for found in sets(texts):
                 levels, spread = orders.value.levels(found.values), mixed(found.values, 100)
                 tokens, rows = [], list(once.new(found))
@@ -224,7 +219,7 @@ def _prefixes(docs: DataFrame, key: str, orders, bitmap=None) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "class", "n"])
 
     rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(_gathered(first), "token bigint, class bigint, n bigint")
+    return rows.mapInArrow(gathered(first), "token bigint, class bigint, n bigint")
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
@@ -250,7 +245,7 @@ def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _Once()
         for batch in batches:
-            wanted = _in_bitmap(batch.column(0), bitmap.value)
+            wanted = in_bitmap(batch.column(0), bitmap.value)
             if not wanted.any():
                 continue
             ids, at = batch.column(0).filter(pa.array(wanted)), 0
@@ -263,38 +258,7 @@ def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
                 at += len(found.sizes)
 
     rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(_gathered(keep), "hashed bigint, class bigint, shingles binary")
-
-
-def _gathered(function):
-    """The same rows in fewer batches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in function(batches):
-            held.append(batch)
-            size += batch.nbytes
-            if size >= 1 << 22:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, size = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    return run
-
-
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """One bit per hashed id in the column ``id``, at most ``BITMAP_BITS`` of them."""
-    bits, many = 1 << 16, ids.count()
-    while bits < min(16 * many, BITMAP_BITS):
-        bits *= 2
-    place = F.xxhash64("id").bitwiseAND(F.lit(bits - 1))
-    word = F.shiftright(place, 6).alias("word")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    rows = ids.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
-    return out
+    return rows.mapInArrow(gathered(keep), "hashed bigint, class bigint, shingles binary")
 
 
 def _verified(pairs: DataFrame, kept: DataFrame, orders) -> DataFrame:
@@ -478,9 +442,9 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
     orders = spark.sparkContext.broadcast(
         Orders(top.column("class").to_numpy().astype(np.int64).view(np.uint64), top.column("n").to_numpy())
     )
-    def bitmap_of(kept_classes: DataFrame):
+    def bits_of(kept_classes: DataFrame):
         ids = classes.join(kept_classes, "class", "left_semi").select(F.col("least_id").alias("id"))
-        return spark.sparkContext.broadcast(_bitmap(ids))
+        return spark.sparkContext.broadcast(bitmap_of(ids))
 
     met = written(_shared(_prefixes(docs, key, orders)), "met")
     # the counts of the first prefixes order the second ones; what these do not hold comes first
@@ -490,7 +454,7 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
         Orders(seen.column("token").to_numpy().astype(np.int64).view(np.uint64), seen.column("n").to_numpy())
     )
     first = met.select("class").distinct()
-    again = _prefixes(docs, key, orders, bitmap_of(first)).join(first, "class", "left_semi")
+    again = _prefixes(docs, key, orders, bits_of(first)).join(first, "class", "left_semi")
     met = written(_shared(again), "met")
     # tokens with the same members say the same: one of them stays
     same = met.groupBy("token").agg(
@@ -508,7 +472,7 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
     # one set of each class: that of its least id
     ids = classes.join(nodes, "class", "left_semi").select("class", F.xxhash64("least_id").alias("hashed"))
     ids = written(ids, "ids")
-    kept = _whole_sets(docs, key, bitmap_of(nodes)).join(ids, ["class", "hashed"], "left_semi")
+    kept = _whole_sets(docs, key, bits_of(nodes)).join(ids, ["class", "hashed"], "left_semi")
     kept = written(kept.select("class", "shingles"), "sets")
 
     labels = nodes.select(F.col("class").alias("node"), F.col("class").alias("label"))

@@ -23,7 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from afterplay.llm.arrow import most_frequent, small_batches
+from afterplay.llm.arrow import gathered, most_frequent, small_batches
+from afterplay.llm.bitmap import bitmap_of, in_bitmap
+from afterplay.llm.components import written
 from afterplay.llm.words import hashed
 from afterplay.session import scratch_path
 
@@ -42,7 +44,7 @@ def _totals(keys: list[np.ndarray], marks: list[np.ndarray], names: list[str]) -
 
 
 def _counted(rows: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """``key, n, good`` summed over all texts of ``rows`` (good, text), combined in the tasks first."""
+    """``key, n, good`` of the texts of ``rows`` (good, text), combined in the tasks only."""
     names = ["key", "n", "good"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,8 +61,35 @@ def _counted(rows: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.nda
         if held:
             yield _totals(keys, marks, names)
 
-    made = rows.mapInArrow(count, "key bigint, n bigint, good bigint")
-    return made.groupBy("key").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    return rows.mapInArrow(count, "key bigint, n bigint, good bigint")
+
+
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+
+
+def _marked(docs: DataFrame, good_ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``good, text`` of the texts that are surely no target, and of all others.
+
+    A bitmap of the target ids lets all target texts and few others through; only these move
+    for the exact join. The hint keeps to one plan at every size.
+    """
+    ids = good_ids.toDF("id").select(F.col("id").try_cast(docs.schema[key].dataType).alias("id")).dropna()
+    ids = written(ids.distinct(), "target-ids")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids))
+    rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs[key].alias("key"), docs["text"].cast("string").alias("text"))
+
+    def only(inside: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(in_bitmap(batch.column(0), bitmap.value) == inside))
+
+        return keep
+
+    others = rows.mapInArrow(only(False), rows.schema).select(F.lit(0).alias("good"), "text")
+    likely = rows.mapInArrow(gathered(only(True)), rows.schema)
+    likely = likely.join(ids.hint("merge"), F.col("key") == F.col("id"), "left")
+    return others, likely.select(F.col("id").isNotNull().cast("int").alias("good"), "text")
 
 
 class Vocabulary:
@@ -122,19 +151,16 @@ class Model:
 def train(docs: DataFrame, good_ids: DataFrame, key: str = "doc_id") -> Model:
     """Count all texts. ``good_ids`` has one column with the ids of the target texts."""
     spark = small_batches(docs.sparkSession)
-    marked = good_ids.toDF("_good").dropna().distinct()
-    rows = docs.select(docs[key].alias("_key"), docs["text"].cast("string").alias("_text"))
-    rows = rows.join(marked, F.col("_key") == F.col("_good"), "left")
-    flagged = rows.select(F.col("_good").isNotNull().cast("int").alias("good"), F.col("_text").alias("text"))
     plain = docs.select(F.lit(0).alias("good"), docs["text"].cast("string").alias("text"))
 
     path = scratch_path(spark, "word-counts")
-    _counted(plain, lambda words, bounds: words).write.parquet(path)
+    _summed(_counted(plain, lambda words, bounds: words)).write.parquet(path)
     frequent = most_frequent(spark.read.parquet(path), "n", VOCABULARY)
     vocabulary = Vocabulary(frequent.select("key").toArrow().column(0).to_numpy())
 
     path = scratch_path(spark, "pair-counts")
-    _counted(flagged, vocabulary.pairs).write.parquet(path)
+    others, likely = (_counted(rows, vocabulary.pairs) for rows in _marked(docs, good_ids, key))
+    _summed(others.unionByName(likely)).write.parquet(path)
     counts, size = spark.read.parquet(path), vocabulary.size
     by_word = counts.groupBy((F.col("key") % size).alias("word")).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
 
