@@ -10,6 +10,19 @@ ID_FIELDS = ("device_id", "uid", "player_id")
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
+def id_text(value: Column, name: str) -> Column:
+    """A JSON value of the id field ``name`` as text.
+
+    The number zero and false are no ids, but for the last field, where they count.
+    """
+    text = F.try_variant_get(value, "$", "string")
+    if name == ID_FIELDS[-1]:
+        return text
+    kind = F.schema_of_variant(value)
+    zero = kind.rlike("^(BIGINT|DECIMAL|FLOAT|DOUBLE|BOOLEAN)") & (F.try_variant_get(value, "$", "double") == 0)
+    return F.when(~F.coalesce(zero, F.lit(False)), text)
+
+
 def resolve_player_id(df: DataFrame, field: str | None = None) -> Column:
     """The player id as text, or null.
 

@@ -41,8 +41,12 @@ def race_game(spark: SparkSession, folder: str) -> Dataset:
     return load_dataset(spark, "race", path)
 
 
+def both_games(spark: SparkSession, folder: str) -> list[Dataset]:
+    return [score_game(spark, folder), race_game(spark, folder)]
+
+
 def _one_model(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    result = run_grid(spark, [score_game(spark, folder)], [ModelRegistry().get(name)])
+    result = run_grid(spark, both_games(spark, folder), [ModelRegistry().get(name)])
     return result.metrics.select("dataset", "model", "metric", round_half_up(F.col("value")).alias("value"), "error")
 
 
@@ -61,39 +65,32 @@ def model_logistic(spark, folder):
     return _one_model(spark, folder, "LogisticRegression")
 
 
-def _fast_registry() -> list:
-    return [ModelRegistry().get(name) for name in ("LogisticRegression", "DecisionTree")]
-
-
 @query("model_predictions")
 def model_predictions(spark, folder):
-    data = score_game(spark, folder)
-    result = run_grid(spark, [data], _fast_registry())
-    return all_predictions(result, [data])
+    games = both_games(spark, folder)
+    return all_predictions(run_grid(spark, games), games)
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    return run_grid(spark, [score_game(spark, folder)], _fast_registry()).importances
+    return run_grid(spark, both_games(spark, folder)).importances
 
 
 @query("model_grid")
 def model_grid(spark, folder):
     """Both games and all three models with the main parameters."""
-    return run_grid(spark, [score_game(spark, folder), race_game(spark, folder)]).metrics
+    return run_grid(spark, both_games(spark, folder)).metrics
 
 
 @query("model_grid_flat")
 def model_grid_flat(spark, folder):
     """The plain parameters, with scaled features for the linear model only."""
-    registry = [ModelRegistry(FLAT_PARAMS).get(name) for name in ("LogisticRegression", "DecisionTree")]
-    return run_grid(spark, [score_game(spark, folder)], registry, scale="linear").metrics
+    return run_grid(spark, both_games(spark, folder), ModelRegistry(FLAT_PARAMS), scale="linear").metrics
 
 
 @query("model_leaderboard")
 def model_leaderboard(spark, folder):
-    datasets = [score_game(spark, folder), race_game(spark, folder)]
-    result = run_grid(spark, datasets, _fast_registry(), separately=True)
+    result = run_grid(spark, both_games(spark, folder), separately=True)
     return leaderboard(widen_metrics(result.metrics.filter("error IS NULL"), "dataset", "model"))
 
 
@@ -103,6 +100,7 @@ def model_roundtrip(spark, folder):
     data = score_game(spark, folder)
     matrix = training_matrix(data.train, fit_preparation(data.train))
     model = train_model(ModelRegistry().get("LogisticRegression"), matrix)
+    matrix.release()
     path = scratch_path(spark, "model")
     save_model(model, path)
     again = load_model(path).predict(data.held_out).withColumnRenamed("score", "score_again")

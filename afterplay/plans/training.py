@@ -71,8 +71,16 @@ DEEPEST_TREE = 30  # the limit of MLlib, for trees without a depth of their own
 
 @dataclass(frozen=True)
 class ModelConfig:
+    """Parameters under a name. The name chooses the learner unless ``estimator`` makes one.
+
+    ``linear`` tells whether features are scaled where only linear models get scaled ones;
+    if not said, it follows from the learner.
+    """
+
     name: str
     params: dict[str, Any]
+    estimator: EstimatorFactory | None = None
+    linear: bool | None = None
 
     def __post_init__(self) -> None:
         validate_config(self)
@@ -102,6 +110,8 @@ def validate_config(config: ModelConfig) -> None:
     depth = params.get("max_depth")
     if depth is not None and depth < 1:
         raise ValueError("max_depth must be None or positive")
+    if depth is not None and depth > DEEPEST_TREE and config.estimator is None:
+        raise ValueError(f"max_depth must not be above {DEEPEST_TREE}, the deepest tree that can be trained")
 
 
 class ModelRegistry:
@@ -141,7 +151,7 @@ def _tree(params: dict[str, Any], trees: int, bootstrap: bool) -> RandomForestCl
         bootstrap=bootstrap,
         featureSubsetStrategy=subset,
         impurity="gini",
-        maxDepth=min(params.get("max_depth") or DEEPEST_TREE, DEEPEST_TREE),
+        maxDepth=params.get("max_depth") or DEEPEST_TREE,
         minInstancesPerNode=params.get("min_samples_leaf", 1),
         seed=params.get("random_state", 42),
         cacheNodeIds=False,
@@ -266,7 +276,9 @@ def train_model(
 ) -> FittedModel:
     """Fit one classifier. Any MLlib estimator can take the place of the named one."""
     balanced = config.params.get("class_weight") == "balanced"
-    factory = estimator or ESTIMATORS[config.name]
+    factory = estimator or config.estimator or ESTIMATORS.get(config.name)
+    if factory is None:
+        raise ValueError(f"{config.name} names no learner of {list(ESTIMATORS)} and has no estimator of its own")
     total = float(sum(matrix.class_rows.values()))
     model = factory(config.params, total).fit(matrix.weighted(balanced))
     pipeline = PipelineModel([matrix.assembler, model])
@@ -406,7 +418,11 @@ def run_grid(
 
 
 def _is_scaled(config: ModelConfig, scale: str) -> bool:
-    return scale == "all" or config.name in LINEAR
+    if scale == "all":
+        return True
+    if config.linear is not None:
+        return config.linear
+    return (config.estimator or ESTIMATORS.get(config.name)) in [ESTIMATORS[name] for name in LINEAR]
 
 
 def _scalings(configs: list[ModelConfig], scale: str) -> set[bool]:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from afterplay.functions.identity import ID_FIELDS, id_text
 from afterplay.sources.schemas import SCORE_CSV
 
 CORRUPT = "_corrupt"
@@ -33,7 +34,7 @@ class JsonLines:
         others = [c for c in lines.columns if c != "value"]
         parsed = _parsed(lines, schema)
         return cls(
-            parsed.filter(_good()).select(*others, "r._line.*"),
+            parsed.filter(_good()).select(*others, *_fields(schema)),
             parsed.filter(~_good()).select(*others, F.col("value").alias("line_text")),
         )
 
@@ -48,11 +49,28 @@ def _good() -> Column:
     return F.coalesce(whole, F.lit(False))
 
 
+def _is_id(field: T.StructField) -> bool:
+    return field.name in ID_FIELDS and field.dataType == T.StringType()
+
+
+def _fields(schema: T.StructType) -> list[Column]:
+    """The fields of a parsed line. Ids become text; a zero or false that is no id becomes null."""
+    out = []
+    for field in schema:
+        value = F.col(f"r._line.`{field.name}`")
+        if _is_id(field):
+            value = id_text(value, field.name)
+        out.append(value.alias(field.name))
+    return out
+
+
 def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     wrapped = F.concat(F.lit('{"_line":'), F.col("value"), F.lit(',"_end":0}'))
+    # as text, the number 0 and the text "0" would be the same
+    typed = T.StructType([T.StructField(f.name, T.VariantType()) if _is_id(f) else f for f in schema])
     wide = T.StructType(
         [
-            T.StructField("_line", schema),
+            T.StructField("_line", typed),
             T.StructField("_end", T.IntegerType()),
             T.StructField(CORRUPT, T.StringType()),
         ]
@@ -70,7 +88,7 @@ def scan_json_lines_strict(spark: SparkSession, path: str, schema: T.StructType)
     """The first bad line fails the job."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
     failure = F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).cast("boolean")
-    return _parsed(lines, schema).filter(F.when(_good(), True).otherwise(failure)).select("r._line.*")
+    return _parsed(lines, schema).filter(F.when(_good(), True).otherwise(failure)).select(*_fields(schema))
 
 
 def first_json_lines(spark: SparkSession, path: str, schema: T.StructType, n: int = 5) -> DataFrame:

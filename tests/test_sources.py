@@ -65,6 +65,17 @@ def test_player_ids(spark, tmp_path):
     assert numbers.select(resolve_player_id(numbers, "other")).first()[0] is None
 
 
+def test_a_number_zero_in_json_is_no_player(spark, tmp_path):
+    ids = [
+        {"device_id": 0}, {"device_id": 0, "uid": "u2"}, {"device_id": "0"}, {"device_id": 0.0, "uid": False, "player_id": 0},
+        {"device_id": 12, "uid": "u"}, {"device_id": None, "uid": ""}, {"device_id": 9007199254740993}, {"uid": "u3"}, {},
+    ]
+    path = write(tmp_path / "ids.jsonl", *[json.dumps(one | {"records": []}) for one in ids])
+    rows = scan_json_lines(spark, path, RACE_LOG).rows
+    found = [r[0] for r in rows.select(resolve_player_id(rows)).collect()]
+    assert found == [None, "u2", "0", "0", "12", None, "9007199254740993", "u3", None]
+
+
 def test_malformed_lines_are_set_aside(spark, tmp_path):
     bad = [log("c") + " and more", "{'uid': 'd'}", log("e")[:-3], log("f") + log("g"), '{"uid": "h"} {"_end": 0', "5"]
     path = write(tmp_path / "logs.jsonl", log("a", race(1, reward=2)), "", "not json", log("b"), *bad)

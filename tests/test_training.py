@@ -21,6 +21,7 @@ from afterplay.plans.training import (
     all_predictions,
     evaluate_model,
     load_model,
+    logistic_regression,
     run_grid,
     save_model,
     train_model,
@@ -148,6 +149,18 @@ def test_any_estimator_can_be_trained(data):
     assert roc_auc(model.predict(data.held_out), label="churned").first().roc_auc > 0.7
 
 
+def test_grid_takes_renamed_and_foreign_learners(spark, data):
+    configs = [
+        ModelConfig("LR_strong", {"random_state": 1, "C": 10.0}, logistic_regression),
+        ModelConfig("Boosted", {"random_state": 1}, lambda p, w: GBTClassifier(labelCol="churned", maxIter=3, seed=1)),
+        ModelConfig("Unknown", {"random_state": 1}),
+    ]
+    grid = run_grid(spark, [data], configs, scale="linear")
+    assert {name: model.scaled for (_, name), model in grid.models.items()} == {"LR_strong": True, "Boosted": False}
+    errors = {r.model: r.error for r in grid.metrics.filter("error IS NOT NULL").collect()}
+    assert list(errors) == ["Unknown"] and "names no learner" in errors["Unknown"]
+
+
 def test_registry():
     registry = ModelRegistry()
     assert registry.names() == ["DecisionTree", "LogisticRegression", "RandomForest"]
@@ -155,7 +168,7 @@ def test_registry():
     assert registry.get("LogisticRegression").params["C"] == 0.1
     with pytest.raises(KeyError):
         registry.get("Oracle")
-    for name, bad in (("LogisticRegression", {"C": 0}), ("RandomForest", {"max_features": "most"}), ("DecisionTree", {"max_depth": 0})):
+    for name, bad in (("LogisticRegression", {"C": 0}), ("RandomForest", {"max_features": "most"}), ("DecisionTree", {"max_depth": 0}), ("DecisionTree", {"max_depth": 31})):
         with pytest.raises(ValueError):
             registry.update(name, **bad)
     with warnings.catch_warnings(record=True) as caught:
