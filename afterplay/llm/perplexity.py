@@ -1,14 +1,14 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background.
 
-Both models are bigram models over one vocabulary, the words seen most often in the whole
-corpus; all other words are one unknown word. The target model counts the texts marked as
-good, the background model counts all texts. A bigram's share is mixed with the smoothed share
-of its last word; contexts are normalised over the bigrams kept, so each model sums to one. The
-score of a document is the mean over its words of target loss minus background loss: lower
-means closer to the target.
+Both models are bigram models over all words of the corpus. The target model counts the texts
+marked as good, the background model counts all texts. A bigram's share is mixed with the
+smoothed share of its last word; contexts are normalised over all bigrams, so each model sums
+to one. The score of a document is the mean over its words of target loss minus background loss:
+lower means closer to the target. The documents scored are those that were counted.
 
-All texts are counted and every word of every text is scored. The models that tasks hold are
-bounded by ``VOCABULARY`` words and ``PAIRS`` bigrams.
+All counts are kept, in tables. Tasks hold ``HELD_WORDS`` words, the losses of ``HELD_PAIRS``
+bigrams and a bitmap of the bigrams that repeat; what these do not settle is looked up by a
+join. Any value of them gives the same scores.
 
 Defined results: null, empty and blank texts have 0 words and null losses. With no target text,
 both models still exist (the target one is uniform). An empty table gives no rows. Repeated rows
@@ -21,61 +21,89 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from afterplay.llm.arrow import gathered, most_frequent, small_batches
 from afterplay.llm.bitmap import bitmap_of, in_bitmap
 from afterplay.llm.components import written
 from afterplay.llm.words import hashed
-from afterplay.session import scratch_path
 
-VOCABULARY = 50_000
-PAIRS = 1_000_000
+HELD_WORDS = 1 << 20
+HELD_PAIRS = 1 << 20
 BIGRAM_SHARE = 0.7
 SMOOTHING = 0.5
-FLUSH = 1 << 21
+FLUSH = 1 << 22
+# stand for the beginning and the end of a text, and mark the counts of single words
+START, END, SINGLE = 1, 2, 3
 
 
-def _totals(keys: list[np.ndarray], marks: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    key, place = np.unique(np.concatenate(keys), return_inverse=True)
-    n = np.bincount(place, minlength=len(key))
-    good = np.bincount(place, np.concatenate(marks), len(key)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), pa.array(good)], names)
+def _pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return ((before << np.uint64(21)) | (before >> np.uint64(43))) ^ word
 
 
-def _counted(rows: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """``key, n, good`` of the texts of ``rows`` (good, text), combined in the tasks only."""
-    names = ["key", "n", "good"]
+def _pair_key_column() -> Column:
+    turned = F.shiftleft("before", 21).bitwiseOR(F.shiftrightunsigned("before", 43))
+    return turned.bitwiseXOR(F.col("word"))
+
+
+def _before(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The word before each word, or ``START``."""
+    before = np.full(len(words), START, np.uint64)
+    before[1:] = words[:-1]
+    before[bounds[:-1][bounds[:-1] < len(words)]] = START
+    return before
+
+
+def _totals(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], names: list[str]) -> pa.RecordBatch:
+    before, word, mark = (np.concatenate(column) for column in zip(*pairs))
+    _, first, place = np.unique(_pair_key(before, word), return_index=True, return_inverse=True)
+    n = np.bincount(place, minlength=len(first))
+    good = np.bincount(place, mark, len(first)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (before[first].view(np.int64), word[first].view(np.int64), n, good)], names)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """``before, word, n, good`` of the texts of ``rows`` (good, text), combined in the tasks only.
+
+    Texts end with ``END``; words count with ``SINGLE`` before them, and ``START`` so counts texts.
+    """
+    names = ["before", "word", "n", "good"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, marks, held = [], [], 0
+        pairs, singles, held = [], [], 0
         for batch in batches:
             good = batch.column(0).to_numpy(zero_copy_only=False)
             for row, end, words, bounds in hashed(batch.column(1), lower=True):
-                keys.append(keys_of(words, bounds))
-                marks.append(np.repeat(good[row:end], np.diff(bounds)))
+                sizes = np.diff(bounds)
+                mark, filled = np.repeat(good[row:end], sizes), sizes > 0
+                lasts, own = words[bounds[1:][filled] - 1], good[row:end][filled]
+                pairs.append((_before(words, bounds), words, mark))
+                pairs.append((lasts, np.full(len(lasts), END, np.uint64), own))
+                singles.append((np.full(len(words), SINGLE, np.uint64), words, mark))
+                singles.append((np.full(len(lasts), SINGLE, np.uint64), np.full(len(lasts), START, np.uint64), own))
                 held += len(words)
                 if held >= FLUSH:
-                    yield _totals(keys, marks, names)
-                    keys, marks, held = [], [], 0
+                    yield _totals(pairs, names)
+                    yield _totals(singles, names)
+                    pairs, singles, held = [], [], 0
         if held:
-            yield _totals(keys, marks, names)
+            yield _totals(pairs, names)
+            yield _totals(singles, names)
 
-    return rows.mapInArrow(count, "key bigint, n bigint, good bigint")
+    return rows.mapInArrow(count, "before bigint, word bigint, n bigint, good bigint")
 
 
-def _summed(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+def _target_ids(docs: DataFrame, good_ids: DataFrame, key: str) -> DataFrame:
+    ids = good_ids.toDF("id").select(F.col("id").try_cast(docs.schema[key].dataType).alias("id")).dropna()
+    return written(ids.distinct(), "target-ids")
 
 
-def _marked(docs: DataFrame, good_ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def _marked(docs: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """``good, text`` of the texts that are surely no target, and of all others.
 
     A bitmap of the target ids lets all target texts and few others through; only these move
     for the exact join. The hint keeps to one plan at every size.
     """
-    ids = good_ids.toDF("id").select(F.col("id").try_cast(docs.schema[key].dataType).alias("id")).dropna()
-    ids = written(ids.distinct(), "target-ids")
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids))
     rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs[key].alias("key"), docs["text"].cast("string").alias("text"))
 
@@ -92,107 +120,179 @@ def _marked(docs: DataFrame, good_ids: DataFrame, key: str) -> tuple[DataFrame,
     return others, likely.select(F.col("id").isNotNull().cast("int").alias("good"), "text")
 
 
-class Vocabulary:
-    """Numbers of the words, by their hash: 0 is any other word, 1 the start of a text."""
+class Words:
+    """Counts of the words that tasks hold: seen and followed by a word, in good texts and in all."""
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes.astype(np.int64).view(np.uint64))
-        self.size = len(self.hashes) + 2
+    def __init__(self, rows: pa.Table, size: int, seen: tuple[int, int]):
+        """``size`` words in all, ``seen`` so often in good texts and in all."""
+        hashes = rows.column("word").to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.size, self.seen = hashes[order], size, seen
+        names = ("good", "n", "followed_good", "followed")
+        self.counts = [rows.column(name).to_numpy().astype(np.int64)[order] for name in names]
 
-    def numbers(self, words: np.ndarray) -> np.ndarray:
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Where the words are held; -1 for others."""
         if not len(self.hashes):
-            return np.zeros(len(words), np.int64)
+            return np.full(len(words), -1)
         at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, at + 2, 0)
+        return np.where(self.hashes[at] == words, at, -1)
 
-    def pairs(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """(word before, word) as one number, for every word."""
-        number = self.numbers(words)
-        before = np.ones_like(number)
-        before[1:] = number[:-1]
-        before[bounds[:-1][bounds[:-1] < len(words)]] = 1
-        return before * self.size + number
+    def loss(self, model: int, pair: np.ndarray, seen: np.ndarray, followed: np.ndarray) -> np.ndarray:
+        """Loss under the target (0) or background (1) model, by the counts of pair, word and context."""
+        share = (seen + SMOOTHING) / (self.seen[model] + SMOOTHING * self.size)
+        lower = np.where(followed > 0, 1 - BIGRAM_SHARE, 1) * share
+        return -np.log(BIGRAM_SHARE * pair / np.maximum(followed, 1) + lower)
 
 
 class Model:
-    """Log-probability differences and losses of both models, looked up by pair."""
-
-    def __init__(self, vocabulary: Vocabulary, singles: np.ndarray, pairs: np.ndarray):
-        """``singles`` (word, n, good), ``pairs`` (pair, n, good) sorted by pair."""
-        self.vocabulary, size = vocabulary, vocabulary.size
-        self.pair = pairs[:, 0]
-        before, word = np.divmod(self.pair, size)
-        self.single, self.joint, self.followed = [], [], []
-        for column in (2, 1):
-            seen = np.zeros(size)
-            seen[singles[:, 0]] = singles[:, column]
-            # the start is never predicted
-            share = (seen + SMOOTHING) / (seen.sum() + SMOOTHING * (size - 1))
-            context = np.bincount(before, pairs[:, column], size)
-            bigram = pairs[:, column] / np.maximum(context[before], 1)
-            lower = np.where(context[before] > 0, 1 - BIGRAM_SHARE, 1) * share[word]
-            self.single.append(share.astype(np.float32))
-            self.followed.append(context > 0)
-            self.joint.append(-np.log(BIGRAM_SHARE * bigram + lower).astype(np.float32))
-
-    def losses(self, words: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
-        """Target and background loss of every word."""
-        pair = self.vocabulary.pairs(words, bounds)
-        before, word = np.divmod(pair, self.vocabulary.size)
-        at = np.minimum(np.searchsorted(self.pair, pair), max(len(self.pair) - 1, 0))
-        known = self.pair[at] == pair if len(self.pair) else np.zeros(len(pair), bool)
-        out = []
-        for single, followed, joint in zip(self.single, self.followed, self.joint):
-            rest = -np.log(np.where(followed[before], 1 - BIGRAM_SHARE, 1) * single[word])
-            out.append(np.where(known, joint[at], rest) if len(joint) else rest)
-        return out
+    """Counts in tables, and what tasks hold of them: frequent words and the losses of frequent pairs.
 
+    A pair that is not frequent is looked up in the table ``losses`` if a word of it is not held,
+    or if it may repeat by a bitmap. All others were counted once, in the text that has them.
+    """
 
-def train(docs: DataFrame, good_ids: DataFrame, key: str = "doc_id") -> Model:
-    """Count all texts. ``good_ids`` has one column with the ids of the target texts."""
-    spark = small_batches(docs.sparkSession)
-    plain = docs.select(F.lit(0).alias("good"), docs["text"].cast("string").alias("text"))
+    def __init__(self, words: Words, bitmap: np.ndarray, losses: DataFrame, ids: DataFrame):
+        self.words, self.bitmap, self.losses, self.ids = words, bitmap, losses, ids
+        top = most_frequent(losses, "n", HELD_PAIRS).select("key", "target", "background").toArrow()
+        keys = top.column("key").to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.held = [top.column(name).to_numpy()[order] for name in ("target", "background")]
 
-    path = scratch_path(spark, "word-counts")
-    _summed(_counted(plain, lambda words, bounds: words)).write.parquet(path)
-    frequent = most_frequent(spark.read.parquet(path), "n", VOCABULARY)
-    vocabulary = Vocabulary(frequent.select("key").toArrow().column(0).to_numpy())
 
-    path = scratch_path(spark, "pair-counts")
-    others, likely = (_counted(rows, vocabulary.pairs) for rows in _marked(docs, good_ids, key))
-    _summed(others.unionByName(likely)).write.parquet(path)
-    counts, size = spark.read.parquet(path), vocabulary.size
-    by_word = counts.groupBy((F.col("key") % size).alias("word")).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+def _looked_up(words: Words, bitmap: np.ndarray, key: np.ndarray, *places: np.ndarray) -> np.ndarray:
+    return in_bitmap(pa.array(key.view(np.int64)), bitmap) | (np.minimum(*places) < 0)
 
-    def table(frame: DataFrame) -> np.ndarray:
-        return np.stack([c.to_numpy() for c in frame.toArrow().columns], 1).astype(np.int64)
 
-    pairs = table(most_frequent(counts, "n", PAIRS).select("key", "n", "good"))
-    return Model(vocabulary, table(by_word), pairs[np.argsort(pairs[:, 0])])
+def _losses(pairs: DataFrame, table: DataFrame, words: Words, bitmap: np.ndarray) -> DataFrame:
+    """``key, n, target, background`` of the pairs that are looked up."""
+    shared = pairs.sparkSession.sparkContext.broadcast((words, bitmap))
+    names = ["key", "n", "target", "background"]
+    out = "key bigint, n bigint, target double, background double"
+
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+
+    def of_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, bitmap = shared.value
+        for batch in batches:
+            before, word, n, good = columns(batch)
+            key = _pair_key(before.view(np.uint64), word.view(np.uint64))
+            first, second = words.places(before.view(np.uint64)), words.places(word.view(np.uint64))
+            own = np.flatnonzero(_looked_up(words, bitmap, key, first, second) & (np.minimum(first, second) >= 0))
+            first, second = first[own], second[own]
+            loss = [
+                words.loss(i, pair[own], words.counts[i][second], words.counts[2 + i][first]) for i, pair in enumerate((good, n))
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key[own].view(np.int64), n[own], *loss)], names)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value[0]
+        for batch in batches:
+            before, word = (c.view(np.uint64) for c in columns(batch)[:2])
+            yield batch.filter(pa.array(np.minimum(words.places(before), words.places(word)) < 0))
+
+    def of_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value[0]
+        for batch in batches:
+            key, n, good, seen, seen_good, followed, followed_good = columns(batch)
+            loss = [words.loss(0, good, seen_good, followed_good), words.loss(1, n, seen, followed)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, n, *loss)], names)
+
+    left = pairs.mapInArrow(gathered(rare), pairs.schema)
+    second = table.select("word", F.col("n").alias("seen"), F.col("good").alias("seen_good"))
+    first = table.select(F.col("word").alias("before"), "followed", "followed_good")
+    wide = left.join(second, "word").join(first, "before").select(
+        _pair_key_column().alias("key"), "n", "good", "seen", "seen_good", "followed", "followed_good"
+    )
+    return pairs.mapInArrow(gathered(of_held), out).unionByName(wide.mapInArrow(of_rare, out))
+
+
+def train(docs: DataFrame, good_ids: DataFrame, key: str = "doc_id") -> Model:
+    """Count all texts. ``good_ids`` has one column with the ids of the target texts."""
+    spark = small_batches(docs.sparkSession)
+    ids = _target_ids(docs, good_ids, key)
+    others, likely = (_counted(rows) for rows in _marked(docs, ids, key))
+    counts = others.unionByName(likely).groupBy("before", "word").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    counts = written(counts, "counts")
+
+    singles = counts.filter(F.col("before") == SINGLE).select("word", "n", "good")
+    ends = counts.filter(F.col("word") == END).select(F.col("before").alias("word"), F.col("n").alias("e"), F.col("good").alias("g"))
+    table = singles.join(ends, "word", "left").select(
+        "word", "n", "good",
+        (F.col("n") - F.coalesce("e", F.lit(0))).alias("followed"),
+        (F.col("good") - F.coalesce("g", F.lit(0))).alias("followed_good"),
+    )
+    table = written(table, "words")
+    total = table.filter(F.col("word") != START).agg(F.count(F.lit(1)), F.sum("good"), F.sum("n")).first()
+    words = Words(most_frequent(table, "n", HELD_WORDS, 1).toArrow(), total[0], (total[1] or 0, total[2] or 0))
+
+    # START never stands second, so the first word of a text is a pair too
+    pairs = counts.filter((F.col("before") != SINGLE) & (F.col("word") != END))
+    repeated = pairs.filter("n > 1").select(_pair_key_column().alias("id"))
+    bitmap = bitmap_of(repeated, F.col("id"))
+    return Model(words, bitmap, written(_losses(pairs, table, words, bitmap), "losses"), ids)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_words, target_loss, background_loss, difference`` per document."""
+    """``doc_id, n_words, target_loss, background_loss, difference`` per document that was counted."""
     spark = small_batches(docs.sparkSession)
     rows = docs.select(docs[key].alias("doc_id"), docs["text"].cast("string").alias("text"))
+    names = ("n_words", "as_target", "as_other", "background")
     schema = T.StructType(
         [rows.schema["doc_id"], T.StructField("n_words", T.LongType())]
-        + [T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "difference")]
+        + [T.StructField(n, T.DoubleType()) for n in names[1:]]
+        + [T.StructField("keys", T.ArrayType(T.LongType()))]
     )
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.words, model.bitmap, model.keys, model.held))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, bitmap, known, held = shared.value
         for batch in batches:
-            count = np.zeros(batch.num_rows, np.int64)
-            sums = np.zeros((2, batch.num_rows))
-            for row, end, words, bounds in hashed(batch.column(1), lower=True):
+            count, sums = np.zeros(batch.num_rows, np.int64), np.zeros((3, batch.num_rows))
+            sent, many = [], np.zeros(batch.num_rows, np.int64)
+            for row, end, word, bounds in hashed(batch.column(1), lower=True):
                 count[row:end] = np.diff(bounds)
-                for total, loss in zip(sums, shared.value.losses(words, bounds)):
-                    line = np.concatenate([[0.0], np.cumsum(loss, dtype=np.float64)])
+                before, losses = _before(word, bounds), np.zeros((3, len(word)))
+                key = _pair_key(before, word)
+                at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+                frequent = known[at] == key if len(known) else np.zeros(len(key), bool)
+                for line, which in zip(losses, (0, 0, 1)):
+                    line[frequent] = held[which][at[frequent]]
+                first, second = words.places(before), words.places(word)
+                away = ~frequent & _looked_up(words, bitmap, key, first, second)
+                alone = np.flatnonzero(~frequent & ~away)
+                for line, (which, pair) in zip(losses, ((0, 1), (0, 0), (1, 1))):
+                    line[alone] = words.loss(which, pair, words.counts[which][second[alone]], words.counts[2 + which][first[alone]])
+                for total, line in zip(sums, losses):
+                    line = np.concatenate([[0.0], np.cumsum(line)])
                     total[row:end] = line[bounds[1:]] - line[bounds[:-1]]
-            means = [s / np.maximum(count, 1) for s in (*sums, sums[0] - sums[1])]
-            empty = count == 0
-            columns = [batch.column(0), pa.array(count), *[pa.array(m, mask=empty) for m in means]]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    return rows.mapInArrow(judge, schema)
+                sent.append(key[away].view(np.int64))
+                many[row:end] = np.diff(np.concatenate([[0], np.cumsum(away)])[bounds])
+            flat = np.concatenate(sent) if sent else np.zeros(0, np.int64)
+            keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), *[pa.array(s) for s in sums], keys], schema.names)
+
+    # numbered before they are written, so that a row keeps its number
+    held = rows.mapInArrow(judge, schema).withColumn("row", F.monotonically_increasing_id())
+    held = written(held, "held-losses")
+    # a hint for each: one plan at every size
+    looked = held.select("row", F.explode("keys").alias("key")).join(model.losses.drop("n").hint("merge"), "key")
+    looked = looked.groupBy("row").agg(F.sum("target").alias("more"), F.sum("background").alias("more_background"))
+    good = held.select("row", "doc_id").join(model.ids, F.col("doc_id") == F.col("id")).select(F.col("row"), F.lit(True).alias("good"))
+    wide = held.drop("keys").join(looked, "row", "left").join(good, "row", "left")
+    own = F.when(F.col("good"), F.col("as_target")).otherwise(F.col("as_other"))
+    sums = wide.select(
+        "doc_id", "n_words",
+        (own + F.coalesce("more", F.lit(0.0))).alias("t"),
+        (F.col("background") + F.coalesce("more_background", F.lit(0.0))).alias("b"),
+    )
+
+    def mean(total: Column) -> Column:
+        return F.when(F.col("n_words") > 0, total / F.col("n_words"))
+
+    return sums.select(
+        "doc_id", "n_words", mean(F.col("t")).alias("target_loss"), mean(F.col("b")).alias("background_loss"),
+        mean(F.col("t") - F.col("b")).alias("difference"),
+    )

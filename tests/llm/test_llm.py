@@ -4,6 +4,7 @@ import hashlib
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -263,3 +264,43 @@ def test_awkward_vectors(spark):
             best = sorted(((-int(data[q] @ v), i) for i, v in data.items() if i != q))[:5]
             mine = sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])
             assert [(-r.score, r.vec_id) for r in mine] == best
+
+
+@pytest.mark.parametrize("held", [4, 1 << 20])
+def test_cross_entropy_difference_counts_everything(spark, monkeypatch, held):
+    """The whole model by brute force; what tasks hold does not change the scores."""
+    monkeypatch.setattr(perplexity, "HELD_WORDS", held)
+    monkeypatch.setattr(perplexity, "HELD_PAIRS", held)
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in draw.zipf(1.3, draw.integers(1, 60)) % 500) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (7, texts[9]), (100, "")]
+    good = [0, 7, 9, 20, 21, 22]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in good], "doc_id long")
+    found = perplexity.score(frame, perplexity.train(frame, ids)).collect()
+    counts = []
+    for chosen in ([t for i, t in rows if i in good], [t for _, t in rows]):
+        split = [t.split() for t in chosen]
+        counts.append((Counter(w for t in split for w in t), Counter(p for t in split for p in zip(["", *t], t))))
+    size = len(counts[1][0])
+
+    def loss(words, single, pair):
+        context, total = Counter(), sum(single.values())
+        for (before, _), n in pair.items():
+            context[before] += n
+        out = 0
+        for before, word in zip(["", *words], words):
+            share = (single[word] + 0.5) / (total + 0.5 * size)
+            of = context[before]
+            out -= np.log(0.7 * pair[before, word] / of + 0.3 * share if of else share)
+        return out / len(words)
+
+    expected = []
+    for i, text in rows:
+        words = text.split()
+        expected.append((i, len(words), *(loss(words, *c) if words else None for c in counts)))
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
+    mine = sorted(([*r] for r in found), key=order)
+    for one, other in zip(mine, sorted(expected, key=order), strict=True):
+        assert one[:2] == [*other[:2]] and (other[1] == 0 or np.allclose(one[2:4], other[2:]))
+        assert other[1] == 0 or np.isclose(one[4], one[2] - one[3])
