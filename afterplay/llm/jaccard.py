@@ -182,13 +182,17 @@ def _classes(docs: DataFrame, key: str) -> DataFrame:
 
 
 class _Once:
-    """The rows of blocks whose class this task has not met yet; at most ``KNOWN_CLASSES`` are kept."""
+    """The rows of blocks whose class this task has not met yet; at most ``KNOWN_CLASSES`` are kept.
+
+    With hashed ``ids``, the rows whose class it has not met under that id.
+    """
 
     def __init__(self) -> None:
         self.known: set[int] = set()
 
-    def new(self, found: Sets) -> Iterator[int]:
-        for row, (number, size) in enumerate(zip(found.numbers.tolist(), found.sizes.tolist())):
+    def new(self, found: Sets, ids: np.ndarray | None = None) -> Iterator[int]:
+        numbers = found.numbers if ids is None else mixed(found.numbers.view(np.uint64) ^ mixed(ids.view(np.uint64), 3), 4)
+        for row, (number, size) in enumerate(zip(numbers.tolist(), found.sizes.tolist())):
             if size and number not in self.known:
                 if len(self.known) >= KNOWN_CLASSES:
                     self.known.clear()
@@ -240,7 +244,10 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
-    """``hashed, class, shingles`` of the documents whose hashed id is in the bitmap."""
+    """``hashed, class, shingles`` of the documents whose hashed id is in the bitmap.
+
+    A class may come from several ids, as the bitmap lets others through; a task gives an id's set once.
+    """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _Once()
@@ -250,7 +257,7 @@ def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
                 continue
             ids, at = batch.column(0).filter(pa.array(wanted)), 0
             for found in sets(batch.column(1).filter(pa.array(wanted))):
-                rows = list(once.new(found))
+                rows = list(once.new(found, ids.slice(at, len(found.sizes)).to_numpy()))
                 if rows:
                     values = pa.array([found.of(row).tobytes() for row in rows], pa.binary())
                     columns = [ids.slice(at).take(pa.array(rows)), pa.array(found.numbers[rows]), values]

@@ -304,3 +304,13 @@ def test_cross_entropy_difference_counts_everything(spark, monkeypatch, held):
     for one, other in zip(mine, sorted(expected, key=order), strict=True):
         assert one[:2] == [*other[:2]] and (other[1] == 0 or np.allclose(one[2:4], other[2:]))
         assert other[1] == 0 or np.isclose(one[4], one[2] - one[3])
+
+
+def test_jaccard_join_of_copies_in_any_order(spark, monkeypatch):
+    """A bitmap that lets all ids through, and copies with larger ids first in one task."""
+    monkeypatch.setattr(jaccard, "bitmap_of", lambda ids: np.full(1024, 2**64 - 1, np.uint64))
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base, *(f"end{k}" for _ in range(k))]) for k in range(4)]
+    rows = [(i, texts[i % 4]) for i in range(40)]
+    frame = spark.createDataFrame(rows[::-1], "doc_id long, text string").coalesce(1)
+    assert {r.component_id for r in jaccard.join(frame).collect()} == {0}
