@@ -23,7 +23,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from afterplay.llm.arrow import most_frequent
 from afterplay.llm.components import written
 from afterplay.llm.winnow import SPACE, let
 
@@ -152,8 +151,8 @@ def _patterns(before: Column) -> Column:
 def _words_after(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """``pattern, n``: how many words follow each pattern, over all words of all texts.
 
-    ``patterns`` is bounded by ``PATTERNS`` rows of one number, so it goes to every task and the
-    words need no shuffle before they are counted.
+    Up to ``PATTERNS`` patterns go to every task, and the words need no shuffle before they are
+    counted; with more, the words are counted first and joined then.
     """
     words = F.filter(F.split(_normal(F.col("text")), SPACE), lambda w: w != "")
 
@@ -166,7 +165,10 @@ def _words_after(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     each = texts.select(F.explode(let(hashes, both)).alias("pattern"))
-    return each.join(F.broadcast(patterns), "pattern").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    n = F.count(F.lit(1)).alias("n")
+    if patterns.count() > PATTERNS:
+        return each.groupBy("pattern").agg(n).join(patterns, "pattern")
+    return each.join(F.broadcast(patterns), "pattern").groupBy("pattern").agg(n)
 
 
 def bootstrap(occurrences: DataFrame, texts: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -182,7 +184,7 @@ def bootstrap(occurrences: DataFrame, texts: DataFrame, rounds: int = ROUNDS) ->
     edges = written(edges, "pii-edges")
     # the values of a pattern were counted apart, so a pattern many instances share is one sum
     supported = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
-    chosen = written(most_frequent(supported, "instances", PATTERNS, LEAST_INSTANCES).select("pattern"), "pii-patterns")
+    chosen = written(supported.filter(F.col("instances") >= LEAST_INSTANCES).select("pattern"), "pii-patterns")
     followed = written(_words_after(texts, chosen), "pii-followed")
     graph = written(edges.join(followed, "pattern"), "pii-graph")
     trust = graph.groupBy("value").agg(F.max("seed").cast("double").alias("trust"))

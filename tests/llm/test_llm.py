@@ -314,3 +314,12 @@ def test_jaccard_join_of_copies_in_any_order(spark, monkeypatch):
     rows = [(i, texts[i % 4]) for i in range(40)]
     frame = spark.createDataFrame(rows[::-1], "doc_id long, text string").coalesce(1)
     assert {r.component_id for r in jaccard.join(frame).collect()} == {0}
+
+
+def test_contexts_beyond_the_patterns_tasks_hold(spark, monkeypatch):
+    monkeypatch.setattr(pii, "PATTERNS", 1)
+    lines = [f"please write to user{i}@mail.example.com today" for i in range(8)] + ["please write to handle_77x now"]
+    lines += [f"the common code{i} stands here" for i in range(20)]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.doc_id: [s.value for s in r.found if s.kind == "context"] for r in pii.scan(frame).collect()}
+    assert found[8] == ["handle_77x"] and not any(found[i] for i in range(9, 29))
