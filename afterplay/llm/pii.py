@@ -50,7 +50,7 @@ BLOCK = 64
 
 
 def found(text: Column, pattern: str) -> Column:
-    """Array of (start, value, before) of all matches; ``before`` is the text since the last one."""
+    """Array of (start, value, before) of all matches; ``before`` has the last ``CONTEXT_CHARS`` before it."""
 
     def spans(pieces: Column, matches: Column) -> Column:
         widths = F.transform(matches, lambda m, i: F.char_length(F.get(pieces, i)) + F.char_length(m))
@@ -68,6 +68,21 @@ def _block_sums(widths: Column) -> Column:
     return F.transform(blocks, lambda b: _total(F.slice(widths, b * BLOCK + 1, BLOCK)))
 
 
+def _context(pieces: Column, matches: Column, i: Column) -> Column:
+    """The text before match ``i``, from the pieces and matches that reach back far enough.
+
+    A match and the piece before it have two characters together at least.
+    """
+
+    def end(part: Column) -> Column:
+        return F.coalesce(F.right(part, F.lit(CONTEXT_CHARS)), F.lit(""))
+
+    back = F.sequence(F.greatest(i - CONTEXT_CHARS // 2, F.lit(0)), i)
+    parts = F.transform(back, lambda j: F.concat(end(F.get(matches, j - 1)), end(F.get(pieces, j))))
+    near = F.get(pieces, i)
+    return end(F.when(F.char_length(near) >= CONTEXT_CHARS, near).otherwise(F.array_join(parts, "")))
+
+
 def _placed(pieces: Column, matches: Column, widths: Column, sums: Column) -> Column:
     """The start of a match is what the blocks before it, and its own block, add up to."""
 
@@ -77,7 +92,7 @@ def _placed(pieces: Column, matches: Column, widths: Column, sums: Column) -> Co
         return F.struct(
             (earlier + F.char_length(F.get(pieces, i))).alias("start"),
             match.alias("value"),
-            F.get(pieces, i).alias("before"),
+            _context(pieces, matches, i).alias("before"),
         )
 
     return F.transform(matches, one)
@@ -136,7 +151,7 @@ def _normal(text: Column) -> Column:
 
 def _patterns(before: Column) -> Column:
     """Hashes of the last two words, and of the last word, of what stands before an instance."""
-    near = _normal(F.right(before, F.lit(CONTEXT_CHARS)))
+    near = _normal(before)
     last, one = F.regexp_extract(near, LAST_WORDS, 2), F.regexp_extract(near, LAST_WORD, 1)
     two = F.regexp_extract(near, LAST_WORDS, 1)
     return F.filter(

@@ -323,3 +323,15 @@ def test_contexts_beyond_the_patterns_tasks_hold(spark, monkeypatch):
     frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     found = {r.doc_id: [s.value for s in r.found if s.kind == "context"] for r in pii.scan(frame).collect()}
     assert found[8] == ["handle_77x"] and not any(found[i] for i in range(9, 29))
+
+
+def test_contexts_that_look_like_identifiers(spark):
+    lines = [f"my user_id user{i}@mail.example.com today" for i in range(8)] + ["a user_id AB1234 now"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.doc_id: [s.value for s in r.found if s.kind == "context"] for r in pii.scan(frame).collect()}
+    assert found[8] == ["AB1234"]
+    text = "é1 " * 70 + "last words x9 1 " + "w" * 90 + " 7"
+    row = spark.createDataFrame([(text,)], "text string").select(pii.found(F.col("text"), pii.IDENTIFIER).alias("f")).first()
+    assert len(row.f) == 73
+    for one in row.f:
+        assert one.before == text[: one.start][-pii.CONTEXT_CHARS :] and text[one.start :].startswith(one.value)
