@@ -12,8 +12,7 @@ up to code points. Repetitions are possessive, so long runs need no stack.
 
 Defined results: null and empty texts have no spans. An empty table gives no rows; without seeds
 no pattern is trusted. Repeated rows are scanned each, and count as often in the graph. Rows with
-a null id keep their spans in the graph and get one row each, with base spans only, as further
-spans are met by id and text.
+a null id, or with one id and different texts, get their own spans each.
 """
 
 from __future__ import annotations
@@ -261,18 +260,19 @@ def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
             ),
         ).cast(f"array<{span}>").alias("spans"),
     )
-    kept = written(kept, "pii-spans")
-    one = kept.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.*")
+    # numbered before they are written, so that a row keeps its number
+    kept = written(kept.withColumn("row", F.monotonically_increasing_id()), "pii-spans")
+    one = kept.select("row", F.explode("spans").alias("s")).select("row", "s.*")
     occurrences = one.select("value", F.col("kind").isNotNull().cast("int").alias("seed"), "patterns")
     patterns, accepted = bootstrap(occurrences, rows)
-    places = one.filter("kind IS NULL").select("doc_id", "start", "end", "value", F.explode("patterns").alias("pattern"))
+    places = one.filter("kind IS NULL").select("row", "start", "end", "value", F.explode("patterns").alias("pattern"))
     further = (
         places.join(patterns.select("pattern"), "pattern", "left_semi")
         .join(accepted.select("value"), "value", "left_semi")
-        .select("doc_id", "start", "end", "value").distinct()
-        .groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "value")).alias("further"))
+        .select("row", "start", "end", "value").distinct()
+        .groupBy("row").agg(F.collect_list(F.struct("start", "end", "value")).alias("further"))
     )
-    joined = kept.join(further, "doc_id", "left")
+    joined = kept.join(further, "row", "left")
 
     def plain(s: Column) -> Column:
         place = reduce(lambda a, b: a.when(s["kind"] == b[1], b[0]), enumerate(KINDS[1:], 1), F.when(s["kind"] == KINDS[0], 0))

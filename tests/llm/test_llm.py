@@ -335,3 +335,12 @@ def test_contexts_that_look_like_identifiers(spark):
     assert len(row.f) == 73
     for one in row.f:
         assert one.before == text[: one.start][-pii.CONTEXT_CHARS :] and text[one.start :].startswith(one.value)
+
+
+def test_contexts_of_rows_without_an_id_of_their_own(spark):
+    rows = [(i, f"please write to user{i}@mail.example.com today") for i in range(8)]
+    rows += [(None, "please write to handle_77x now"), (9, "so please write to other_88y now"), (9, "nothing here")]
+    found = pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    context = [(r.doc_id, s.value, s.start) for r in found for s in r.found if s.kind == "context"]
+    assert len(found) == len(rows)
+    assert sorted(context, key=str) == [(9, "other_88y", 19), (None, "handle_77x", 16)]
