@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from afterplay.llm import jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, winnow
+from afterplay.llm import audit, jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, winnow
 from afterplay.llm.arrow import small_batches
 from afterplay.llm.components import written
 from afterplay.plans.registry import Query, table
@@ -175,3 +175,52 @@ def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_contextual_pii")
 def contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digests(pii.scan(table(spark, folder, "documents")), pii.KINDS, "context")
+
+
+# the orders of five letters, and the bits of the filters before each step
+AUDIT_SQL = r"""
+    WITH whole AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+    ), split AS (
+        SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+            coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE) AS is_copy
+        FROM whole
+    ), marks AS (
+        SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic
+        FROM labels GROUP BY doc_id
+    ), masked AS (
+        SELECT s.part, coalesce(m.good, FALSE) AS good, coalesce(m.toxic, FALSE) AS toxic,
+            (len(words) < 200)::INT
+            + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+            + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+            + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * is_copy::INT AS mask
+        FROM split s LEFT JOIN marks m ON s.doc_id = m.doc_id
+    ), counts AS (
+        SELECT part, mask, good, toxic, count(*) AS n FROM masked GROUP BY ALL
+    ), letters AS (
+        SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+    ), orders AS (
+        SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+            [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+    ), steps AS (
+        SELECT filter_order, step::INT AS step, bits[step] AS own,
+            coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+        FROM orders, range(1, 6) r(step)
+    )
+    SELECT part, filter_order, step,
+        sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & own > 0 AND mask & before > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN good AND mask & own > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN toxic AND mask & own > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS toxic_lost,
+        sum(CASE WHEN mask & own > 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+    FROM counts, steps GROUP BY part, filter_order, step
+"""
+
+
+@query("op13_filter_interaction_audit", AUDIT_SQL)
+def filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
