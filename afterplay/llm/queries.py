@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from afterplay.llm import audit, jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, winnow
+from afterplay.llm import audit, jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, token_counts, winnow
 from afterplay.llm.arrow import small_batches
 from afterplay.llm.components import written
 from afterplay.plans.registry import Query, table
@@ -177,6 +177,15 @@ def contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digests(pii.scan(table(spark, folder, "documents")), pii.KINDS, "context")
 
 
+TOKEN_LIMIT = 2048
+
+
+@query("op12_token_counts")
+def token_count_query(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("*", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 # the orders of five letters, and the bits of the filters before each step
 AUDIT_SQL = r"""
     WITH whole AS (
