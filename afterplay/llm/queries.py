@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from afterplay.llm import audit, jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, token_counts, winnow
+from afterplay.llm import audit, jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, token_counts, whitening, winnow
 from afterplay.llm.arrow import small_batches
 from afterplay.llm.components import written
 from afterplay.plans.registry import Query, table
@@ -177,6 +177,20 @@ def contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digests(pii.scan(table(spark, folder, "documents")), pii.KINDS, "context")
 
 
+@query("op11_embedding_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whole_numbers(table(spark, folder, "embeddings"))
+    model = whitening.fit(rows)
+    if model is None:
+        return spark.createDataFrame(
+            [], "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
+        )
+    deviation = F.col("deviation").try_cast("bigint").alias("deviation")
+    return whitening.apply(rows, model).select(
+        F.col("id").alias("vec_id"), "component", "n", deviation, "whitened", "explained", "identity_error"
+    )
+
+
 TOKEN_LIMIT = 2048
 
 

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from afterplay.llm import audit, token_counts, transducer, tries
+from afterplay.llm import audit, token_counts, transducer, tries, whitening
+from afterplay.llm.bidiagonal import right_singular
 from afterplay.llm.queries import REGISTRY
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -127,3 +128,87 @@ def test_audit(spark, monkeypatch, held, sampled):
     found = audit.audit(docs.repartition(5), marks).collect()
     assert {tuple(r) for r in found} == audited(rows, labels) and len(found) == 600 * 3
     assert audit.audit(docs.limit(0), marks).count() == 0
+
+
+def matrices():
+    draw = np.random.default_rng(0)
+    turned = np.linalg.qr(draw.normal(size=(64, 64)))[0]
+    tall = np.linalg.qr(draw.normal(size=(300, 64)))[0]
+    yield "random", draw.normal(size=(500, 64)), 32
+    yield "falling", draw.normal(size=(500, 64)) * np.logspace(0, -8, 64), 64
+    yield "rising", draw.normal(size=(500, 64)) * np.logspace(-8, 0, 64), 64
+    yield "one column", draw.normal(size=(50, 1)), 32
+    yield "two columns", draw.normal(size=(50, 2)), 32
+    yield "all values equal", tall * 5, 32
+    yield "pairs of values", tall @ np.diag(np.repeat(np.arange(32, 0, -1.0), 2)) @ turned, 64
+    yield "values very close", tall @ np.diag(1 + 1e-9 * draw.normal(size=64)) @ turned, 64
+    yield "rank 20", draw.normal(size=(500, 20)) @ draw.normal(size=(20, 64)), 20
+    yield "fewer rows", draw.normal(size=(10, 64)), 10
+    yield "equal columns", np.repeat(draw.normal(size=(500, 16)), 4, axis=1), 16
+    yield "empty columns", np.hstack([draw.normal(size=(500, 40)), np.zeros((500, 24))]), 40
+    yield "glued", np.diag(np.sqrt(np.abs(np.arange(21) - 10.0) + 1)) + np.diag(np.ones(20), 1), 21
+
+
+@pytest.mark.parametrize("name, rows, most", list(matrices()), ids=lambda x: x if isinstance(x, str) else "")
+def test_singular_values_and_vectors(name, rows, most):
+    r = np.linalg.qr(rows, mode="r")
+    r = np.vstack([r, np.zeros((rows.shape[1] - len(r), rows.shape[1]))])
+    values, vectors, total = right_singular(r, most)
+    expected = np.linalg.svd(r, compute_uv=False) ** 2
+    assert len(values) == min(most, rows.shape[1])
+    assert np.allclose(values, expected[: len(values)], rtol=1e-8, atol=1e-26 * expected[0])
+    assert np.isclose(total, expected.sum())
+    assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() < 1e-10
+    assert np.abs(r.T @ (r @ vectors) - vectors * values).max() < 1e-12 * expected[0]
+
+
+def whitened_by_hand(vectors):
+    x = np.floor(64 * np.array(vectors, float)).astype(np.int64) + 1_000_000
+    n, sums = len(x), x.sum(0)
+    y = (n * x - sums) / n
+    _, roots, directions = np.linalg.svd(y, full_matrices=False)
+    return n, ((n * x - sums) ** 2).sum(1), y, roots**2 / n, directions.T
+
+
+def test_whitening(spark, sf_dir):
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()}
+    n, deviation, y, values, directions = whitened_by_hand(list(vectors.values()))
+    found = REGISTRY["op11_embedding_whitening"].run(spark, sf_dir).collect()
+    assert len(found) == 32 * len(vectors)
+    at = {i: k for k, i in enumerate(vectors)}
+    w = np.zeros((n, 32))
+    for r in found:
+        assert r.n == n and r.deviation == deviation[at[r.vec_id]] and r.identity_error < 1e-9
+        assert abs(r.explained / (values[r.component - 1] / values.sum()) - 1) < 1e-9
+        w[at[r.vec_id], r.component - 1] = r.whitened
+    expected = y @ directions[:, :32] / np.sqrt(values[:32])
+    assert np.abs(w * np.sign((w * expected).sum(0)) - expected).max() < 1e-7
+
+
+@pytest.mark.parametrize("fan_in, parts", [(32, 3), (2, 9)])
+def test_whitening_of_awkward_rows(spark, monkeypatch, fan_in, parts):
+    monkeypatch.setattr(whitening, "FAN_IN", fan_in)
+    monkeypatch.setattr(whitening, "BLOCK_ROWS", 7)
+    draw = np.random.default_rng(8)
+    good = [(i % 40 if i % 9 else None, [float(a), float(b), float(a), 5.0]) for i, (a, b) in enumerate(draw.normal(size=(60, 2)) * [3e4, 0.5])]
+    bad = [(1, None), (2, []), (3, [None, 1.0, 2.0, 3.0]), (4, [float("nan")] * 4), (5, [float("inf"), 0.0, 0.0, 0.0]), (6, [1.0, 2.0])]
+    schema = T.StructType.fromDDL("vec_id long, embedding array<double>, id long, x int, part int")
+    frame = spark.createDataFrame([(*r, 1, 2, 3) for r in good + bad], schema).repartition(parts)
+    rows = whitening.whole_numbers(frame)
+    model = whitening.fit(rows)
+    n, deviation, y, values, _ = whitened_by_hand([v for _, v in good])
+    assert model.n == n == 60 and len(model.variances) == 2 and model.error < 1e-9
+    assert np.allclose(model.variances, values[:2], rtol=1e-9)
+    found = whitening.apply(rows, model).collect()
+    assert Counter((r.id, int(r.deviation)) for r in found if r.component == 1) == Counter((i, int(d)) for (i, _), d in zip(good, deviation))
+    for given in ([], bad[:5], good[:1], [good[0]] * 7):
+        rows = whitening.whole_numbers(spark.createDataFrame([(*r, 1, 2, 3) for r in given], schema))
+        model = whitening.fit(rows)
+        assert model is None if given in ([], bad[:5]) else whitening.apply(rows, model).count() == 0
+
+
+def test_deviations_beyond_64_bits(spark):
+    rows = whitening.whole_numbers(spark.createDataFrame([(i, [float(i) * 1e10, -1e300]) for i in range(5)], "vec_id long, embedding array<double>"))
+    found = whitening.apply(rows, whitening.fit(rows)).collect()
+    x = [64 * i * 10**10 for i in range(5)]
+    assert sorted(int(r.deviation) for r in found) == sorted((5 * v - sum(x)) ** 2 for v in x)
