@@ -12,7 +12,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     spark: SparkSession = frame.sparkSession
     path = scratch_path(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` made, once nothing that is still to run reads it."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:

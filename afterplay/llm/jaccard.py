@@ -33,6 +33,7 @@ non-null id. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,16 +42,16 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from afterplay.llm.arrow import gathered, most_frequent, small_batches
 from afterplay.llm.bitmap import bitmap_of, in_bitmap
-from afterplay.llm.components import merged, written
+from afterplay.llm.components import discard, merged, written
 from afterplay.llm.words import hashed, mixed
 
 WORDS = 5
 PERCENT = 75
 SHARED_PERCENT = 10
 ORDERS = 3
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 BLOCK_SETS = 1024
-BLOCK_SHINGLES = 1 << 19
+BLOCK_SHINGLES = 1 << 20
 COMMON_LEAST = 48
 COMMON_LIMIT = 1 << 20
 FLUSH = 1 << 21
@@ -114,6 +115,11 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n // 100) + least_shared(n)
 
 
+def meeting_size(n: int, percent: int = PERCENT) -> int:
+    """Of the prefix, the part in which the first shingle that a pair shares must lie."""
+    return n + (-percent * n // 100) + 1
+
+
 class Orders:
     """Global orders of shingles: by how common they are, then by a hash of their own."""
 
@@ -132,14 +138,20 @@ class Orders:
             out[at] = np.where(self.common[place] == values[at], self.level[place], 0)
         return out
 
+    @staticmethod
+    def places(levels: np.ndarray, spread: np.ndarray, size: int) -> np.ndarray:
+        """Where the first ``size`` values by level, then by ``spread`` stand, in that order."""
+        if levels.any():
+            return np.lexsort((spread, levels))[:size]
+        if size >= len(spread):
+            return np.argsort(spread)
+        first = np.argpartition(spread, size - 1)[:size]
+        return first[np.argsort(spread[first])]
+
     @staticmethod
     def prefix(values: np.ndarray, levels: np.ndarray, spread: np.ndarray, size: int) -> np.ndarray:
         """The first ``size`` values by level, then by ``spread``."""
-        if size >= len(values):
-            return values
-        if levels.any():
-            return values[np.lexsort((spread, levels))[:size]]
-        return values[np.argpartition(spread, size - 1)[:size]]
+        return values if size >= len(values) else values[Orders.places(levels, spread, size)]
 
 
 def _classes(docs: DataFrame, key: str) -> DataFrame:
@@ -211,36 +223,36 @@ def _prefixes(docs: DataFrame, key: str, orders, bitmap=None) -> DataFrame:
                 texts = texts.filter(pa.array(in_bitmap(batch.column(0), bitmap.value)))
             for found in sets(texts):
                 levels, spread = orders.value.levels(found.values), mixed(found.values, 100)
-                tokens, rows = [], list(once.new(found))
+                tokens, early, rows = [], [], list(once.new(found))
                 for row in rows:
-                    own = slice(found.bounds[row], found.bounds[row + 1])
-                    size = prefix_size(int(found.sizes[row]))
-                    tokens.append(Orders.prefix(found.values[own], levels[own], spread[own], size))
+                    own, size = slice(found.bounds[row], found.bounds[row + 1]), int(found.sizes[row])
+                    place = Orders.places(levels[own], spread[own], prefix_size(size))
+                    tokens.append(found.values[own][place])
+                    early.append(np.arange(len(place)) < meeting_size(size))
                 if rows:
                     counts = [len(t) for t in tokens]
                     columns = [np.concatenate(tokens).view(np.int64)]
                     columns += [np.repeat(x[rows], counts) for x in (found.numbers, found.sizes)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "class", "n"])
+                    columns.append(np.concatenate(early))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "class", "n", "early"])
 
     rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(gathered(first), "token bigint, class bigint, n bigint")
+    return rows.mapInArrow(gathered(first), "token bigint, class bigint, n bigint, early boolean")
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
     """The rows of ``prefixes`` whose token several classes have, in classes that share enough."""
-    bucket = Window.partitionBy("token")
-    several = F.min("class").over(bucket) != F.max("class").over(bucket)
-    met = prefixes.withColumn("several", several).filter("several")
-    met = written(met.groupBy("token", "class").agg(F.first("n").alias("n")), "met")
+    by_token, by_class = Window.partitionBy("token"), Window.partitionBy("class")
+
+    def several(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("several", F.min("class").over(by_token) != F.max("class").over(by_token)).filter("several").drop("several")
+
+    met = several(prefixes).groupBy("token", "class").agg(F.first("n").alias("n"), F.first("early").alias("early"))
     partner = F.floor((F.col("n") * PERCENT + 99) / 100)
-    for _ in range(2):  # without the sets that share too little, others share less
-        enough = met.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared"))
-        enough = enough.filter(F.col("shared") >= F.floor(partner * SHARED_PERCENT / 100) + 1)
-        # written first, so that its own size decides whether the rows have to move for the join
-        enough = written(enough.select("class"), "enough")
-        left = met.join(enough, "class", "left_semi").withColumn("several", several)
-        met = left.filter("several").drop("several")
-    return met
+    counted = met.withColumn("shared", F.count(F.lit(1)).over(by_class))
+    enough = counted.filter(F.col("shared") >= F.floor(partner * SHARED_PERCENT / 100) + 1).drop("shared")
+    # without the sets that share too little, some tokens are left alone
+    return several(enough)
 
 
 def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
@@ -352,39 +364,46 @@ def block_links(
 
 
 def _block_links(members: DataFrame, kept: DataFrame, orders) -> DataFrame:
-    """``a, b``: links that join the labels of ``members`` (token, class, n, label, weight), block by block.
+    """``a, b``: links that join the labels of ``members`` (token, class, n, label, weight, meets), block by block.
 
     Sets are in one family if they share the least set of some bucket; a family is cut into
-    blocks by the number and size of its sets.
+    bands of sizes, of which only neighbours can link, and a band into blocks by
+    the number and size of its sets. Each pair of blocks that meets is made once, and a set goes
+    there if enough of its prefix is found in the other block.
     """
     least = members.groupBy("token").agg(F.min("class").alias("least"))
     families = members.join(least, "token").groupBy("class").agg(
         F.min("least").alias("family"), F.first("n").alias("n"), F.first("label").alias("label")
     )
-    families = written(families, "families")
-    parts = families.groupBy("family").agg(
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / PERCENT))
+    families = written(families.withColumn("band", band), "families")
+    parts = families.groupBy("family", "band").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).alias("parts")
     )
-    block = F.xxhash64("family", F.pmod(F.xxhash64("class"), F.col("parts")))
-    placed = written(families.join(parts, "family").select("class", "n", "label", block.alias("block")), "blocks")
-    inside = written(members.select("token", "weight", "class").join(placed, "class"), "inside")
-    present = inside.groupBy("token", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    block = F.xxhash64("family", "band", F.pmod(F.xxhash64("class"), F.col("parts")))
+    placed = families.join(parts, ["family", "band"]).select("class", "n", "label", "band", block.alias("block"))
+    inside = written(members.select("token", "weight", "meets", "class").join(placed, "class"), "inside")
+    present = inside.groupBy("token", "block", "band").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max("meets").alias("meets")
+    )
     present = written(present, "present")
-    one = present.select("token", F.col("block").alias("lo"), F.col("low").alias("l1"), F.col("high").alias("h1"))
-    two = present.select("token", F.col("block").alias("hi"), F.col("low").alias("l2"), F.col("high").alias("h2"))
-    meet = one.join(two, "token").filter("lo <= hi AND (l1 <> h1 OR l2 <> h2 OR l1 <> l2)").select("token", "lo", "hi")
-    sides = meet.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi"))))
+    one = present.select("token", "band", F.col("block").alias("lo"), F.col("low").alias("l1"), F.col("high").alias("h1"), "meets")
+    near = F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band")
+    two = present.select("token", near, F.col("block").alias("hi"), F.col("low").alias("l2"), F.col("high").alias("h2"))
+    meet = one.join(two, ["token", "band"]).filter("lo <= hi AND (l1 <> h1 OR l2 <> h2 OR l1 <> l2)")
+    sides = meet.select("token", "meets", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"))
     # of a block, the sets whose buckets in the other block weigh enough for a partner
     enough = F.sum("weight") >= F.floor(F.floor((F.first("n") * PERCENT + 99) / 100) * SHARED_PERCENT / 100) + 1
-    sent = inside.join(sides, ["token", "block"]).groupBy("class", "lo", "hi", "block").agg(
-        F.first("label").alias("label"), enough.alias("enough")
+    sent = inside.drop("meets").join(sides, ["token", "block"]).groupBy("class", "lo", "hi", "block").agg(
+        F.first("label").alias("label"), (enough & F.max("meets")).alias("enough")
     )
     sent = written(sent.filter("enough").drop("enough"), "sent")
+    discard(families, inside, present)
     filled = sent.groupBy("lo", "hi").agg(
         F.min("block").alias("b1"), F.max("block").alias("b2"), F.min("label").alias("l1"), F.max("label").alias("l2")
     )
     filled = filled.filter("least(b1, b2) = lo AND greatest(b1, b2) = hi AND l1 <> l2").select("lo", "hi")
-    sent = written(sent.join(filled, ["lo", "hi"], "left_semi"), "sent")
+    sent = sent.join(filled, ["lo", "hi"], "left_semi")
     wide = kept.select("class", "shingles").join(sent, "class")
     wide = wide.repartition("lo", "hi").sortWithinPartitions("lo", "hi", "block", "class")
     wide = wide.select("lo", "hi", "block", "class", "label", "shingles")
@@ -461,19 +480,26 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
         Orders(seen.column("token").to_numpy().astype(np.int64).view(np.uint64), seen.column("n").to_numpy())
     )
     first = met.select("class").distinct()
-    again = _prefixes(docs, key, orders, bits_of(first)).join(first, "class", "left_semi")
-    met = written(_shared(again), "met")
-    # tokens with the same members say the same: one of them stays
+    # the bitmap may let others through, which does no harm
+    again = written(_shared(_prefixes(docs, key, orders, bits_of(first))), "met")
+    discard(met)
+    met = again
+    # tokens with the same members say the same: one of them stays. The first token that a pair shares is
+    # early in both its sets, so a bucket in which none is early for two of them brings nothing together
     same = met.groupBy("token").agg(
-        F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("size")
+        F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("sum"),
+        F.count(F.lit(1)).alias("size"),
+        (F.sum(F.col("early").cast("int")) > 1).alias("meets"),
+    )
+    chosen = same.groupBy("sum", "size").agg(
+        F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"), F.max("meets").alias("meets")
     )
-    chosen = same.groupBy("sum", "size").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
-    chosen = chosen.select("token", "weight")
+    chosen = chosen.select("token", "weight", "size", "meets")
     # a member of many crowded buckets is near the middle of its group
-    crowd = Window.partitionBy("token")
-    buckets = met.join(chosen, "token").withColumn("crowd", F.count(F.lit(1)).over(crowd) * F.col("weight"))
-    middle = buckets.groupBy("class").agg((F.sum("crowd") / F.first("n")).alias("middle"))
-    buckets = written(buckets.drop("crowd").join(middle, "class"), "buckets")
+    buckets = met.drop("early").join(chosen, "token").withColumn("crowd", F.col("size") * F.col("weight")).drop("size")
+    middle = F.sum("crowd").over(Window.partitionBy("class")) / F.col("n")
+    buckets = written(buckets.withColumn("middle", middle).drop("crowd"), "buckets")
+    discard(met)
     nodes = written(buckets.select("class").distinct(), "nodes")
 
     # one set of each class: that of its least id
@@ -516,9 +542,10 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
             break
         labels = merged(labels, links)
 
-    found = written(members(), "members")
+    found = written(members().drop("middle"), "members")
     several = found.groupBy("token").agg((F.min("label") != F.max("label")).alias("several")).filter("several")
-    still = written(found.join(several, "token", "left_semi").drop("middle"), "open")
+    still = written(found.join(several.select("token"), "token", "left_semi"), "open")
+    discard(found)
     if still.isEmpty():
         return labels
     return merged(labels, written(_block_links(still, kept, orders), "links"))
