@@ -1,23 +1,26 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background.
 
-Both models are bigram models over all words of the corpus. The target model counts the texts
-marked as good, the background model counts all texts. A bigram's share is mixed with the
-smoothed share of its last word; contexts are normalised over all bigrams, so each model sums
-to one. The score of a document is the mean over its words of target loss minus background loss:
-lower means closer to the target. The documents scored are those that were counted.
-
-All counts are kept, in tables. Tasks hold ``HELD_WORDS`` words, the losses of ``HELD_PAIRS``
-bigrams and a bitmap of the bigrams that repeat; what these do not settle is looked up by a
-join. Any value of them gives the same scores.
-
-Defined results: null, empty and blank texts have 0 words and null losses. With no target text,
+Both models are bigram models over the ids of one tokenizer, which is their shared vocabulary and
+knows every text. The target model counts the texts marked as good, the background model counts all
+texts. A bigram's share is mixed with the smoothed share of its last token; contexts are normalised
+over all bigrams, so each model sums to one. The score of a document is the mean over its tokens of
+target loss minus background loss: lower means closer to the target.
+
+Texts are tokenised once, into a table of 16-bit ids. All counts of bigrams are kept, in a table.
+Tasks hold what the vocabulary bounds (the counts of single tokens), the ``HELD_PAIRS`` most frequent
+bigrams and a bitmap of the bigrams that repeat. A bigram that is neither held nor in the bitmap was
+counted once, in the text that has it; all others are looked up by a join. Any value of
+``HELD_PAIRS`` and any false hit of the bitmap gives the same scores.
+
+Defined results: null, empty and blank texts have 0 tokens and null losses. With no target text,
 both models still exist (the target one is uniform). An empty table gives no rows. Repeated rows
-are counted and scored each; a repeated label marks its document once.
+are counted and scored each; a repeated label marks its document once, a null id has no label.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,87 +28,102 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from afterplay.llm.arrow import gathered, most_frequent, small_batches
 from afterplay.llm.bitmap import bitmap_of, in_bitmap
-from afterplay.llm.components import written
-from afterplay.llm.words import hashed
+from afterplay.llm.components import discard, written
+from afterplay.llm.packing import word_ids
+from afterplay.llm.words import mixed
 
-HELD_WORDS = 1 << 20
-HELD_PAIRS = 1 << 20
+HELD_PAIRS = 1 << 21
 BIGRAM_SHARE = 0.7
 SMOOTHING = 0.5
 FLUSH = 1 << 22
-# stand for the beginning and the end of a text, and mark the counts of single words
-START, END, SINGLE = 1, 2, 3
+TEXTS = 64
 
 
-def _pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return ((before << np.uint64(21)) | (before >> np.uint64(43))) ^ word
+@dataclass(frozen=True)
+class Tokens:
+    """``row, doc_id, ids`` of every document, the ids as 16-bit numbers, and the size of the vocabulary."""
 
+    rows: DataFrame
+    vocabulary: int
 
-def _pair_key_column() -> Column:
-    turned = F.shiftleft("before", 21).bitwiseOR(F.shiftrightunsigned("before", 43))
-    return turned.bitwiseXOR(F.col("word"))
 
+def tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> Tokens:
+    """Tokenise all texts, into the shared folder."""
+    spark = small_batches(docs.sparkSession)
+    vocabulary = word_ids(tokenizer).tokenizer.get_vocab_size()
+    if vocabulary >= 1 << 16:
+        raise ValueError("the ids of this tokenizer do not fit 16 bits with one to spare")
+    rows = docs.select(docs[key].alias("doc_id"), docs["text"].cast("string").alias("text"))
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("ids", T.BinaryType())])
 
-def _before(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The word before each word, or ``START``."""
-    before = np.full(len(words), START, np.uint64)
-    before[1:] = words[:-1]
-    before[bounds[:-1][bounds[:-1] < len(words)]] = START
-    return before
-
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_ids(tokenizer)
+        for batch in batches:
+            out = []
+            for at in range(0, batch.num_rows, TEXTS):
+                texts = batch.column(1).slice(at, TEXTS).to_pylist()
+                out += [np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in words.encode(texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], schema.names)
 
-def _totals(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], names: list[str]) -> pa.RecordBatch:
-    before, word, mark = (np.concatenate(column) for column in zip(*pairs))
-    _, first, place = np.unique(_pair_key(before, word), return_index=True, return_inverse=True)
-    n = np.bincount(place, minlength=len(first))
-    good = np.bincount(place, mark, len(first)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in (before[first].view(np.int64), word[first].view(np.int64), n, good)], names)
+    # numbered before they are written, so that a row keeps its number
+    encoded = rows.mapInArrow(encode, schema).withColumn("row", F.monotonically_increasing_id())
+    return Tokens(written(encoded.select("row", "doc_id", "ids"), "token-ids"), vocabulary)
+
+
+def pairs_of(column: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every token with the one before it (``start`` at the beginning of a text) as one number, and where each text begins."""
+    bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    ids = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].view("<u2") if data else np.zeros(0, np.uint16)
+    bounds = (bounds - bounds[0]) // 2
+    before = np.full(len(ids), start, np.uint32)
+    before[1:] = ids[:-1]
+    before[bounds[:-1][bounds[:-1] < len(ids)]] = start
+    return before << np.uint32(16) | ids, bounds
+
+
+def _counted(rows: DataFrame, start: int) -> DataFrame:
+    """``pair, n, good`` of the rows (good, ids), combined in the tasks only."""
+    names = ["pair", "n", "good"]
+
+    def totals(held: list[np.ndarray], marks: list[np.ndarray]) -> pa.RecordBatch:
+        marked = np.concatenate(held) << np.uint64(1) | np.concatenate(marks)
+        marked.sort()
+        pair = marked >> np.uint64(1)
+        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        n = np.diff(np.append(first, len(pair)))
+        good = np.add.reduceat((marked & np.uint64(1)).astype(np.int64), first)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (pair[first].astype(np.int64), n, good)], names)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, marks, many = [], [], 0
+        for batch in batches:
+            pair, bounds = pairs_of(batch.column(1), start)
+            held.append(pair.astype(np.uint64))
+            marks.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64), np.diff(bounds)))
+            many += len(pair)
+            if many >= FLUSH:
+                yield totals(held, marks)
+                held, marks, many = [], [], 0
+        if many:
+            yield totals(held, marks)
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """``before, word, n, good`` of the texts of ``rows`` (good, text), combined in the tasks only.
+    return rows.mapInArrow(count, "pair bigint, n bigint, good bigint")
 
-    Texts end with ``END``; words count with ``SINGLE`` before them, and ``START`` so counts texts.
-    """
-    names = ["before", "word", "n", "good"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, singles, held = [], [], 0
-        for batch in batches:
-            good = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, end, words, bounds in hashed(batch.column(1), lower=True):
-                sizes = np.diff(bounds)
-                mark, filled = np.repeat(good[row:end], sizes), sizes > 0
-                lasts, own = words[bounds[1:][filled] - 1], good[row:end][filled]
-                pairs.append((_before(words, bounds), words, mark))
-                pairs.append((lasts, np.full(len(lasts), END, np.uint64), own))
-                singles.append((np.full(len(words), SINGLE, np.uint64), words, mark))
-                singles.append((np.full(len(lasts), SINGLE, np.uint64), np.full(len(lasts), START, np.uint64), own))
-                held += len(words)
-                if held >= FLUSH:
-                    yield _totals(pairs, names)
-                    yield _totals(singles, names)
-                    pairs, singles, held = [], [], 0
-        if held:
-            yield _totals(pairs, names)
-            yield _totals(singles, names)
-
-    return rows.mapInArrow(count, "before bigint, word bigint, n bigint, good bigint")
-
-
-def _target_ids(docs: DataFrame, good_ids: DataFrame, key: str) -> DataFrame:
-    ids = good_ids.toDF("id").select(F.col("id").try_cast(docs.schema[key].dataType).alias("id")).dropna()
+def _target_ids(rows: DataFrame, good_ids: DataFrame) -> DataFrame:
+    ids = good_ids.toDF("id").select(F.col("id").try_cast(rows.schema["doc_id"].dataType).alias("id")).dropna()
     return written(ids.distinct(), "target-ids")
 
 
-def _marked(docs: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """``good, text`` of the texts that are surely no target, and of all others.
+def _marked(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``good, ids`` of the documents that are surely no target, and of all others.
 
-    A bitmap of the target ids lets all target texts and few others through; only these move
-    for the exact join. The hint keeps to one plan at every size.
+    A bitmap of the target ids lets all targets and few others through; only these move for the
+    exact join. The hint keeps to one plan at every size.
     """
-    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids))
-    rows = docs.select(F.xxhash64(docs[key]).alias("hashed"), docs[key].alias("key"), docs["text"].cast("string").alias("text"))
+    bitmap = rows.sparkSession.sparkContext.broadcast(bitmap_of(ids))
+    hashed = rows.select(F.xxhash64("doc_id").alias("hashed"), "doc_id", "ids")
 
     def only(inside: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,185 +132,134 @@ def _marked(docs: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataF
 
         return keep
 
-    others = rows.mapInArrow(only(False), rows.schema).select(F.lit(0).alias("good"), "text")
-    likely = rows.mapInArrow(gathered(only(True)), rows.schema)
-    likely = likely.join(ids.hint("merge"), F.col("key") == F.col("id"), "left")
-    return others, likely.select(F.col("id").isNotNull().cast("int").alias("good"), "text")
-
-
-class Words:
-    """Counts of the words that tasks hold: seen and followed by a word, in good texts and in all."""
-
-    def __init__(self, rows: pa.Table, size: int, seen: tuple[int, int]):
-        """``size`` words in all, ``seen`` so often in good texts and in all."""
-        hashes = rows.column("word").to_numpy().astype(np.int64).view(np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.size, self.seen = hashes[order], size, seen
-        names = ("good", "n", "followed_good", "followed")
-        self.counts = [rows.column(name).to_numpy().astype(np.int64)[order] for name in names]
-
-    def places(self, words: np.ndarray) -> np.ndarray:
-        """Where the words are held; -1 for others."""
-        if not len(self.hashes):
-            return np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, at, -1)
-
-    def loss(self, model: int, pair: np.ndarray, seen: np.ndarray, followed: np.ndarray) -> np.ndarray:
-        """Loss under the target (0) or background (1) model, by the counts of pair, word and context."""
-        share = (seen + SMOOTHING) / (self.seen[model] + SMOOTHING * self.size)
+    others = hashed.mapInArrow(only(False), hashed.schema).select(F.lit(0).alias("good"), "ids")
+    likely = hashed.mapInArrow(gathered(only(True)), hashed.schema)
+    likely = likely.join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left")
+    return others, likely.select(F.col("id").isNotNull().cast("int").alias("good"), "ids")
+
+
+class Singles:
+    """Counts of single tokens, in good texts (0) and in all (1): seen, and followed by a token."""
+
+    def __init__(self, counts: DataFrame, vocabulary: int):
+        self.vocabulary = vocabulary
+        self.seen, self.followed = (np.zeros((2, vocabulary + 1), np.int64) for _ in range(2))
+        for place, out in ((F.col("pair").bitwiseAND(F.lit(0xFFFF)), self.seen), (F.shiftright("pair", 16), self.followed)):
+            # at most one row a token
+            rows = counts.groupBy(place.alias("of")).agg(F.sum("good").alias("good"), F.sum("n").alias("n")).toArrow()
+            at = rows.column("of").to_numpy()
+            out[0][at], out[1][at] = rows.column("good").to_numpy(), rows.column("n").to_numpy()
+        self.total = self.seen.sum(axis=1)
+
+    def loss(self, model: int, pair: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Loss of pairs that the target (0) or background (1) model counted ``n`` times."""
+        share = (self.seen[model][pair & 0xFFFF] + SMOOTHING) / (self.total[model] + SMOOTHING * self.vocabulary)
+        followed = self.followed[model][pair >> 16]
         lower = np.where(followed > 0, 1 - BIGRAM_SHARE, 1) * share
-        return -np.log(BIGRAM_SHARE * pair / np.maximum(followed, 1) + lower)
+        return -np.log(BIGRAM_SHARE * n / np.maximum(followed, 1) + lower)
 
 
 class Model:
-    """Counts in tables, and what tasks hold of them: frequent words and the losses of frequent pairs.
-
-    A pair that is not frequent is looked up in the table ``losses`` if a word of it is not held,
-    or if it may repeat by a bitmap. All others were counted once, in the text that has them.
-    """
-
-    def __init__(self, words: Words, bitmap: np.ndarray, losses: DataFrame, ids: DataFrame):
-        self.words, self.bitmap, self.losses, self.ids = words, bitmap, losses, ids
-        top = most_frequent(losses, "n", HELD_PAIRS).select("key", "target", "background").toArrow()
-        keys = top.column("key").to_numpy().astype(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.held = [top.column(name).to_numpy()[order] for name in ("target", "background")]
+    """All counts in the table ``repeated`` (pair, n, good) and in what tasks hold; see above."""
 
+    def __init__(self, singles: Singles, bitmap: np.ndarray, repeated: DataFrame, ids: DataFrame):
+        self.singles, self.bitmap, self.repeated, self.ids = singles, bitmap, repeated, ids
+        top = most_frequent(repeated, "n", HELD_PAIRS).toArrow()
+        pairs = top.column("pair").to_numpy().astype(np.uint32)
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        counts = [top.column(name).to_numpy().astype(np.int64)[order] for name in ("good", "n")]
+        self.held = [singles.loss(i, self.pairs, n) for i, n in enumerate(counts)]
 
-def _looked_up(words: Words, bitmap: np.ndarray, key: np.ndarray, *places: np.ndarray) -> np.ndarray:
-    return in_bitmap(pa.array(key.view(np.int64)), bitmap) | (np.minimum(*places) < 0)
 
+def _hash(pairs: np.ndarray) -> pa.Array:
+    return pa.array(mixed(pairs.astype(np.uint64), 11).view(np.int64))
 
-def _losses(pairs: DataFrame, table: DataFrame, words: Words, bitmap: np.ndarray) -> DataFrame:
-    """``key, n, target, background`` of the pairs that are looked up."""
-    shared = pairs.sparkSession.sparkContext.broadcast((words, bitmap))
-    names = ["key", "n", "target", "background"]
-    out = "key bigint, n bigint, target double, background double"
 
-    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
-        return [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-
-    def of_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bitmap = shared.value
-        for batch in batches:
-            before, word, n, good = columns(batch)
-            key = _pair_key(before.view(np.uint64), word.view(np.uint64))
-            first, second = words.places(before.view(np.uint64)), words.places(word.view(np.uint64))
-            own = np.flatnonzero(_looked_up(words, bitmap, key, first, second) & (np.minimum(first, second) >= 0))
-            first, second = first[own], second[own]
-            loss = [
-                words.loss(i, pair[own], words.counts[i][second], words.counts[2 + i][first]) for i, pair in enumerate((good, n))
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key[own].view(np.int64), n[own], *loss)], names)
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value[0]
-        for batch in batches:
-            before, word = (c.view(np.uint64) for c in columns(batch)[:2])
-            yield batch.filter(pa.array(np.minimum(words.places(before), words.places(word)) < 0))
-
-    def of_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value[0]
+def train(counted: Tokens, good_ids: DataFrame) -> Model:
+    """Count all texts. ``good_ids`` has one column with the ids of the target texts."""
+    small_batches(counted.rows.sparkSession)
+    ids = _target_ids(counted.rows, good_ids)
+    others, likely = (_counted(rows, counted.vocabulary) for rows in _marked(counted.rows, ids))
+    summed = others.unionByName(likely).groupBy("pair").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    counts = written(summed, "pair-counts")
+    singles = Singles(counts, counted.vocabulary)
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, n, good, seen, seen_good, followed, followed_good = columns(batch)
-            loss = [words.loss(0, good, seen_good, followed_good), words.loss(1, n, seen, followed)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, n, *loss)], names)
-
-    left = pairs.mapInArrow(gathered(rare), pairs.schema)
-    second = table.select("word", F.col("n").alias("seen"), F.col("good").alias("seen_good"))
-    first = table.select(F.col("word").alias("before"), "followed", "followed_good")
-    wide = left.join(second, "word").join(first, "before").select(
-        _pair_key_column().alias("key"), "n", "good", "seen", "seen_good", "followed", "followed_good"
-    )
-    return pairs.mapInArrow(gathered(of_held), out).unionByName(wide.mapInArrow(of_rare, out))
+            yield pa.RecordBatch.from_arrays([_hash(batch.column(0).to_numpy())], ["id"])
 
+    bitmap = bitmap_of(counts.filter("n > 1").select("pair").mapInArrow(hashes, "id bigint"), F.col("id"))
+    held = counts.sparkSession.sparkContext.broadcast(bitmap)
 
-def train(docs: DataFrame, good_ids: DataFrame, key: str = "doc_id") -> Model:
-    """Count all texts. ``good_ids`` has one column with the ids of the target texts."""
-    spark = small_batches(docs.sparkSession)
-    ids = _target_ids(docs, good_ids, key)
-    others, likely = (_counted(rows) for rows in _marked(docs, ids, key))
-    counts = others.unionByName(likely).groupBy("before", "word").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    counts = written(counts, "counts")
-
-    singles = counts.filter(F.col("before") == SINGLE).select("word", "n", "good")
-    ends = counts.filter(F.col("word") == END).select(F.col("before").alias("word"), F.col("n").alias("e"), F.col("good").alias("g"))
-    table = singles.join(ends, "word", "left").select(
-        "word", "n", "good",
-        (F.col("n") - F.coalesce("e", F.lit(0))).alias("followed"),
-        (F.col("good") - F.coalesce("g", F.lit(0))).alias("followed_good"),
-    )
-    table = written(table, "words")
-    total = table.filter(F.col("word") != START).agg(F.count(F.lit(1)), F.sum("good"), F.sum("n")).first()
-    words = Words(most_frequent(table, "n", HELD_WORDS, 1).toArrow(), total[0], (total[1] or 0, total[2] or 0))
+    def likely_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(_hash(batch.column(0).to_numpy()), held.value)))
 
-    # START never stands second, so the first word of a text is a pair too
-    pairs = counts.filter((F.col("before") != SINGLE) & (F.col("word") != END))
-    repeated = pairs.filter("n > 1").select(_pair_key_column().alias("id"))
-    bitmap = bitmap_of(repeated, F.col("id"))
-    return Model(words, bitmap, written(_losses(pairs, table, words, bitmap), "losses"), ids)
+    repeated = written(counts.mapInArrow(gathered(likely_repeated), counts.schema), "repeated-pairs")
+    discard(counts)
+    return Model(singles, bitmap, repeated, ids)
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_words, target_loss, background_loss, difference`` per document that was counted."""
-    spark = small_batches(docs.sparkSession)
-    rows = docs.select(docs[key].alias("doc_id"), docs["text"].cast("string").alias("text"))
-    names = ("n_words", "as_target", "as_other", "background")
+def score(counted: Tokens, model: Model) -> DataFrame:
+    """``doc_id, n_tokens, target_loss, background_loss, difference`` per document that was counted."""
+    spark = small_batches(counted.rows.sparkSession)
+    start = counted.vocabulary
+    rows = counted.rows
+    names = ("as_target", "as_other", "background")
     schema = T.StructType(
-        [rows.schema["doc_id"], T.StructField("n_words", T.LongType())]
-        + [T.StructField(n, T.DoubleType()) for n in names[1:]]
-        + [T.StructField("keys", T.ArrayType(T.LongType()))]
+        [rows.schema["row"], rows.schema["doc_id"], T.StructField("n_tokens", T.LongType())]
+        + [T.StructField(n, T.DoubleType()) for n in names]
+        + [T.StructField("pairs", T.ArrayType(T.LongType()))]
     )
-    shared = spark.sparkContext.broadcast((model.words, model.bitmap, model.keys, model.held))
+    shared = spark.sparkContext.broadcast((model.singles, model.bitmap, model.pairs, model.held))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bitmap, known, held = shared.value
+        singles, bitmap, known, held = shared.value
+        for batch in batches:
+            pair, bounds = pairs_of(batch.column(2), start)
+            at = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
+            frequent = known[at] == pair if len(known) else np.zeros(len(pair), bool)
+            away = ~frequent
+            away[away] = in_bitmap(_hash(pair[away]), bitmap)
+            alone = np.flatnonzero(~frequent & ~away)
+            sums = []
+            for which, once in ((0, 1), (0, 0), (1, 1)):
+                line = np.zeros(len(pair) + 1)
+                line[1:][frequent] = held[which][at[frequent]]
+                line[1:][alone] = singles.loss(which, pair[alone], once)
+                line = np.cumsum(line)
+                sums.append(line[bounds[1:]] - line[bounds[:-1]])
+            ends = np.concatenate([[0], np.cumsum(away)])[bounds]
+            sent = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pair[away].astype(np.int64)))
+            columns = [batch.column(0), batch.column(1), pa.array(np.diff(bounds)), *[pa.array(s) for s in sums], sent]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        singles = shared.value[0]
         for batch in batches:
-            count, sums = np.zeros(batch.num_rows, np.int64), np.zeros((3, batch.num_rows))
-            sent, many = [], np.zeros(batch.num_rows, np.int64)
-            for row, end, word, bounds in hashed(batch.column(1), lower=True):
-                count[row:end] = np.diff(bounds)
-                before, losses = _before(word, bounds), np.zeros((3, len(word)))
-                key = _pair_key(before, word)
-                at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
-                frequent = known[at] == key if len(known) else np.zeros(len(key), bool)
-                for line, which in zip(losses, (0, 0, 1)):
-                    line[frequent] = held[which][at[frequent]]
-                first, second = words.places(before), words.places(word)
-                away = ~frequent & _looked_up(words, bitmap, key, first, second)
-                alone = np.flatnonzero(~frequent & ~away)
-                for line, (which, pair) in zip(losses, ((0, 1), (0, 0), (1, 1))):
-                    line[alone] = words.loss(which, pair, words.counts[which][second[alone]], words.counts[2 + which][first[alone]])
-                for total, line in zip(sums, losses):
-                    line = np.concatenate([[0.0], np.cumsum(line)])
-                    total[row:end] = line[bounds[1:]] - line[bounds[:-1]]
-                sent.append(key[away].view(np.int64))
-                many[row:end] = np.diff(np.concatenate([[0], np.cumsum(away)])[bounds])
-            flat = np.concatenate(sent) if sent else np.zeros(0, np.int64)
-            keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), *[pa.array(s) for s in sums], keys], schema.names)
+            pair, n, good = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            found = [singles.loss(0, pair, good), singles.loss(1, pair, n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found)], ["row", "target", "background"])
 
-    # numbered before they are written, so that a row keeps its number
-    held = rows.mapInArrow(judge, schema).withColumn("row", F.monotonically_increasing_id())
-    held = written(held, "held-losses")
+    held = written(rows.mapInArrow(judge, schema), "held-losses")
     # a hint for each: one plan at every size
-    looked = held.select("row", F.explode("keys").alias("key")).join(model.losses.drop("n").hint("merge"), "key")
+    met = held.select("row", F.explode("pairs").alias("pair")).join(model.repeated.hint("merge"), "pair")
+    looked = met.select("row", "pair", "n", "good").mapInArrow(losses, "row bigint, target double, background double")
     looked = looked.groupBy("row").agg(F.sum("target").alias("more"), F.sum("background").alias("more_background"))
     good = held.select("row", "doc_id").join(model.ids, F.col("doc_id") == F.col("id")).select(F.col("row"), F.lit(True).alias("good"))
-    wide = held.drop("keys").join(looked, "row", "left").join(good, "row", "left")
+    wide = held.drop("pairs").join(looked, "row", "left").join(good, "row", "left")
     own = F.when(F.col("good"), F.col("as_target")).otherwise(F.col("as_other"))
     sums = wide.select(
-        "doc_id", "n_words",
+        "doc_id", "n_tokens",
         (own + F.coalesce("more", F.lit(0.0))).alias("t"),
         (F.col("background") + F.coalesce("more_background", F.lit(0.0))).alias("b"),
     )
 
     def mean(total: Column) -> Column:
-        return F.when(F.col("n_words") > 0, total / F.col("n_words"))
+        return F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
 
     return sums.select(
-        "doc_id", "n_words", mean(F.col("t")).alias("target_loss"), mean(F.col("b")).alias("background_loss"),
+        "doc_id", "n_tokens", mean(F.col("t")).alias("target_loss"), mean(F.col("b")).alias("background_loss"),
         mean(F.col("t") - F.col("b")).alias("difference"),
     )

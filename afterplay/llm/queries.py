@@ -109,9 +109,9 @@ def metric_tree_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_cross_entropy_difference")
 def cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
     good = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
-    return perplexity.score(docs, perplexity.train(docs, good))
+    counted = perplexity.tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return perplexity.score(counted, perplexity.train(counted, good))
 
 
 @query("op4_quality_classifier")

@@ -244,8 +244,9 @@ def test_awkward_rows(docs):
     markov = secrets.train(docs)
     assert secrets.scan(docs, markov).count() == n and secrets.redact(docs, markov).count() == n
     assert pii.scan(docs).count() == n
-    scored = perplexity.score(docs, perplexity.train(docs, docs.select("doc_id"))).collect()
-    assert len(scored) == n and all((r.difference is None) == (r.n_words == 0) for r in scored)
+    counted = perplexity.tokens(docs, TOKENIZER)
+    scored = perplexity.score(counted, perplexity.train(counted, docs.select("doc_id"))).collect()
+    assert len(scored) == n and all((r.difference is None) == (r.n_tokens == 0) for r in scored)
 
 
 def test_awkward_vectors(spark):
@@ -266,46 +267,60 @@ def test_awkward_vectors(spark):
             assert [(-r.score, r.vec_id) for r in mine] == best
 
 
-@pytest.mark.parametrize("held", [4, 1 << 20])
-def test_cross_entropy_difference_counts_everything(spark, monkeypatch, held):
-    """The whole model by brute force; what tasks hold does not change the scores."""
-    monkeypatch.setattr(perplexity, "HELD_WORDS", held)
-    monkeypatch.setattr(perplexity, "HELD_PAIRS", held)
-    draw = np.random.default_rng(5)
-    texts = [" ".join(f"w{int(x)}" for x in draw.zipf(1.3, draw.integers(1, 60)) % 500) for _ in range(60)]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (7, texts[9]), (100, "")]
-    good = [0, 7, 9, 20, 21, 22]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    ids = spark.createDataFrame([(i,) for i in good], "doc_id long")
-    found = perplexity.score(frame, perplexity.train(frame, ids)).collect()
+def losses_by_hand(rows, good):
+    """``id, tokens, losses`` of each row by the whole models, over the tokenizer's ids."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = [tokenizer.encode(t or "", add_special_tokens=False).ids for _, t in rows]
     counts = []
-    for chosen in ([t for i, t in rows if i in good], [t for _, t in rows]):
-        split = [t.split() for t in chosen]
-        counts.append((Counter(w for t in split for w in t), Counter(p for t in split for p in zip(["", *t], t))))
-    size = len(counts[1][0])
-
-    def loss(words, single, pair):
-        context, total = Counter(), sum(single.values())
-        for (before, _), n in pair.items():
+    for chosen in ([ids for (i, _), ids in zip(rows, texts) if i in good], texts):
+        pairs = Counter(p for ids in chosen for p in zip(["", *ids], ids))
+        context = Counter()
+        for (before, _), n in pairs.items():
             context[before] += n
-        out = 0
-        for before, word in zip(["", *words], words):
-            share = (single[word] + 0.5) / (total + 0.5 * size)
+        counts.append((Counter(w for ids in chosen for w in ids), pairs, context))
+
+    def loss(ids, single, pairs, context):
+        total, out = sum(single.values()), 0
+        for before, word in zip(["", *ids], ids):
+            share = (single[word] + 0.5) / (total + 0.5 * tokenizer.get_vocab_size())
             of = context[before]
-            out -= np.log(0.7 * pair[before, word] / of + 0.3 * share if of else share)
-        return out / len(words)
+            out -= np.log(0.7 * pairs[before, word] / of + 0.3 * share if of else share)
+        return out / len(ids)
+
+    return [(i, len(ids), *(loss(ids, *c) if ids else None for c in counts)) for (i, _), ids in zip(rows, texts)]
 
-    expected = []
-    for i, text in rows:
-        words = text.split()
-        expected.append((i, len(words), *(loss(words, *c) if words else None for c in counts)))
+
+def same_losses(found, expected):
     order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
-    mine = sorted(([*r] for r in found), key=order)
-    for one, other in zip(mine, sorted(expected, key=order), strict=True):
+    for one, other in zip(sorted(([*r] for r in found), key=order), sorted(expected, key=order), strict=True):
         assert one[:2] == [*other[:2]] and (other[1] == 0 or np.allclose(one[2:4], other[2:]))
         assert other[1] == 0 or np.isclose(one[4], one[2] - one[3])
 
 
+@pytest.mark.parametrize("held, bits", [(4, 1 << 27), (1 << 21, 1 << 27), (4, 1 << 16)])
+def test_cross_entropy_difference_counts_everything(spark, monkeypatch, held, bits):
+    """What tasks hold and what the bitmap lets through does not change the scores."""
+    monkeypatch.setattr(perplexity, "HELD_PAIRS", held)
+    monkeypatch.setattr(perplexity, "FLUSH", 500)
+    if bits < 1 << 27:
+        monkeypatch.setattr(perplexity, "bitmap_of", lambda ids, hashed=None: np.full(1024, 2**64 - 1, np.uint64))
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in draw.zipf(1.3, draw.integers(1, 60)) % 500) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (7, texts[9]), (100, ""), (101, None)]
+    good = [0, 7, 9, 20, 21, 22]
+    counted = perplexity.tokens(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER)
+    ids = spark.createDataFrame([(i,) for i in [*good, 7, None]], "doc_id long")
+    same_losses(perplexity.score(counted, perplexity.train(counted, ids)).collect(), losses_by_hand(rows, good))
+
+
+def test_cross_entropy_difference_query(spark, sf_dir, texts):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").collect()
+    found = REGISTRY["op3_cross_entropy_difference"].run(spark, sf_dir).collect()
+    same_losses(found, losses_by_hand([(i, r.text) for i, r in texts.items()], {r.doc_id for r in labels}))
+
+
 def test_jaccard_join_of_copies_in_any_order(spark, monkeypatch):
     """A bitmap that lets all ids through, and copies with larger ids first in one task."""
     monkeypatch.setattr(jaccard, "bitmap_of", lambda ids: np.full(1024, 2**64 - 1, np.uint64))
