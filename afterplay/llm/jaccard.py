@@ -38,13 +38,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from afterplay.llm.arrow import gathered, most_frequent, small_batches
 from afterplay.llm.bitmap import bitmap_of, in_bitmap
 from afterplay.llm.components import discard, merged, written
 from afterplay.llm.words import hashed, mixed
 
+WORD = r"[^\x20\x09-\x0D]"
 WORDS = 5
 PERCENT = 75
 SHARED_PERCENT = 10
@@ -155,20 +156,23 @@ class Orders:
 
 
 def _classes(docs: DataFrame, key: str) -> DataFrame:
-    """``doc_id, n, class`` per document, and ``class`` as a shingle seen ``n`` times, where common.
+    """``doc_id, text_hash, n, class`` per document, and ``class`` as a shingle seen ``n`` times, where common.
 
     A task reports the shingles that it meets twice within ``FLUSH`` shingles.
     """
-    rows = docs.select(docs[key].alias("doc_id"), docs["text"].cast("string").alias("text"))
+    text = docs["text"].cast("string")
+    rows = docs.select(docs[key].alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     schema = T.StructType(
         [T.StructField("doc_id", rows.schema["doc_id"].dataType)]
-        + [T.StructField("n", T.LongType()), T.StructField("class", T.LongType()), T.StructField("common", T.BooleanType())]
+        + [T.StructField(name, T.LongType()) for name in ("text_hash", "n", "class")]
+        + [T.StructField("common", T.BooleanType())]
     )
 
     def repeated(held: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
         value, times = np.unique(np.concatenate(held), return_counts=True)
         value, times = value[times > 1], times[times > 1]
-        columns = [pa.nulls(len(value), kind), pa.array(times.astype(np.int64)), pa.array(value.view(np.int64))]
+        columns = [pa.nulls(len(value), kind), pa.nulls(len(value), pa.int64())]
+        columns += [pa.array(times.astype(np.int64)), pa.array(value.view(np.int64))]
         return pa.RecordBatch.from_arrays([*columns, pa.array(np.ones(len(value), bool))], schema.names)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +189,7 @@ def _classes(docs: DataFrame, key: str) -> DataFrame:
                     held, many = [], 0
             if not n:
                 continue
-            columns = [batch.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(classes))]
+            columns = [batch.column(0), batch.column(2), pa.array(np.concatenate(n)), pa.array(np.concatenate(classes))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(batch.num_rows, bool))], schema.names)
         if many:
             yield repeated(held, kind)
@@ -551,20 +555,30 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
     return merged(labels, written(_block_links(still, kept, orders), "links"))
 
 
-def join(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per document."""
+def _components(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n, class`` of every document, and ``class, label, least_id, first`` of every class.
+
+    ``first`` is the row of the class with the least id, null last, by id and hash of the text.
+    """
     small_batches(docs.sparkSession)
     described = written(_classes(docs, key), "classes")
-    rows = described.filter("NOT common").select("doc_id", "n", "class")
+    rows = described.filter("NOT common").select("doc_id", "text_hash", "n", "class")
     common = described.filter("common").groupBy("class").agg(F.sum("n").alias("n"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "class", "text_hash")
     filled = rows.filter("n > 0")
-    classes = written(filled.groupBy("class").agg(F.min("doc_id").alias("least_id")), "least")
+    classes = filled.groupBy("class").agg(F.min("doc_id").alias("least_id"), F.min(first).alias("first"))
+    classes = written(classes, "least")
     labels = linked_classes(docs, key, classes, common)
     # classes alone in every bucket keep their own number as label
     numbered = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "label", F.coalesce("label", "class")
     )
-    numbered = written(numbered, "numbered")
+    return rows, written(numbered, "numbered")
+
+
+def join(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per document."""
+    rows, numbered = _components(docs, key)
     least = numbered.groupBy("label").agg(F.min("least_id").alias("component_id"))
     ids = numbered.join(least, "label").select(F.col("class").alias("of"), "component_id")
     joined = rows.join(ids, (F.col("n") > 0) & (F.col("class") == F.col("of")), "left")
@@ -573,9 +587,29 @@ def join(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+def _row_key(one: Column, text_hash: Column) -> list[Column]:
+    """Columns that are equal for equal ids, null ones included, and equal texts."""
+    shown = F.coalesce(one.cast("string"), F.lit(""))
+    return [one.isNull().alias("none"), shown.alias("shown"), text_hash.alias("text_hash")]
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The document of each component with the least id; of rows with one id, one; null ids stay."""
-    found = join(docs, key).filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    nth = Window.partitionBy(key).orderBy(F.lit(0))
-    with_id = docs.join(found, key, "left_semi").withColumn("_nth", F.row_number().over(nth))
-    return with_id.filter("_nth = 1").select(*docs.columns).unionByName(docs.filter(docs[key].isNull()))
+    """One row of each component: the one with the least id, null last; of rows with that id, the least text class.
+
+    Rows without a word link with nothing and all stay. Where the chosen id and text stand on
+    several rows, the one whose other columns have the least hash stays.
+    """
+    _, numbered = _components(docs, key)
+    chosen = numbered.groupBy("label").agg(F.min("first").alias("first"))
+    chosen = chosen.select(*_row_key(F.col("first.id"), F.col("first.text_hash")))
+    names = ["none", "shown", "text_hash"]
+    text = docs["text"].cast("string")
+    held = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
+        F.coalesce(text.rlike(WORD), F.lit(False)).alias("filled"),
+        *_row_key(docs[key], F.xxhash64(text)),
+    )
+    found = held.filter("filled").join(chosen, names, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("doc")))
+    found = found.withColumn("nth", nth).filter("nth = 1")
+    return found.select("doc.*").unionByName(held.filter("NOT filled").select("doc.*"))

@@ -18,9 +18,10 @@ all pivots whose balls may hold such a score. Every answer comes from a tree; pr
 bounds only, so results are exact.
 
 Defined results: null vectors, those with a null, NaN or infinite component, and those without
-an id take no part; nor do empty ones. Shorter vectors count as if padded with zeros. Of rows
-with one id, the one with the least vector takes part. Equal scores go by the smaller id. An
-empty table gives no rows. Scaled components are whole numbers; scores are exact while they
+an id take no part; nor do empty ones. Shorter vectors count as if padded with zeros. Every row
+is a candidate, also if others have its id or its vector; rows of one id are never answers to
+it, and a query id that stands on several rows asks for the best of all their scores. Equal
+scores go by the smaller id. An empty table gives no rows. Scaled components are whole numbers; scores are exact while they
 stay below 2^53.
 """
 
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from afterplay.llm.components import written
@@ -46,14 +48,18 @@ _SLACK = 1e-6
 
 
 def scaled(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """``id, v`` with ``v`` the whole numbers floor(scale * x), one row per id."""
+    """``id, v`` with ``v`` the whole numbers floor(scale * x), for every usable row."""
     doubles = vectors.select(
         vectors[key].cast("bigint").alias("id"), vectors[vector].cast("array<double>").alias("x")
     )
     finite = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = doubles.filter(F.col("id").isNotNull() & (F.size("x") > 0) & finite)
-    whole = usable.select("id", F.transform("x", lambda x: F.floor(x * F.lit(float(scale)))).alias("v"))
-    return whole.groupBy("id").agg(F.min("v").alias("v"))
+    return usable.select("id", F.transform("x", lambda x: F.floor(x * F.lit(float(scale)))).alias("v"))
+
+
+def _numbers(rows: int, so_far: int) -> pa.Array:
+    """Numbers of rows that no two tasks share; they spread the rows of one id over many groups."""
+    return pa.array(np.arange(so_far, so_far + rows) + (TaskContext.get().partitionId() << 33))
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -238,26 +244,27 @@ def build(vectors: DataFrame, tree_rows: int = TREE_ROWS, most_pivots: int = PIV
     if not count:
         return None
     wanted = min(most_pivots, max(1, count // tree_rows))
-    sample = vectors.select("v", F.xxhash64("id", F.lit(11)).alias("h"), "id").orderBy("h", "id").limit(wanted)
+    sample = vectors.select("v", F.xxhash64("id", "v", F.lit(11)).alias("h"), "id").orderBy("h", "id").limit(wanted)
     chosen = matrix(sample.select("v").toArrow().column(0), width)
     pivots = Pivots(lifted(chosen, most))
     shared = spark.sparkContext.broadcast(pivots)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             at, away = shared.value.nearest(lifted(matrix(batch.column(1), width), most))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(at.astype(np.int32)), pa.array(away)], ["id", "v", "pivot", "away"]
-            )
+            columns = [*batch.columns, pa.array(at.astype(np.int32)), pa.array(away), _numbers(batch.num_rows, seen)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "v", "pivot", "away", "row"])
+            seen += batch.num_rows
 
-    routed = written(vectors.mapInArrow(route, "id bigint, v array<bigint>, pivot int, away double"), "tree-rows")
+    routed = written(vectors.mapInArrow(route, "id bigint, v array<bigint>, pivot int, away double, row bigint"), "tree-rows")
     # one row per pivot
     summary = routed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()
     radius, parts = np.zeros(wanted), np.zeros(wanted, np.int64)
     for row in summary:
         radius[row.pivot], parts[row.pivot] = row.radius, -(-row.n // tree_rows)
     split = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("pivot") + 1)
-    dealt = routed.select("id", "v", "pivot", F.pmod(F.xxhash64("id", F.lit(12)), split).cast("int").alias("part"))
+    dealt = routed.select("id", "v", "pivot", F.pmod(F.xxhash64("row", F.lit(12)), split).cast("int").alias("part"))
 
     def grow(key: tuple, group: pa.Table) -> pa.Table:
         tree = Tree(group.column("id").to_numpy(), matrix(group.column("v"), width), most)
@@ -300,18 +307,21 @@ def top_k(queries: DataFrame, index: Index, k: int, block_queries: int = BLOCK_Q
     near = spark.sparkContext.broadcast((index.pivots, index.radius, index.parts))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             points = np.hstack([matrix(batch.column(1), width), np.zeros((batch.num_rows, 1))])
             at, _ = near.value[0].nearest(points)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32))], ["id", "v", "pivot"])
+            columns = [*batch.columns, pa.array(at.astype(np.int32)), _numbers(batch.num_rows, seen)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "v", "pivot", "row"])
+            seen += batch.num_rows
 
-    routed = written(queries.mapInArrow(route, "id bigint, v array<bigint>, pivot int"), "queries")
+    routed = written(queries.mapInArrow(route, "id bigint, v array<bigint>, pivot int, row bigint"), "queries")
     counts = {r.pivot: r.n for r in routed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     deal = [-(-counts.get(p, 1) // block_queries) for p in range(len(index.parts))]
     slots = F.element_at(F.array(*map(F.lit, deal)), F.col("pivot") + 1)
-    block = F.col("pivot").cast("bigint") * (1 << 32) + F.pmod(F.xxhash64("id", F.lit(13)), slots)
+    block = F.col("pivot").cast("bigint") * (1 << 32) + F.pmod(F.xxhash64("row", F.lit(13)), slots)
     numbered = routed.withColumn("block", block).withColumn("part", F.lit(0))
 
     def gathered(rows: DataFrame, bound: Column) -> DataFrame:

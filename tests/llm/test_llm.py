@@ -251,6 +251,7 @@ def test_awkward_rows(docs):
 
 def test_awkward_vectors(spark):
     rows = [(0, [0.5, 0.5]), (50, [0.5, 0.5]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0])]
+    rows += [(1, [0.9, 0.9]), (9, [0.5, 0.1]), (9, [0.9, 0.9]), (50, [-0.5, 0.75])]
     rows += [(5, [float("inf"), 0.0]), (None, [1.0, 1.0]), (6, []), (7, [1.0]), (8, [-1.0, 0.25])] + [(i, [0.1, 0.1]) for i in range(101, 400) if i % 50]
     schema = T.StructType.fromDDL("vec_id long, embedding array<double>")
     for given in (rows, []):
@@ -260,9 +261,9 @@ def test_awkward_vectors(spark):
             assert not given
             continue
         found = metric_tree.top_k(vectors.filter("id % 50 = 0"), index, 5, block_queries=1).collect()
-        data = {r.id: np.array([*r.v, 0][:2]) for r in vectors.collect()}
+        data = [(r.id, np.array([*r.v, 0][:2])) for r in vectors.collect()]
         for q in (0, 50):
-            best = sorted(((-int(data[q] @ v), i) for i, v in data.items() if i != q))[:5]
+            best = sorted((-int(own @ v), i) for j, own in data if j == q for i, v in data if i != q)[:5]
             mine = sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])
             assert [(-r.score, r.vec_id) for r in mine] == best
 
@@ -359,3 +360,16 @@ def test_contexts_of_rows_without_an_id_of_their_own(spark):
     context = [(r.doc_id, s.value, s.start) for r in found for s in r.found if s.kind == "context"]
     assert len(found) == len(rows)
     assert sorted(context, key=str) == [(9, "other_88y", 19), (None, "handle_77x", 16)]
+
+
+def test_keep_first_loses_no_text(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(30)) for x in "abc")
+    rows = [(1, a, 1), (1, b, 2), (2, b, 3), (None, a, 4), (None, a, 5), (None, c, 6), (None, c, 7)]
+    rows += [(4, a, 8), (4, a, 9), (0, a + "more", 10), (5, "", 11), (5, "", 12), (None, None, 13), (6, "x", 14), (6, "x", 14)]
+    schema = "doc_id long, text string, text_hash int"
+    for order in (1, -1):
+        kept = jaccard.keep_first(spark.createDataFrame(rows[::order], schema).repartition(3))
+        assert kept.columns == ["doc_id", "text", "text_hash"]
+        found = kept.collect()
+        assert sorted((r.doc_id, r.text) for r in found if r.doc_id is not None) == [(0, a + "more"), (1, b), (5, ""), (5, ""), (6, "x")]
+        assert sorted(r.text_hash for r in found if r.doc_id is None) in ([6, 13], [7, 13])
