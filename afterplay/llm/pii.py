@@ -1,7 +1,7 @@
 """Personal data: fixed shapes, and contexts bootstrapped from them, with DataFrame functions only.
 
 Emails, addresses, card and phone numbers are found by shape. They are the seeds. The words
-before a seed are its lexical patterns: the last word, and the last two. A graph joins patterns
+before a seed are its lexical patterns: the last word, and the last two, whole. A graph joins patterns
 with their instances: seeds, and other words that look like identifiers. It is scored in rounds:
 a pattern is as trustworthy as the share of known instances among *all* words that follow it
 anywhere, an instance as 1 - prod(1 - trust) over its patterns. Patterns need several different
@@ -12,7 +12,8 @@ up to code points. Repetitions are possessive, so long runs need no stack.
 
 Defined results: null and empty texts have no spans. An empty table gives no rows; without seeds
 no pattern is trusted. Repeated rows are scanned each, and count as often in the graph. Rows with
-a null id, or with one id and different texts, get their own spans each.
+a null id, or with one id and different texts, get their own spans each. Words are whole at any
+length; a span that begins inside a word has no pattern.
 """
 
 from __future__ import annotations
@@ -33,12 +34,11 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 KINDS = ("email", "ip", "card", "phone")
 
-#: a word with a digit or a sign of an address in it looks like an identifier
-IDENTIFIER = r"[^\x20\x09-\x0D0-9@_]*+[0-9@_][^\x20\x09-\x0D]*+"
+#: a word with a digit or a sign of an address in it looks like an identifier; a match is a whole word
+IDENTIFIER = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@_]*+[0-9@_][^\x20\x09-\x0D]*+"
 SHORTEST_IDENTIFIER = 5
 LAST_WORDS = r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$"
 LAST_WORD = r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$"
-CONTEXT_CHARS = 80
 
 ROUNDS = 3
 LEAST_INSTANCES = 4
@@ -48,16 +48,24 @@ ACCEPTED = 0.7
 BLOCK = 64
 
 
-def found(text: Column, pattern: str) -> Column:
-    """Array of (start, value, before) of all matches; ``before`` has the last ``CONTEXT_CHARS`` before it."""
+def found(text: Column, pattern: str, more: Callable[[Column, Column], Column] | None = None) -> Column:
+    """Array of (start, value) of all matches; ``more(pieces, matches)`` gives one further value, ``patterns``, for each."""
 
     def spans(pieces: Column, matches: Column) -> Column:
         widths = F.transform(matches, lambda m, i: F.char_length(F.get(pieces, i)) + F.char_length(m))
-        return let(widths, lambda w: let(_block_sums(w), lambda sums: _placed(pieces, matches, w, sums)))
+        placed = let(widths, lambda w: let(_block_sums(w), lambda sums: _placed(pieces, matches, w, sums)))
+        if more is None:
+            return placed
+        return F.zip_with(placed, more(pieces, matches), lambda s, x: F.struct(s["start"], s["value"], x.alias("patterns")))
 
     return let(F.split(text, pattern, -1), lambda p: let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: spans(p, m)))
 
 
+def identifiers(text: Column) -> Column:
+    """Array of (start, value, patterns) of the words that look like identifiers."""
+    return found(text, IDENTIFIER, _patterns)
+
+
 def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda total, n: total + n)
 
@@ -67,21 +75,6 @@ def _block_sums(widths: Column) -> Column:
     return F.transform(blocks, lambda b: _total(F.slice(widths, b * BLOCK + 1, BLOCK)))
 
 
-def _context(pieces: Column, matches: Column, i: Column) -> Column:
-    """The text before match ``i``, from the pieces and matches that reach back far enough.
-
-    A match and the piece before it have two characters together at least.
-    """
-
-    def end(part: Column) -> Column:
-        return F.coalesce(F.right(part, F.lit(CONTEXT_CHARS)), F.lit(""))
-
-    back = F.sequence(F.greatest(i - CONTEXT_CHARS // 2, F.lit(0)), i)
-    parts = F.transform(back, lambda j: F.concat(end(F.get(matches, j - 1)), end(F.get(pieces, j))))
-    near = F.get(pieces, i)
-    return end(F.when(F.char_length(near) >= CONTEXT_CHARS, near).otherwise(F.array_join(parts, "")))
-
-
 def _placed(pieces: Column, matches: Column, widths: Column, sums: Column) -> Column:
     """The start of a match is what the blocks before it, and its own block, add up to."""
 
@@ -91,7 +84,6 @@ def _placed(pieces: Column, matches: Column, widths: Column, sums: Column) -> Co
         return F.struct(
             (earlier + F.char_length(F.get(pieces, i))).alias("start"),
             match.alias("value"),
-            _context(pieces, matches, i).alias("before"),
         )
 
     return F.transform(matches, one)
@@ -121,14 +113,14 @@ def _kept(text: Column, kind: str, place: int, pattern: str, holds: Callable[[Co
     def span(s: Column) -> Column:
         return F.struct(
             s["start"].alias("start"), F.lit(place).alias("place"), F.lit(kind).alias("kind"),
-            (s["start"] + F.char_length(s["value"])).alias("end"), s["value"].alias("value"), s["before"].alias("before"),
+            (s["start"] + F.char_length(s["value"])).alias("end"), s["value"].alias("value"),
         )
 
     return F.transform(F.filter(found(text, pattern), lambda s: holds(s["value"])), span)
 
 
 def base_spans(text: Column) -> Column:
-    """Array of (start, place, kind, end, value, before) by start, then kind."""
+    """Array of (start, place, kind, end, value) by start, then kind."""
     size = F.char_length
     rules = {
         "email": (EMAIL, text.contains("@"), lambda v: F.lit(True)),
@@ -136,7 +128,7 @@ def base_spans(text: Column) -> Column:
         "card": (CARD, text.rlike(r"[0-9][\x20-]?[0-9]"), lambda v: size(_digits(v)).between(14, 19) & _luhn(v)),
         "phone": (PHONE, text.rlike(r"\+[0-9]"), lambda v: size(_digits(v)).between(10, 15)),
     }
-    spans = "array<struct<start:bigint,place:int,kind:string,end:bigint,value:string,before:string>>"
+    spans = "array<struct<start:bigint,place:int,kind:string,end:bigint,value:string>>"
     parts = [
         F.when(rules[kind][1], _kept(text, kind, place, rules[kind][0], rules[kind][2])).otherwise(F.array().cast(spans))
         for place, kind in enumerate(KINDS)
@@ -148,19 +140,39 @@ def _normal(text: Column) -> Column:
     return F.translate(F.lower(text), "123456789", "000000000")
 
 
-def _patterns(before: Column) -> Column:
-    """Hashes of the last two words, and of the last word, of what stands before an instance."""
-    near = _normal(before)
-    last, one = F.regexp_extract(near, LAST_WORDS, 2), F.regexp_extract(near, LAST_WORD, 1)
-    two = F.regexp_extract(near, LAST_WORDS, 1)
-    return F.filter(
-        F.array(
-            F.when(two != "", F.xxhash64(F.xxhash64(two), F.xxhash64(last))),
-            F.when(one != "", F.xxhash64(F.xxhash64(one))),
-        ),
-        lambda p: p.isNotNull(),
+def _patterns(pieces: Column, matches: Column) -> Column:
+    """For each match, hashes of the two whole words before it, and of the one word before it.
+
+    Matches are whole words, so pieces hold whole words too: the words before a match are the last
+    ones of its piece, or the match before it, or the last word of the piece before that one.
+    """
+
+    def word(piece: Column, pattern: str, group: int) -> Column:
+        return F.nullif(F.regexp_extract(piece, pattern, group), F.lit(""))
+
+    last = F.transform(
+        pieces, lambda p: F.struct(_normal(word(p, LAST_WORD, 1)).alias("one"), _normal(word(p, LAST_WORDS, 1)).alias("two"))
     )
 
+    def of(ends: Column, i: Column) -> Column:
+        def match(back: int) -> Column:
+            return F.when(i >= back, _normal(F.get(matches, i - back)))
+
+        here, before = F.get(ends, i), F.when(i >= 1, F.get(ends, i - 1))
+        one = F.coalesce(here["one"], match(1))
+        two = F.when(here["one"].isNotNull(), F.coalesce(here["two"], match(1))).when(
+            i >= 1, F.coalesce(before["one"], match(2))
+        )
+        return F.filter(
+            F.array(
+                F.when(two.isNotNull(), F.xxhash64(F.xxhash64(two), F.xxhash64(one))),
+                F.when(one.isNotNull(), F.xxhash64(F.xxhash64(one))),
+            ),
+            lambda p: p.isNotNull(),
+        )
+
+    return let(last, lambda ends: F.transform(matches, lambda m, i: of(ends, i)))
+
 
 def _words_after(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """``pattern, n``: how many words follow each pattern, over all words of all texts.
@@ -233,8 +245,8 @@ def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``doc_id`` and ``found``: an array of (kind, start, end, value) by start, then kind."""
     rows = docs.select(docs[key].alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
     # what is found by shape, and the look of identifiers; texts with neither are not kept
-    identifiers = F.when(F.col("text").rlike("[0-9@_]"), found(F.col("text"), IDENTIFIER))
-    shaped = rows.select("doc_id", base_spans(F.col("text")).alias("base"), identifiers.alias("looks"))
+    looks = F.when(F.col("text").rlike("[0-9@_]"), identifiers(F.col("text")))
+    shaped = rows.select("doc_id", base_spans(F.col("text")).alias("base"), looks.alias("looks"))
 
     def free(s: Column) -> Column:
         end = s["start"] + F.char_length(s["value"])
@@ -244,19 +256,22 @@ def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
     span = "struct<start:bigint,end:bigint,kind:string,value:string,patterns:array<bigint>>"
 
-    def instance(s: Column, end: Column, kind: Column) -> Column:
+    def instance(s: Column, end: Column, kind: Column, patterns: Column) -> Column:
         return F.struct(
-            s["start"].alias("start"), end.alias("end"), kind.alias("kind"), s["value"].alias("value"),
-            _patterns(s["before"]).alias("patterns"),
-        )
+            s["start"].alias("start"), end.alias("end"), kind.alias("kind"), s["value"].alias("value"), patterns.alias("patterns")
+        )
+
+    def of_word(b: Column) -> Column:
+        """The patterns of the word that begins where the span does; a span inside a word has none."""
+        return F.get(F.filter("looks", lambda s: s["start"] == b["start"]), F.lit(0))["patterns"]
 
     kept = shaped.select(
         "doc_id",
         F.concat(
-            F.transform("base", lambda b: instance(b, b["end"], b["kind"])),
+            F.transform("base", lambda b: instance(b, b["end"], b["kind"], F.coalesce(of_word(b), F.array().cast("array<bigint>")))),
             F.transform(
                 F.filter(F.coalesce("looks", F.array()), free),
-                lambda s: instance(s, s["start"] + F.char_length(s["value"]), F.lit(None).cast("string")),
+                lambda s: instance(s, s["start"] + F.char_length(s["value"]), F.lit(None).cast("string"), s["patterns"]),
             ),
         ).cast(f"array<{span}>").alias("spans"),
     )

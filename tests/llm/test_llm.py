@@ -346,11 +346,22 @@ def test_contexts_that_look_like_identifiers(spark):
     frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     found = {r.doc_id: [s.value for s in r.found if s.kind == "context"] for r in pii.scan(frame).collect()}
     assert found[8] == ["AB1234"]
-    text = "é1 " * 70 + "last words x9 1 " + "w" * 90 + " 7"
-    row = spark.createDataFrame([(text,)], "text string").select(pii.found(F.col("text"), pii.IDENTIFIER).alias("f")).first()
-    assert len(row.f) == 73
+    text = "é1 " * 70 + "last words x9 1 \n" + "w" * 90 + " 7 so,1.2.3.4"
+    row = spark.createDataFrame([(text,)], "text string").select(pii.identifiers(F.col("text")).alias("f")).first()
+    assert len(row.f) == 74
+    hashed = F.xxhash64
     for one in row.f:
-        assert one.before == text[: one.start][-pii.CONTEXT_CHARS :] and text[one.start :].startswith(one.value)
+        assert text[one.start :].startswith(one.value)
+        words = re.sub("[1-9]", "0", text[: one.start].lower()).split()[-2:]
+        columns = [hashed(*[hashed(F.lit(w)) for w in words[n:]]).alias(str(n)) for n in range(len(words))]
+        assert [*spark.range(1).select(*columns).first()] == one.patterns if words else one.patterns == []
+
+
+@pytest.mark.parametrize("length", [20, 79, 80, 120, 5000])
+def test_contexts_of_long_words(spark, length):
+    lines = [f"the {'w' * length} user{i}@mail.example.com today" for i in range(8)] + [f"a {'w' * length} handle_77x now"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.doc_id: [s.value for s in r.found if s.kind == "context"] for r in pii.scan(frame).collect()}[8] == ["handle_77x"]
 
 
 def test_contexts_of_rows_without_an_id_of_their_own(spark):
