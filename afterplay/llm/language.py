@@ -262,22 +262,50 @@ def train(docs: DataFrame, usable: Column, key: str = "doc_id", rows: int = FIT_
     for lang, n in counts.items():
         rate = F.when(F.col("lang") == lang, min(1.0, each / n)).otherwise(rate)
     picked = F.pmod(F.xxhash64("id", F.lit(21)), F.lit(1 << 20)) < rate * (1 << 20)
-    sample = sorted((r.id is None, r.id, r.lang, r.text) for r in known.filter(picked).limit(2 * rows + len(counts)).collect())
+    # a rerun takes the same rows, also where many share an id
+    order = [F.xxhash64("id", F.lit(21)), F.xxhash64("lang", "text"), "lang", "text"]
+    sample = known.filter(picked).orderBy(*order).limit(2 * rows + len(counts)).collect()
+    sample = sorted((r.id is None, r.id, r.lang, r.text) for r in sample)
     return fit([s[3] for s in sample], [s[2] for s in sample])
 
 
-def _long_text(a: np.ndarray, model: Field) -> np.ndarray:
-    """Mean label probabilities of one very long text, in parts that end at white space."""
-    total, many, lo = np.zeros(len(model.labels)), 0, 0
-    while lo < len(a):
-        cut = min(lo + BLOCK, len(a))
+def _long_text(a: np.ndarray, model: Field, block: int = BLOCK) -> np.ndarray:
+    """Mean label probabilities of one very long text, one chain through parts that end at white space.
+
+    A part begins with a word that stands for all before it, whose emission is the forward message,
+    and ends with one that stands for all behind it. The first pass finds the forward messages, the
+    second one goes back through the parts, so only one part is held at a time.
+    """
+    cuts = [0]
+    while cuts[-1] < len(a):
+        cut = min(cuts[-1] + block, len(a))
         while cut < len(a) and not SPACE[a[cut]]:
             cut += 1
-        words, bounds = words_of(a[lo:cut], np.array([0, cut - lo]))
-        if len(words.single):
-            p = marginals(words.emissions(model.weights), bounds, model.transitions)
-            total, many = total + p.sum(0), many + len(p)
-        lo = cut
+        cuts.append(cut)
+    parts = list(zip(cuts, cuts[1:]))
+
+    def messages(part: tuple[int, int], before: np.ndarray | None, behind: np.ndarray | None):
+        """Forward and backward messages and ``exp`` of emissions of the words of a part; None without words."""
+        words, _ = words_of(a[slice(*part)], np.array([0, part[1] - part[0]]))
+        if not len(words.single):
+            return None
+        ends = [np.log(np.maximum(x, 1e-300))[None] if x is not None else np.zeros((0, len(model.labels))) for x in (before, behind)]
+        rows = np.concatenate([ends[0], words.emissions(model.weights), ends[1]])
+        own = slice(len(ends[0]), len(rows) - len(ends[1]))
+        return [x[own] for x in forward_backward(rows, np.array([0, len(rows)]), model.transitions)]
+
+    entering, before = [], None
+    for part in parts:
+        entering.append(before)
+        found = messages(part, before, None)
+        before = before if found is None else found[0][-1]
+    total, many, behind = np.zeros(len(model.labels)), 0, None
+    for part, before in zip(reversed(parts), reversed(entering)):
+        found = messages(part, before, behind)
+        if found is not None:
+            forward, backward, e = found
+            total, many = total + _normal(forward * backward).sum(0), many + len(forward)
+            behind = _normal(e[0] * backward[0])
     return total / max(many, 1)
 
 
