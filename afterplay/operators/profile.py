@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from afterplay.functions.display import shorten
-from afterplay.sources.readers import read_documents, scan_keyed_document
+from afterplay.sources.documents import document_roots, scan_keyed_document
+from afterplay.sources.readers import is_one_value
 
 # How many sample values, sample records and keys a profile shows.
 SAMPLE_VALUES = 3
@@ -67,14 +68,8 @@ def value_kind(value: Column) -> Column:
 
 
 def whole_json(text: Column) -> Column:
-    """The text as a variant if all of it is one JSON value, else null.
-
-    Spark's parser stops after the first value, so ``5 apples`` would pass for a number.
-    As one of exactly two members of an object, the text must be a value to its end.
-    """
-    members = F.json_object_keys(F.concat(F.lit('{"_text":'), text, F.lit(',"_end":0}')))
-    is_whole = members == F.array(F.lit("_text"), F.lit("_end"))
-    return F.when(is_whole, F.try_parse_json(text))
+    """The text as a variant if all of it is one JSON value, else null."""
+    return F.when(is_one_value(text), F.try_parse_json(text))
 
 
 def text_kind(text: Column) -> Column:
@@ -121,16 +116,8 @@ def profile_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def profile_json_document(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: whether its root is a list or a dict, its size and its first keys."""
-    documents = read_documents(spark, path)
-    first = F.regexp_extract("document", r"^\s*(.)", 1)
-    kind = F.when(first == "{", "dict").when(first == "[", "list").otherwise("value")
-    keys = F.json_object_keys("document")
-    return documents.select(
-        kind.alias("root"),
-        F.when(kind == "dict", F.size(keys)).otherwise(F.json_array_length("document")).cast("bigint").alias("members"),
-        F.when(kind == "dict", F.slice(keys, 1, SHOWN_KEYS)).alias("first_keys"),
-    )
+    """Per file of any size: whether its root is a list or a dict, its size and its first keys."""
+    return document_roots(spark, path, SHOWN_KEYS).drop("file")
 
 
 def profile_keyed_members(spark: SparkSession, path: str) -> DataFrame:

@@ -28,6 +28,7 @@ from afterplay.sources.readers import (
     explode_match_players,
     explode_matches,
     first_json_lines,
+    scan_array_document,
     scan_csv,
     scan_features,
     scan_json_document,
@@ -80,12 +81,14 @@ def race_log_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _race_log_file(spark: SparkSession, folder: str, broken: bool) -> str:
-    """Player logs as text lines; ``broken`` adds a cut-off copy and a blank line of each."""
+    """Player logs as text lines; ``broken`` adds copies of each that are cut off, blank, or more than one value."""
     path = scratch_path(spark, "race-logs")
     line = F.to_json(F.struct("uid", "records"))
     lines = race_log_records(spark, folder).select(line.alias("value"))
     if broken:
-        spoiled = F.array(F.col("value"), F.substring("value", 1, 40), F.lit(""))
+        behind = (',"more":1', ',"_end":0', ',"_end":0,"_line":{"uid":"other","records":[]}', ',"_end":0}{"_end":0', " {}", "]")
+        longer = [F.concat("value", F.lit(text)) for text in behind]
+        spoiled = F.array(F.col("value"), F.substring("value", 1, 40), F.lit(""), *longer)
         lines = lines.select(F.explode(spoiled).alias("value"))
     lines.write.text(path)
     return path
@@ -104,11 +107,11 @@ def scan_jsonl_players(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("scan_jsonl_malformed", "SELECT count(DISTINCT user_id) AS malformed, 40 AS line_length FROM events")
+@query("scan_jsonl_malformed", "SELECT 7 * count(DISTINCT user_id) AS malformed, 40 AS line_length FROM events")
 def scan_jsonl_malformed(spark: SparkSession, folder: str) -> DataFrame:
     lines = scan_json_lines(spark, _race_log_file(spark, folder, broken=True), RACE_LOG)
     return lines.malformed.agg(
-        F.count("*").alias("malformed"), F.max(F.length("line_text")).alias("line_length")
+        F.count("*").alias("malformed"), F.min(F.length("line_text")).alias("line_length")
     )
 
 
@@ -139,8 +142,8 @@ def customer_documents(spark: SparkSession, folder: str) -> DataFrame:
     entry = F.to_json(F.struct("c_custkey", "c_mktsegment"))
     return (
         customers.groupBy(F.floor(F.col("c_custkey") / ENTRIES).alias("bucket"))
-        .agg(F.array_join(F.collect_list(entry), ",\n").alias("text"))
-        .select("bucket", F.concat(F.lit("[\n"), F.col("text"), F.lit("\n]")).alias("value"))
+        .agg(F.array_sort(F.collect_list(F.struct("c_custkey", entry.alias("text")))).alias("entries"))
+        .select("bucket", F.concat(F.lit("[\n"), F.array_join("entries.text", ",\n"), F.lit("\n]")).alias("value"))
     )
 
 
@@ -152,6 +155,19 @@ def scan_json_document_query(spark: SparkSession, folder: str) -> DataFrame:
     return scan_json_document(spark, path, schema).select("c_custkey", "c_mktsegment")
 
 
+@query(
+    "scan_array_document",
+    """SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_custkey // 50000 ORDER BY c_custkey) - 1 AS element
+       FROM customer""",
+)
+def scan_array_document_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Elements of large arrays with their numbers."""
+    path = scratch_path(spark, "arrays")
+    customer_documents(spark, folder).write.partitionBy("bucket").text(path)
+    kind = table(spark, folder, "customer").select("c_custkey", "c_mktsegment").schema
+    return scan_array_document(spark, path, kind).select("value.*", "element")
+
+
 def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Large documents of matches keyed by number: every order is a match."""
     orders = table(spark, folder, "orders")

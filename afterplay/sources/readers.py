@@ -5,13 +5,36 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from afterplay.functions.identity import ID_FIELDS, id_text
+from afterplay.sources.documents import scan_array_document, scan_json_document, scan_keyed_document  # noqa: F401
 from afterplay.sources.schemas import SCORE_CSV
 
 CORRUPT = "_corrupt"
 
+
+def sealed(text: Column, seal: Column) -> Column:
+    """The text as the first of two members of an object, the second being ``seal``, a hash of the text.
+
+    Spark's parser stops after the first value it has read, and text can close the object early or
+    add members to it. Only a text that is one value leaves exactly two members and ends in its own hash.
+    """
+    return F.concat(F.lit('{"_line":'), text, F.lit(',"_end":'), seal.cast("string"), F.lit("}"))
+
+
+def has_sealed_keys(wrapped: Column) -> Column:
+    return F.json_object_keys(wrapped) == F.array(F.lit("_line"), F.lit("_end"))
+
+
+def is_one_value(text: Column) -> Column:
+    """Whether all of a text is one JSON value."""
+    seal = F.xxhash64(text)
+    wrapped = sealed(text, seal)
+    ends = F.get_json_object(wrapped, "$._end") == seal.cast("string")
+    return F.coalesce(has_sealed_keys(wrapped) & ends, F.lit(False))
+
+
 # Columns of a feature file that are never numbers.
 TEXT_COLUMNS = ("player_id", "op_start", "op_end", "cp_start", "cp_end")
 
@@ -40,13 +63,9 @@ class JsonLines:
 
 
 def _good() -> Column:
-    """Whether all of a line parsed.
-
-    Spark's parser stops after the first value of a line. Parsed as the first member of an
-    object that has to end with a known member, a line with anything behind its value fails.
-    """
-    whole = F.col(f"r.{CORRUPT}").isNull() & F.col("r._line").isNotNull() & (F.col("r._end") == 0)
-    return F.coalesce(whole, F.lit(False))
+    """Whether all of a line is one value, and parsed."""
+    whole = F.col("whole") & F.col(f"r.{CORRUPT}").isNull() & F.col("r._line").isNotNull()
+    return F.coalesce(whole & (F.col("r._end") == F.col("seal")), F.lit(False))
 
 
 def _is_id(field: T.StructField) -> bool:
@@ -65,18 +84,21 @@ def _fields(schema: T.StructType) -> list[Column]:
 
 
 def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    wrapped = F.concat(F.lit('{"_line":'), F.col("value"), F.lit(',"_end":0}'))
     # as text, the number 0 and the text "0" would be the same
     typed = T.StructType([T.StructField(f.name, T.VariantType()) if _is_id(f) else f for f in schema])
     wide = T.StructType(
         [
             T.StructField("_line", typed),
-            T.StructField("_end", T.IntegerType()),
+            T.StructField("_end", T.LongType()),
             T.StructField(CORRUPT, T.StringType()),
         ]
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
-    return lines.withColumn("r", F.from_json(wrapped, wide, options))
+    seal = F.xxhash64("value")
+    wrapped = sealed(F.col("value"), seal)
+    return lines.withColumns(
+        {"r": F.from_json(wrapped, wide, options), "whole": has_sealed_keys(wrapped), "seal": seal}
+    )
 
 
 def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> JsonLines:
@@ -107,86 +129,6 @@ def first_json_lines(spark: SparkSession, path: str, schema: T.StructType, n: in
     return JsonLines.parse(lines, schema).rows.orderBy("line")
 
 
-def scan_json_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Whole documents: an object is one row, an array is one row per element."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
-
-
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row of text per file, for documents whose root needs looking at first."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "document")
-
-
-_KEY = r'^\s*"((?:[^"\\]|\\.)*)"\s*:\s*'
-
-
-def scan_keyed_document(spark: SparkSession, path: str, value_type: T.DataType) -> DataFrame:
-    """Rows ``(key, value)`` of keyed documents of any size, read by many tasks.
-
-    A file is cut at every comma, so its splits are read in parallel. Which commas stand
-    between entries of the root is found by structure: the quotes before a fragment tell
-    whether it begins inside a string, the brackets outside strings how deep it lies. Both
-    are sums, within a split in order and over the splits of a file, of which there are
-    few. An entry begins with a fragment directly inside the root, whatever its key and
-    the space around it; its fragments are put together again and parsed. A document whose
-    brackets or quotes do not close raises.
-    """
-    fragments = spark.read.option("lineSep", ",").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("n"),
-        "value",
-        F.regexp_replace("value", r"\\.", "").alias("plain"),  # without escaped signs
-    )
-    opened = fragments.withColumn("quotes", F.regexp_count("plain", F.lit('"')).cast("bigint"))
-    placed = _sum_before(opened, "quotes", "quotes_before")
-    inside = F.pmod("quotes_before", F.lit(2)) == 1
-    bare = F.regexp_replace(F.when(inside, F.concat(F.lit('"'), "plain")).otherwise(F.col("plain")), '"[^"]*("|$)', "")
-    depth = F.regexp_count(bare, F.lit(r"[{\[]")) - F.regexp_count(bare, F.lit(r"[}\]]"))
-    nested = _sum_before(placed.withColumn("inside", inside).withColumn("depth", depth.cast("bigint")), "depth", "depth_before")
-    first = (F.col("split") == 0) & F.col("value").rlike(r"^\s*\{") & (F.col("depth_before") == 0)
-    starts = first | (~F.col("inside") & (F.col("depth_before") == 1))
-    body = F.when(first, F.regexp_replace("value", r"^\s*\{", "")).otherwise(F.col("value"))
-    closed = (F.pmod("quotes_total", F.lit(2)) == 0) & (F.col("depth_total") == 0)
-    broken = F.raise_error(F.concat(F.lit("a keyed document does not close: "), F.col("file"))).cast("bigint")
-    numbered = _sum_before(
-        nested.withColumns({"start": F.when(closed, starts.cast("bigint")).otherwise(broken), "value": body}),
-        "start",
-        "starts_before",
-    )
-    pieces = F.array_sort(F.collect_list(F.struct("split", "n", "value")))
-    entries = numbered.groupBy("file", (F.col("starts_before") + F.col("start")).alias("entry")).agg(
-        F.array_join(F.transform(pieces, lambda p: p["value"]), ",").alias("text")
-    )
-    # What is left of the root behind the last value is not looked at by the parser.
-    document = F.concat(F.lit('{"v":'), F.regexp_replace("text", _KEY, ""), F.lit("}"))
-    holder = T.StructType([T.StructField("v", value_type)])
-    name = F.from_json(F.concat(F.lit('["'), F.regexp_extract("text", _KEY, 1), F.lit('"]')), "array<string>")[0]
-    return entries.filter((F.col("entry") > 0) & F.col("text").rlike(_KEY)).select(
-        name.alias("key"), F.from_json(document, holder)["v"].alias("value")
-    )
-
-
-def _sum_before(fragments: DataFrame, column: str, name: str) -> DataFrame:
-    """Add what the fragments of the file before each one add up to, and the file's total."""
-    in_split = Window.partitionBy("file", "split").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    over_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = fragments.groupBy("file", "split").agg(F.sum(column).alias("sum"))
-    before = splits.select(
-        "file",
-        "split",
-        F.coalesce(F.sum("sum").over(over_splits), F.lit(0)).alias("_before"),
-        F.sum("sum").over(Window.partitionBy("file")).alias(f"{column}_total"),
-    )
-    within = F.coalesce(F.sum(column).over(in_split), F.lit(0))
-    return (
-        fragments.withColumn("_within", within)
-        .join(before, ["file", "split"])
-        .withColumn(name, F.col("_before") + F.col("_within"))
-        .drop("_before", "_within")
-    )
-
-
 def explode_keyed_document(
     documents: DataFrame, value_type: T.DataType, text: str = "document"
 ) -> DataFrame:

@@ -11,12 +11,14 @@ from afterplay.functions.timing import epoch_convert, epoch_to_timestamp, epoch_
 from afterplay.operators.events import assign_windows, nest_events, nest_labelled_events, time_ordered
 from afterplay.operators.hot import HotPolicy
 from afterplay.operators.player_table import churn_labels, player_table
-from afterplay.operators.profile import profile_nested, text_kind
+from afterplay.operators.profile import profile_json_document, profile_nested, text_kind
 from afterplay.plans.fragments import RACE, SCORE
 from afterplay.plans.queries_rows import race_events, score_events
 from afterplay.sources.adapters import events_from_race_logs, events_from_score_csv, events_from_score_logs
 from afterplay.sources.readers import (
     first_json_lines,
+    is_one_value,
+    scan_array_document,
     scan_csv,
     scan_features,
     scan_json_document,
@@ -166,6 +168,82 @@ def test_keyed_document_is_read_in_splits(spark, tmp_path, separators):
     assert all(r.value.inner[1].note == r.value.note for r in rows)
 
 
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+STYLES = [{"separators": (",", ":")}, {}, {"indent": 2}]
+NOTES = ["plain", "ends with ,", '{"77": 1}', 'x,"88":{', "]}", '"', "\\", "é" * 30]
+
+
+@pytest.mark.parametrize("style", STYLES)
+def test_array_document_is_read_in_splits(spark, tmp_path, small_splits, style):
+    (tmp_path / "doc").mkdir()
+    expected = {}
+    for name, many in (("a", 300), ("b", 1), ("c", 0)):
+        elements = [{"n": i, "note": NOTES[i % 8], "inner": [{"note": NOTES[i % 7]}, [i, [i]]]} for i in range(many)]
+        expected |= {(name, i): (e["n"], e["note"]) for i, e in enumerate(elements)}
+        (tmp_path / "doc" / f"{name}.json").write_text(json.dumps(elements, **style))
+    schema = spark.createDataFrame([], "n long, note string").schema
+    rows = scan_array_document(spark, str(tmp_path / "doc"), schema).collect()
+    assert {(r.file[-6], r.element): (r.value.n, r.value.note) for r in rows} == expected and len(rows) == 301
+    found = scan_json_document(spark, str(tmp_path / "doc"), schema).collect()
+    assert sorted((r.n, r.note) for r in found) == sorted(expected.values())
+    assert spark.read.option("lineSep", ",").text(str(tmp_path / "doc" / "a.json")).rdd.getNumPartitions() > 5
+    roots = {(r.root, r.members) for r in profile_json_document(spark, str(tmp_path / "doc")).collect()}
+    assert roots == {("list", 300), ("list", 1), ("list", 0)}
+    values = [5, "a,b", None, [1, 2], {"x": 1}, "k", True, 2.5, "[", -1]
+    (tmp_path / "mixed.json").write_text(json.dumps(values, **style))
+    kinds = scan_array_document(spark, str(tmp_path / "mixed.json"), T.VariantType()).orderBy("element")
+    shown = [None if r.value is None else r.value.toPython() for r in kinds.collect()]
+    assert [v if not isinstance(v, float) else v for v in shown] == values
+
+
+@pytest.mark.parametrize("style", STYLES)
+def test_object_documents_of_any_size(spark, tmp_path, small_splits, style):
+    (tmp_path / "doc").mkdir()
+    big = {f"k{i}": {"note": NOTES[i % 8]} for i in range(200)} | {"n": 7, "inner": [1, 2], "note": "a,}b"}
+    roots = {"a": big, "b": {}, "c": {"note": None, "n": 8}, "d": 5, "e": []}
+    for name, root in roots.items():
+        (tmp_path / "doc" / f"{name}.json").write_text(json.dumps(root, **style))
+    (tmp_path / "doc" / "f.json").write_text('{"n": 1, "n": 2}')
+    schema = spark.createDataFrame([], "n long, note string, inner array<int>").schema
+    found = [tuple(r) for r in scan_json_document(spark, str(tmp_path / "doc"), schema).collect()]
+    assert sorted(found, key=str) == sorted([(7, "a,}b", [1, 2]), (None, None, None), (8, None, None), (2, None, None)], key=str)
+    profile = {(r.root, r.members): r.first_keys for r in profile_json_document(spark, str(tmp_path / "doc")).collect()}
+    assert profile == {
+        ("dict", 203): [f"k{i}" for i in range(10)],
+        ("dict", 0): [],
+        ("dict", 2): profile["dict", 2],
+        ("value", None): None,
+        ("list", 0): None,
+    }
+    for text in ('[{"n": 1}, {"n": 2}', '["a, "b"]', '{"a": [1, 2}'):
+        (tmp_path / "broken.json").write_text(text)
+        with pytest.raises(Exception, match="does not close"):
+            scan_json_document(spark, str(tmp_path / "broken.json"), schema).collect()
+
+
+def test_a_line_is_one_value(spark, tmp_path):
+    good = ['{"uid": "a", "records": []}', ' {"uid":"b","records":[]} ']
+    bad = ['{"uid":"b"},"x":1', '{"uid":"e"},"_end":0,"_line":{"uid":"f"}', '{"uid":"g"},"_end":0}{"a":1', '{"uid":"h"}}', '{"uid":"i"} {}']
+    bad += ['{"uid":"j"},"_end":0', "[1", '{"uid":"k"}]', "5 apples"]
+    lines = scan_json_lines(spark, write(tmp_path / "lines.jsonl", *good, *bad, "  "), RACE_LOG)
+    assert sorted(r.uid for r in lines.rows.collect()) == ["a", "b"]
+    assert sorted(r.line_text for r in lines.malformed.collect()) == sorted(bad)
+    for line in bad:
+        path = write(tmp_path / "one.jsonl", good[0], line)
+        with pytest.raises(Exception, match="malformed line"):
+            scan_json_lines_strict(spark, path, RACE_LOG).collect()
+        assert [r.uid for r in first_json_lines(spark, path, RACE_LOG).collect()] == ["a"]
+    flags = spark.createDataFrame([(x,) for x in [*good, "5", *bad, None]], "t string").select(is_one_value(F.col("t")))
+    assert [r[0] for r in flags.collect()] == [True] * 3 + [False] * (len(bad) + 1)
+
+
 def test_text_kinds(spark):
     values = ["plain", "[1, 2]", '{"a": 1}', "5", "2.5", "true", "null", None, '"x"', "5 apples", "1, 2"]
     rows = spark.createDataFrame([(v,) for v in values], "t string")
