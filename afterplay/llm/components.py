@@ -18,9 +18,11 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete what ``written`` made, once nothing that is still to run reads it."""
+    """Delete what ``written`` made, once nothing that is still to run reads it, and the shuffles behind it."""
     for table in tables:
         jvm = table.sparkSession._jvm
+        # shuffles go once the driver has collected the plans that made them
+        jvm.System.gc()
         path = jvm.org.apache.hadoop.fs.Path(table.scratch)
         path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 

@@ -284,16 +284,40 @@ def _whole_sets(docs: DataFrame, key: str, bitmap) -> DataFrame:
     return rows.mapInArrow(gathered(keep), "hashed bigint, class bigint, shingles binary")
 
 
-def _verified(pairs: DataFrame, kept: DataFrame, orders) -> DataFrame:
+class Kept:
+    """Whole sets in a table, and the id under which that of each class counts.
+
+    The table may hold a class under further ids. Sets move only to where they are asked for: the
+    ids go along with the classes that ask, and a bitmap keeps the other sets where they are.
+    """
+
+    def __init__(self, sets: DataFrame, ids: DataFrame):
+        self.sets, self.ids = sets, ids
+
+    def beside(self, rows: DataFrame, column: str, name: str) -> DataFrame:
+        """``rows`` with the set of the class in ``column`` as ``name``."""
+        wanted = bitmap_of(rows.select(F.col(column).alias("id")).distinct())
+        bitmap = rows.sparkSession.sparkContext.broadcast(wanted)
+        schema = "asked bigint, hashed bigint, class bigint, shingles binary"
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(in_bitmap(batch.column(0), bitmap.value)))
+
+        near = self.sets.select(F.xxhash64("class").alias("asked"), "hashed", "class", "shingles").mapInArrow(gathered(ask), schema)
+        own = rows.join(self.ids.select(F.col("class").alias(column), F.col("hashed").alias("_hashed")), column)
+        near = near.select(F.col("class").alias(column), F.col("hashed").alias("_hashed"), F.col("shingles").alias(name))
+        return own.join(near, [column, "_hashed"]).drop("_hashed")
+
+
+def _verified(pairs: DataFrame, kept: Kept, orders) -> DataFrame:
     """``a, b, shared, union`` of the pairs that meet under every order; else both are null.
 
     Only the sets of ``a`` travel with the pairs; ``b`` has few distinct sets.
     """
     pairs = written(pairs.select("a", "b"), "candidates")
-    few = kept.join(pairs.select(F.col("b").alias("class")).distinct(), "class", "left_semi")
-    left = pairs.join(kept.select(F.col("class").alias("a"), F.col("shingles").alias("set_a")), "a")
-    wide = left.join(few.select(F.col("class").alias("b"), F.col("shingles").alias("set_b")), "b")
-    wide = wide.select("a", "b", "set_a", "set_b")
+    few = kept.beside(pairs.select("b").distinct(), "b", "set_b")
+    wide = kept.beside(pairs, "a", "set_a").join(few, "b").select("a", "b", "set_a", "set_b")
     out = ["a", "b", "shared", "union"]
 
     def prefixes(values: np.ndarray) -> list[np.ndarray]:
@@ -367,7 +391,7 @@ def block_links(
                 labels[labels == labels[y]] = labels[x]
 
 
-def _block_links(members: DataFrame, kept: DataFrame, orders) -> DataFrame:
+def _block_links(members: DataFrame, kept: Kept, orders) -> DataFrame:
     """``a, b``: links that join the labels of ``members`` (token, class, n, label, weight, meets), block by block.
 
     Sets are in one family if they share the least set of some bucket; a family is cut into
@@ -408,7 +432,7 @@ def _block_links(members: DataFrame, kept: DataFrame, orders) -> DataFrame:
     )
     filled = filled.filter("least(b1, b2) = lo AND greatest(b1, b2) = hi AND l1 <> l2").select("lo", "hi")
     sent = sent.join(filled, ["lo", "hi"], "left_semi")
-    wide = kept.select("class", "shingles").join(sent, "class")
+    wide = kept.beside(written(sent, "sent"), "class", "shingles")
     wide = wide.repartition("lo", "hi").sortWithinPartitions("lo", "hi", "block", "class")
     wide = wide.select("lo", "hi", "block", "class", "label", "shingles")
 
@@ -508,9 +532,7 @@ def linked_classes(docs: DataFrame, key: str, classes: DataFrame, common: DataFr
 
     # one set of each class: that of its least id
     ids = classes.join(nodes, "class", "left_semi").select("class", F.xxhash64("least_id").alias("hashed"))
-    ids = written(ids, "ids")
-    kept = _whole_sets(docs, key, bits_of(nodes)).join(ids, ["class", "hashed"], "left_semi")
-    kept = written(kept.select("class", "shingles"), "sets")
+    kept = Kept(written(_whole_sets(docs, key, bits_of(nodes)), "sets"), written(ids, "ids"))
 
     labels = nodes.select(F.col("class").alias("node"), F.col("class").alias("label"))
     tested = None
