@@ -120,7 +120,9 @@ def churn_labels(
 
     ``observed_until`` drops the players whose churn window ends after the logs do.
     """
-    sliced = slice_hot_players(events.select("player_id", "ts"), policy, ordered=False)
+    # the place only spreads the rows of a hot player
+    needed = [c for c in ("player_id", "ts", "pos") if c in events.columns]
+    sliced = slice_hot_players(events.select(*needed), policy, ordered=False)
     merged = with_windows(sliced, horizon).groupBy(*sliced.keys).agg(*_label_partials())
     if sliced.cuts is not None:
         merged = merged.groupBy("player_id").agg(*_merge_label_partials())
