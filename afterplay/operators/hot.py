@@ -54,15 +54,6 @@ class Sliced:
         return ["player_id"] if self.cuts is None else ["player_id", SLICE]
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of all inputs of the plan, as Spark estimates them; file scans know their sizes.
-
-    An input of unknown size counts as very large, so it is never taken for a small one.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
 def hot_players(events: DataFrame, policy: HotPolicy = DEFAULT_POLICY) -> DataFrame:
     """The players above the row limit with row count and first time."""
     return (

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from afterplay.functions.numbers import ratio_or_zero
-from afterplay.operators.hot import input_bytes
 
 # Metric names in report order; the first one ranks models.
 METRICS = ("roc_auc", "accuracy", "precision", "recall", "f1_score")
 
 CELLS = ("tp", "fp", "fn", "tn")
 
-_SMALL_TABLE = 128 << 20
 _BANDS = 256
 
 
@@ -56,7 +56,7 @@ def evaluate(
 ) -> DataFrame:
     """One wide row per group with every metric, from one pass over the predictions.
 
-    Rows shrink to counts per distinct score first. A large table has its scores banded by
+    Rows shrink to counts per distinct score first. Each group has its scores banded by its own
     approximate quantiles, each band is summed up by a task of its own, and bands are
     joined with the number of positives above them: no task sees all scores. Rows without
     a score count for the threshold metrics only.
@@ -75,7 +75,7 @@ def evaluate(
         F.count_if(truth & ~guess).alias("fn"),
         F.count_if(~truth & ~guess).alias("tn"),
     )
-    banded = counts.withColumn("band", _band_of(rows))
+    banded = _banded(counts, keys)
     inside = Window.partitionBy(*keys, "band").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
     # Doubled, so that the halves for ties stay whole numbers.
     higher = 2 * F.coalesce(F.sum("pos").over(inside), F.lit(0)) + F.col("pos")
@@ -101,15 +101,21 @@ def evaluate(
     )
 
 
-def _band_of(rows: DataFrame) -> Column:
-    """The quantile band of a score; the cut points are a literal of fixed length."""
-    if input_bytes(rows) <= _SMALL_TABLE:
-        return F.lit(0)
+def _banded(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """``counts`` with the band of each score: quantiles of the distinct scores of its own group.
+
+    The cuts of a group are one row, joined to its scores; a group with far more scores than
+    others is cut as finely as they are.
+    """
     shares = [i / _BANDS for i in range(1, _BANDS)]
-    cuts = sorted(set(rows.agg(F.percentile_approx("s", shares, 20 * _BANDS)).first()[0] or ()))
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("s")))
+    sketch = F.array_distinct(F.percentile_approx("s", shares, 20 * _BANDS)) if shares else F.array()
+    # without keys, all rows are one group
+    group = [F.col(k) for k in keys] or [F.lit(0)]
+    names = [f"_of{i}" for i in range(len(group))]
+    cuts = counts.groupBy(*[g.alias(n) for g, n in zip(group, names)]).agg(sketch.alias("_cuts"))
+    same = reduce(lambda a, b: a & b, [g.eqNullSafe(F.col(n)) for g, n in zip(group, names)])
+    band = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("s"))), F.lit(0))
+    return counts.join(cuts, same).withColumn("band", band).drop(*names, "_cuts")
 
 
 def melt_metrics(wide: DataFrame, *by: str, metrics: tuple[str, ...] = METRICS) -> DataFrame:

@@ -10,9 +10,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from afterplay.functions.identity import has_player_id
+from afterplay.session import scratch_path
 
 # Share of players that train, and the seed.
 TRAIN_RATIO = 0.8
@@ -52,21 +53,44 @@ def fit_player_split(
     """The cut of an exact split of the distinct ids of ``players``."""
     ids = players.select(F.col(id_column).alias("id")).filter(has_player_id(F.col("id").cast("string"))).distinct()
     hashes = ids.select(F.lit(None).cast("string").alias("stratum"), split_hash(F.col("id"), seed).alias("h"))
-    return SplitCut(seed, _last_hashes(hashes, ratio) or {None: _NOBODY})
+    return SplitCut(seed, {r.stratum: r.last for r in _last_hashes(_kept(hashes), ratio).collect()} or {None: _NOBODY})
 
 
 def fit_stratified_split(
     rows: DataFrame, strata: str, ratio: float = TRAIN_RATIO, seed: int = SEED, id_column: str = "player_id"
 ) -> SplitCut:
-    """One exact cut per class. With a class of a single row, one cut for all rows.
+    """One exact cut per class, for few classes. With a class of a single row, one cut for all rows.
 
-    ``rows`` has one row per id, and ``strata`` few values.
+    ``rows`` has one row per id. For many strata, see :func:`stratified_parts`.
     """
-    hashes = rows.select(F.col(strata).alias("stratum"), split_hash(F.col(id_column), seed).alias("h"))
-    smallest = hashes.groupBy("stratum").count().agg(F.min("count")).first()[0]
-    if smallest is not None and smallest < 2:
+    cuts = stratum_cuts(rows, strata, ratio, seed, id_column)
+    if cuts is None:
         return fit_player_split(rows, ratio, seed, id_column)
-    return SplitCut(seed, _last_hashes(hashes, ratio), strata)
+    return SplitCut(seed, {r.stratum: r.last for r in cuts.collect()}, strata)
+
+
+def stratum_cuts(
+    rows: DataFrame, strata: str, ratio: float = TRAIN_RATIO, seed: int = SEED, id_column: str = "player_id"
+) -> DataFrame | None:
+    """``stratum, last``: the cut of every stratum, as a table; None if a stratum has a single row."""
+    hashes = _kept(rows.select(F.col(strata).alias("stratum"), split_hash(F.col(id_column), seed).alias("h")))
+    smallest = hashes.groupBy("stratum").count().agg(F.min("count")).first()[0]
+    return None if smallest is not None and smallest < 2 else _last_hashes(hashes, ratio)
+
+
+def stratified_parts(
+    rows: DataFrame, strata: str, ratio: float = TRAIN_RATIO, seed: int = SEED, id_column: str = "player_id"
+) -> DataFrame:
+    """``rows`` with the ``part`` of each, exact within every stratum, however many strata there are.
+
+    ``rows`` has one row per id. With a stratum of a single row, all rows share one cut.
+    """
+    cuts = stratum_cuts(rows, strata, ratio, seed, id_column)
+    if cuts is None:
+        return rows.withColumn("part", fit_player_split(rows, ratio, seed, id_column).part(id_column))
+    train = split_hash(F.col(id_column), seed) <= F.col("last")
+    joined = rows.join(cuts, F.col(strata).eqNullSafe(F.col("stratum")), "left")
+    return joined.withColumn("part", F.when(train, "train").otherwise("eval")).select(*[rows[c] for c in rows.columns], "part")
 
 
 def approximate_split(ratio: float = TRAIN_RATIO, seed: int = SEED) -> SplitCut:
@@ -76,42 +100,49 @@ def approximate_split(ratio: float = TRAIN_RATIO, seed: int = SEED) -> SplitCut:
     return SplitCut(seed, {None: last})
 
 
-def _last_hashes(hashes: DataFrame, ratio: float) -> dict[object, str]:
-    """The hash of rank ``floor(n * ratio)`` in each stratum.
+def _kept(frame: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder, so that the steps behind it do not run it again."""
+    path = scratch_path(frame.sparkSession, "split")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _last_hashes(hashes: DataFrame, ratio: float) -> DataFrame:
+    """``stratum, last``: the hash of rank ``floor(n * ratio)`` in every stratum, for all at once.
 
-    Hashes are counted by prefix, which combines map-side, and only the bucket that holds
-    the rank is looked at again with a longer prefix. The driver sees 4096 counts a step.
+    Hashes are counted by prefix, which combines map-side, and of each stratum only the bucket
+    that holds the rank is looked at again, with a longer prefix while some bucket is large.
     """
-    counts: dict[object, list[tuple[str, int]]] = {}
-    for row in _prefix_counts(hashes, _PREFIX).collect():
-        counts.setdefault(row.stratum, []).append((row.prefix, row.n))
-    last = {}
-    for stratum, buckets in counts.items():
-        rank = math.floor(sum(n for _, n in buckets) * ratio)
-        mine = hashes.filter(F.col("stratum").eqNullSafe(F.lit(stratum)))
-        last[stratum] = _hash_at(mine, buckets, rank)
-    return last
-
-
-def _prefix_counts(hashes: DataFrame, length: int) -> DataFrame:
-    prefix = F.substring("h", 1, length).alias("prefix")
-    return hashes.groupBy("stratum", prefix).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _hash_at(hashes: DataFrame, buckets: list[tuple[str, int]], rank: int) -> str:
-    if rank <= 0:
-        return _NOBODY
-    if rank >= sum(n for _, n in buckets):
-        return _EVERYONE
-    for prefix, n in sorted(buckets):
-        if rank <= n:
-            break
-        rank -= n
-    inside = hashes.filter(F.col("h").startswith(prefix))
-    if n <= _SMALL_BUCKET or len(prefix) >= 30:
-        return inside.select("h").orderBy("h").limit(rank).agg(F.max("h")).first()[0]
-    finer = [(r.prefix, r.n) for r in _prefix_counts(inside, len(prefix) + _PREFIX).collect()]
-    return _hash_at(inside, finer, rank)
+    in_order = Window.partitionBy("stratum").orderBy("prefix")
+    everything = Window.partitionBy("stratum")
+
+    def bucket_of_rank(counted: DataFrame, wanted: Column, *others: str) -> DataFrame:
+        line = counted.withColumn("upto", F.sum("n").over(in_order)).withColumn("wanted", wanted)
+        own = line.filter((F.col("upto") - F.col("n") < F.col("wanted")) & (F.col("wanted") <= F.col("upto")))
+        return own.select("stratum", "prefix", "n", (F.col("wanted") - F.col("upto") + F.col("n")).alias("within"), *others)
+
+    def inside(chosen: DataFrame, length: int) -> DataFrame:
+        near = chosen.select(F.col("stratum").alias("of"), F.col("prefix").alias("begin"), "within", "rank", "total")
+        prefix = F.substring("h", 1, length)
+        return hashes.join(near, F.col("stratum").eqNullSafe(F.col("of")) & (prefix == F.col("begin")))
+
+    length = _PREFIX
+    counts = hashes.groupBy("stratum", F.substring("h", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("total", F.sum("n").over(everything))
+    counts = counts.withColumn("rank", F.floor(F.col("total").cast("double") * F.lit(float(ratio))))
+    # a rank of nobody or of everybody still chooses a bucket, so that no stratum is left out
+    clamped = F.least(F.greatest(F.col("rank"), F.lit(1)), F.col("total"))
+    chosen = _kept(bucket_of_rank(counts, clamped, "rank", "total"))
+    while length < 30 and (chosen.agg(F.max("n")).first()[0] or 0) > _SMALL_BUCKET:
+        finer = inside(chosen, length).groupBy("stratum", F.substring("h", 1, length + _PREFIX).alias("prefix")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("within", "rank", "total")]
+        )
+        chosen = _kept(bucket_of_rank(finer, F.col("within"), "rank", "total"))
+        length += _PREFIX
+    nth = F.row_number().over(Window.partitionBy("stratum").orderBy("h"))
+    found = inside(chosen, length).withColumn("nth", nth).filter(F.col("nth") == F.col("within"))
+    last = F.when(F.col("rank") <= 0, _NOBODY).when(F.col("rank") >= F.col("total"), _EVERYONE).otherwise(F.col("h"))
+    return found.select("stratum", last.alias("last"))
 
 
 def split_by_ids(records: DataFrame, train_ids: DataFrame, eval_ids: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from afterplay.operators.player_table import churn_labels
 from afterplay.operators.split import (
     approximate_split,
     fit_player_split,
-    fit_stratified_split,
+    stratified_parts,
     shared_players,
     split_by_ids,
     split_counts,
@@ -53,7 +53,7 @@ def player_split_approximate(spark, folder):
 )
 def stratified_split(spark, folder):
     labels = churn_labels(score_events(spark, folder), SCORE).select("player_id", "churned")
-    return labels.select("*", fit_stratified_split(labels, "churned").part("player_id").alias("part"))
+    return stratified_parts(labels, "churned")
 
 
 @query(

@@ -39,7 +39,7 @@ NAMES = (
 def forced(monkeypatch):
     before = dict(vars(hot.DEFAULT_POLICY))
     vars(hot.DEFAULT_POLICY).update(rows_per_slice=15)
-    monkeypatch.setattr(metrics, "_SMALL_TABLE", -1)
+    monkeypatch.setattr(metrics, "_BANDS", 7)
     yield
     vars(hot.DEFAULT_POLICY).update(before)
 

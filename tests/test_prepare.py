@@ -5,7 +5,7 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from afterplay.operators import metrics as metrics_module
 from afterplay.operators.metrics import best_per_dataset, classification_metrics, evaluate, rank_models, roc_auc
@@ -37,6 +37,7 @@ from afterplay.operators.split import (
     shared_players,
     split_by_ids,
     split_counts,
+    stratified_parts,
 )
 from afterplay.operators.stats import (
     check_error_rate,
@@ -195,9 +196,9 @@ def test_area_with_ties_and_with_one_class(spark):
     assert evaluate(rows.filter("label = 1")).first().recall == 1
 
 
-@pytest.mark.parametrize("small", [1 << 60, -1])
-def test_area_by_brute_force(spark, monkeypatch, small):
-    monkeypatch.setattr(metrics_module, "_SMALL_TABLE", small)
+@pytest.mark.parametrize("bands", [1, 7, 256])
+def test_area_by_brute_force(spark, monkeypatch, bands):
+    monkeypatch.setattr(metrics_module, "_BANDS", bands)
     rng = random.Random(11)
     rows = [(rng.randrange(2), 0, float(rng.randrange(400))) for _ in range(1_500)]
     ups = [s for y, _, s in rows if y]
@@ -255,6 +256,35 @@ def test_stratified_split(spark):
     assert fit_stratified_split(single, "churned").strata is None
 
 
+def test_stratified_split_of_many_strata(spark):
+    rows = players(spark, 60_000).withColumn("of", F.when(F.col("player_id") > "00", F.pmod(F.xxhash64("player_id"), F.lit(10_000))))
+    rows = rows.withColumn("of", F.when(F.col("player_id") % 30 == 0, None).otherwise(F.col("of"))).cache()
+    rows = rows.join(rows.groupBy("of").count().filter("count > 1").select(F.col("of").alias("k")), F.col("of").eqNullSafe(F.col("k"))).drop("k").cache()
+    rows.count()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("strata", "strata")
+    parts = stratified_parts(rows, "of", 0.8)
+    jobs = len(tracker.getJobIdsForGroup("strata"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    line = Window.partitionBy("of").orderBy(F.md5(F.concat(F.lit("42:"), "player_id")))
+    rank, total = F.row_number().over(line), F.count(F.lit(1)).over(Window.partitionBy("of"))
+    expected = rows.select("*", F.when(rank <= F.floor(total * F.lit(0.8)), "train").otherwise("eval").alias("part"))
+    assert parts.columns == ["player_id", "of", "part"] and parts.count() == rows.count()
+    assert parts.exceptAll(expected).isEmpty() and rows.select("of").distinct().count() > 9_000
+    assert jobs <= 12, jobs
+
+
+def test_bands_are_those_of_each_group(spark):
+    n = F.col("id")
+    big = spark.range(9_000).select(F.lit("big").alias("model"), (1e6 + n).cast("double").alias("s"))
+    small = spark.range(1_000).select(F.when(n % 2 == 0, "small").alias("model"), (n / 1e6).alias("s"))
+    banded = metrics_module._banded(big.unionByName(small), ["model"])
+    sizes = {(r.model, r.band): r["count"] for r in banded.groupBy("model", "band").count().collect()}
+    for model, rows in (("big", 9_000), ("small", 500), (None, 500)):
+        own = [c for (m, _), c in sizes.items() if m == model]
+        assert sum(own) == rows and len(own) > 200 and max(own) <= 2 * rows / 256 + 2
+
+
 def test_approximate_split(spark):
     rows = players(spark, 20_000)
     share = rows.filter(approximate_split(0.3).part("player_id") == "train").count() / 20_000
