@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from afterplay.functions.numbers import round_half_up
 from afterplay.functions.timing import iso_time
@@ -88,10 +88,10 @@ def churn_labels_race_game(spark, folder):
 
 @query(
     "churn_labels_uncensored",
-    f"WITH {race_labels()} {LABELS_SQL} WHERE cp_end <= TIMESTAMP '2024-01-06 12:00:00'",
+    f"WITH {race_labels()} {LABELS_SQL} WHERE cp_end <= TIMESTAMP '2024-01-06 18:00:00'",
 )
 def churn_labels_uncensored(spark, folder):
-    until = F.lit("2024-01-06 12:00:00").cast("timestamp")
+    until = F.lit("2024-01-06 18:00:00").cast("timestamp")
     return _shown_labels(churn_labels(race_events(spark, folder), RACE, observed_until=until))
 
 
@@ -364,21 +364,22 @@ def class_distribution_query(spark, folder):
     return class_distribution(labels).select("churned", "n", *rounded_columns("share"))
 
 
-SAMPLES_SQL = """
+def samples_sql(prefix: str = "") -> str:
+    """The first observed events of the first players, from the label CTEs with that prefix."""
+    return f"""
     SELECT player_id, churned, op_event_count, cp_event_count, position, shown_at, event, score_shown
     FROM (SELECT t.player_id, l.churned, l.op_event_count, l.cp_event_count,
                  strftime(t.ts, '%Y-%m-%d %H:%M:%S') AS shown_at, t.event,
                  coalesce(CAST(t.score AS VARCHAR), 'N/A') AS score_shown,
                  row_number() OVER (PARTITION BY t.player_id ORDER BY t.ts, t.pos) - 1 AS position
-          FROM tagged t JOIN (SELECT * FROM labels ORDER BY player_id LIMIT 3) l ON t.player_id = l.player_id
+          FROM {prefix}tagged t
+          JOIN (SELECT * FROM {prefix}labels ORDER BY player_id LIMIT 3) l ON t.player_id = l.player_id
           WHERE t.phase = 'op')
     WHERE position < 3"""
 
 
-def _samples(spark, folder):
-    events = race_events(spark, folder)
-    chosen = sample_players(churn_labels(events, RACE), events)
-    return chosen.select(
+def _samples(events: DataFrame, labels: DataFrame) -> DataFrame:
+    return sample_players(labels, events).select(
         "player_id",
         "churned",
         "op_event_count",
@@ -390,26 +391,32 @@ def _samples(spark, folder):
     )
 
 
-@query("sample_players", f"WITH {race_labels()} {SAMPLES_SQL}")
+@query("sample_players", f"WITH {race_labels()} {samples_sql()}")
 def sample_players_query(spark, folder):
-    return _samples(spark, folder)
+    events = race_events(spark, folder)
+    return _samples(events, churn_labels(events, RACE))
+
+
+def _inspected_sql(game: str, prefix: str) -> str:
+    return f"""SELECT '{game}' AS game, p.*, s.* FROM ({samples_sql(prefix)}) p,
+        (SELECT count(*) AS total_players, {rounded('avg(op_event_count)')} AS op_mean,
+                {rounded('avg(cp_event_count)')} AS cp_mean FROM {prefix}labels) s"""
 
 
 @query(
     "inspect_labelled",
-    f"""WITH {race_labels()},
-        summary AS (SELECT count(*) AS total_players, {rounded('avg(op_event_count)')} AS op_mean,
-                           {rounded('avg(cp_event_count)')} AS cp_mean FROM labels),
-        samples AS ({SAMPLES_SQL})
-        SELECT p.*, s.* FROM samples p, summary s""",
+    f"""WITH {label_ctes(SCORE_EVENTS, SCORE, 'score_')}, {label_ctes(RACE_EVENTS, RACE, 'race_')}
+        {_inspected_sql('score', 'score_')} UNION ALL {_inspected_sql('race', 'race_')}""",
 )
 def inspect_labelled(spark, folder):
-    stats = dataset_stats(churn_labels(race_events(spark, folder), RACE), exact=True).first()
-    return _samples(spark, folder).select(
-        "*",
-        F.lit(stats.total_players).alias("total_players"),
-        *rounded_columns_of({"op_mean": stats.op_mean, "cp_mean": stats.cp_mean}),
-    )
+    """Summary and samples of both games."""
+    shown = []
+    for game, events, horizon in (("score", score_events(spark, folder), SCORE), ("race", race_events(spark, folder), RACE)):
+        labels = churn_labels(events, horizon)
+        stats = dataset_stats(labels, exact=True).first()
+        means = rounded_columns_of({"op_mean": stats.op_mean, "cp_mean": stats.cp_mean})
+        shown.append(_samples(events, labels).select(F.lit(game).alias("game"), "*", F.lit(stats.total_players).alias("total_players"), *means))
+    return shown[0].unionByName(shown[1])
 
 
 def rounded_columns_of(values: dict[str, float]) -> list:

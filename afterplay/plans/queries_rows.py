@@ -41,6 +41,7 @@ from afterplay.plans.registry import query, table
 from afterplay.sources.adapters import (
     events_from_clicks,
     events_from_orders,
+    events_from_score_logs,
     is_purchase,
     is_race_play,
 )
@@ -177,9 +178,29 @@ def drop_missing_id(spark, folder):
 # Predicates on events -------------------------------------------------------------------
 
 
-@query("play_events_score_game", f"SELECT player_id, pos, score FROM ({SCORE_EVENTS}) WHERE is_play")
+@query(
+    "play_events_score_game",
+    """SELECT CAST(o_custkey AS VARCHAR) AS player_id, 0 AS pos, o_totalprice AS score, o_orderkey AS second
+       FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT CAST(o_custkey AS VARCHAR), 1, NULL, o_orderkey FROM orders WHERE o_orderpriority LIKE '1%'""",
+)
 def play_events_score_game(spark, folder):
-    return score_events(spark, folder).filter("is_play").select("player_id", "pos", "score")
+    """Nested logs in which some events are plays and others carry other names, near ones too."""
+    other = F.element_at(F.array(*map(F.lit, ("login", "Play", "play ", "", "replay"))), F.pmod("o_orderkey", F.lit(5)).cast("int") + 1)
+    time = F.col("o_orderkey").cast("double")
+
+    def record(event, score):
+        return F.struct(time.alias("time"), score.alias("score"), event.alias("event"))
+
+    logs = table(spark, folder, "orders").select(
+        F.col("o_custkey").cast("string").alias("device_id"),
+        F.array(
+            record(F.when(F.col("o_orderstatus") == "F", "play").otherwise(other), F.col("o_totalprice")),
+            record(F.when(F.col("o_orderpriority").startswith("1"), "play").when(time % 3 > 0, other), F.lit(None).cast("double")),
+        ).alias("records"),
+    )
+    plays = events_from_score_logs(logs).filter("is_play")
+    return plays.select("player_id", "pos", "score", F.unix_seconds("ts").alias("second"))
 
 
 def _race_properties(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from afterplay.functions.timing import epoch_convert, epoch_to_timestamp, epoch_
 from afterplay.operators.events import assign_windows, nest_events, nest_labelled_events, time_ordered
 from afterplay.operators.hot import HotPolicy
 from afterplay.operators.player_table import churn_labels, player_table
-from afterplay.operators.profile import profile_json_document, profile_nested, text_kind
+from afterplay.operators.profile import describe_paths, profile_json_document, profile_nested, profile_paths, text_kind
 from afterplay.plans.fragments import RACE, SCORE
 from afterplay.plans.queries_rows import race_events, score_events
 from afterplay.sources.adapters import events_from_race_logs, events_from_score_csv, events_from_score_logs
@@ -244,6 +244,25 @@ def test_a_line_is_one_value(spark, tmp_path):
     assert [r[0] for r in flags.collect()] == [True] * 3 + [False] * (len(bad) + 1)
 
 
+def test_paths_at_any_depth(spark):
+    values = ['{"a": [1, {"b": null}, "x"], "c": {"d": [[2.5], []]}}', '{"a": "{\\"e\\": [true, 1]}"}', "plain", None, "5", '{"a": {}}', "[]"]
+    rows = spark.createDataFrame([(v, 1, 2) for v in values], "record string, path int, kind int")
+    counts = profile_paths(rows, "record")
+    found = {(r.path, r.kind): (r.n, r.max_size, r.holds_json) for r in counts.collect()}
+    assert found == {
+        ("$", "dict"): (3, 2, 0), ("$", "str"): (1, 5, 0), ("$", "null"): (1, None, 0), ("$", "int"): (1, None, 0), ("$", "list"): (1, 0, 0),
+        ("$.a", "list"): (1, 3, 0), ("$.a", "str"): (1, 16, 1), ("$.a", "dict"): (1, 0, 0), ("$.c", "dict"): (1, 1, 0),
+        ("$.a[]", "int"): (1, None, 0), ("$.a[]", "dict"): (1, 1, 0), ("$.a[]", "str"): (1, 1, 0), ("$.a[].b", "null"): (1, None, 0),
+        ("$.a<json>", "dict"): (1, 1, 0), ("$.a<json>.e", "list"): (1, 2, 0), ("$.a<json>.e[]", "bool"): (1, None, 0),
+        ("$.a<json>.e[]", "int"): (1, None, 0), ("$.c.d", "list"): (1, 2, 0), ("$.c.d[]", "list"): (2, 1, 0), ("$.c.d[][]", "float"): (1, None, 0),
+    }
+    shown = {r.path: (r.type, r.element_type, r["keys"]) for r in describe_paths(counts).collect()}
+    assert shown["$"] == ("mixed", None, ["a", "c"]) and shown["$.a"] == ("mixed", "mixed", None)
+    assert shown["$.c.d"] == ("list", "list", None) and shown["$.c.d[]"] == ("list", "float", None)
+    assert shown["$.a[].b"] == ("null", None, None) and shown["$.a[]"] == ("mixed", None, ["b"])
+    assert profile_paths(rows.limit(0), "record").count() == 0
+
+
 def test_text_kinds(spark):
     values = ["plain", "[1, 2]", '{"a": 1}', "5", "2.5", "true", "null", None, '"x"', "5 apples", "1, 2"]
     rows = spark.createDataFrame([(v,) for v in values], "t string")
