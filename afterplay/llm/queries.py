@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from afterplay.llm import audit, jaccard, language, metric_tree, mixing, packing, perplexity, pii, quality, secrets, token_counts, whitening, winnow
@@ -23,6 +22,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer() -> str:
+    """The file of the public tokenizer that the queries use; only they need its package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def remainder(column: str, of: int) -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % of
 
@@ -110,7 +116,7 @@ def metric_tree_search(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_cross_entropy_difference")
 def cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     good = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
-    counted = perplexity.tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    counted = perplexity.tokens(table(spark, folder, "documents"), tokenizer())
     return perplexity.score(counted, perplexity.train(counted, good))
 
 
@@ -147,7 +153,7 @@ def crf_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, folder, "documents"), tokenizer())
 
 
 def span_digests(found: DataFrame, base: tuple[str, ...], learned: str) -> DataFrame:
@@ -196,7 +202,7 @@ TOKEN_LIMIT = 2048
 
 @query("op12_token_counts")
 def token_count_query(spark: SparkSession, folder: str) -> DataFrame:
-    counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    counted = token_counts.count_tokens(table(spark, folder, "documents"), tokenizer())
     return counted.select("*", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
