@@ -1,16 +1,22 @@
-"""From documents to packed sequences: each stage reads what the one before it kept."""
+"""From documents to packed sequences: each stage reads what the one before it kept.
+
+Defined results: a null or empty text is judged by the classifier like any other; without labels,
+all stay. Empty texts link with nothing, so all of them pass the join; a null id is a document of
+its own. Secrets are replaced in the text, which drops no row. A mix of no words takes no row. An
+empty table of documents gives no rows at every stage. Other columns of the documents stay until the last
+stage, whatever they are called.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from afterplay.llm import jaccard, mixing, packing, quality, secrets
 from afterplay.llm.arrow import small_batches
 from afterplay.llm.components import written
-from afterplay.llm.queries import GOOD_FROM, HELD_OUT, remainder
+from afterplay.llm.queries import GOOD_FROM, HELD_OUT, remainder, tokenizer
 from afterplay.plans.registry import table
 from afterplay.session import pin_utc, scratch_path
 
@@ -41,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their sequence and place in it."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, tokenizer())
 
 
 STAGES: list[tuple[str, Stage]] = [
