@@ -7,7 +7,6 @@ table of any size takes no shuffle and no join.
 
 from __future__ import annotations
 
-import math
 import sys
 from dataclasses import dataclass, field, replace
 from itertools import combinations
@@ -146,14 +145,20 @@ def exact_medians(df: DataFrame, columns: list[str], in_memory: int = 200_000) -
     values = {c: not_nan(F.col(c).cast("double")) for c in columns}
     if not columns:
         return {}
-    sizes = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first().asDict()
+    infinite = F.lit(float("inf"))
+    counts = df.agg(
+        *[F.struct(F.count(v), F.count_if(v == -infinite), F.count_if(v == infinite)).alias(f"c{i}") for i, v in enumerate(values.values())]
+    ).first()
+    sizes, negative, positive = ({c: row[k] for c, row in zip(values, counts)} for k in range(3))
     small = [c for c in columns if sizes[c] <= in_memory]
     medians: dict[str, float | None] = {}
     if small:
         medians |= df.agg(*[F.median(values[c]).alias(c) for c in small]).first().asDict()
     # infinite values take part as the largest finite ones, so that every range can be halved
     most = sys.float_info.max
-    values = {c: F.least(F.greatest(v, F.lit(-most)), F.lit(most)) for c, v in values.items()}
+    for c in columns:
+        if negative[c] or positive[c]:
+            values[c] = F.least(F.greatest(values[c], F.lit(-most)), F.lit(most))
     pending = {
         c: _Bracket(ranks=((sizes[c] - 1) // 2, sizes[c] // 2), inside=sizes[c]) for c in columns if c not in medians
     }
@@ -167,9 +172,12 @@ def exact_medians(df: DataFrame, columns: list[str], in_memory: int = 200_000) -
         if done:
             medians |= _medians_inside(df, values, done)
         pending = {c: b for c, b in pending.items() if c not in done}
-    # half of the largest finite value is what an infinite middle value leaves of a mean
-    far = {c: m for c, m in medians.items() if m is not None and abs(m) >= most / 4}
-    return medians | {c: math.copysign(float("inf"), m) for c, m in far.items()}
+    for c in columns:
+        # a median is infinite if a middle value is, and there is none between both infinities
+        low, high = (sizes[c] - 1) // 2 < negative[c], sizes[c] // 2 >= sizes[c] - positive[c]
+        if sizes[c] and (low or high):
+            medians[c] = float("nan") if low and high else float("-inf") if low else float("inf")
+    return medians
 
 
 @dataclass
@@ -253,7 +261,9 @@ def _medians_inside(
         inside = F.when(b.holds(values[c]), values[c])
         picked.append(F.percentile(inside, F.array(*[F.lit(s) for s in shares])).alias(c))
     row = df.agg(F.count(F.lit(1)).alias("_n"), *picked).first()
-    return {c: (row[c][0] + row[c][1]) / 2 for c in done}
+    middle = {c: (row[c][0], row[c][1]) for c in done}
+    # the sum of two very large values has no number
+    return {c: (a + b) / 2 if abs(a) + abs(b) < float("inf") else a / 2 + b / 2 for c, (a, b) in middle.items()}
 
 
 def impute(df: DataFrame, fills: dict[str, float | None]) -> DataFrame:

@@ -49,6 +49,7 @@ from afterplay.plans.fragments import (
 from afterplay.plans.queries_rows import race_events, race_table, rounded_columns, score_events, score_table
 from afterplay.plans.registry import query, table
 
+# The features that are shown as they are.
 EXACT_FEATURES = ("playCount", "bestScore", "worstScore", "purchaseCount", "highestPrice")
 
 

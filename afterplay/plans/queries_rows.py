@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from afterplay.functions.display import PROMPT_FEATURES, feature_prompt, shorten
+from afterplay.functions.display import PROMPT_AFTER, PROMPT_BEFORE, PROMPT_FEATURES, feature_prompt, shorten
 from afterplay.functions.identity import has_player_id, resolve_player_id
 from afterplay.functions.numbers import round_half_up, variant_number
 from afterplay.functions.timing import (
@@ -390,11 +390,7 @@ _LONG_SQL = " || ', ' || ".join(
     f"'{name}: ' || {_shown(name)}"
     for name in ("playCount", "bestScore", "worstScore", "activeDuration", "purchaseCount", "highestPrice")
 )
-_BEFORE = (
-    "In a mobile racing game (Game 2), a player has shown the following activity "
-    "in their first 5 days of playing: "
-)
-_AFTER = ". Will the player stop playing in the next 10 days?"
+_BEFORE, _AFTER = PROMPT_BEFORE.format(game=2), PROMPT_AFTER
 
 
 @query(

@@ -65,6 +65,7 @@ FLAT_PARAMS: dict[str, dict[str, Any]] = {
         "bootstrap": True,
     },
 }
+# The names of feature subsets.
 FEATURE_SUBSETS = ("sqrt", "log2", "auto")
 DEEPEST_TREE = 30  # the limit of MLlib, for trees without a depth of their own
 

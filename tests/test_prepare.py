@@ -75,6 +75,15 @@ def test_medians_by_narrowing(spark, shape):
     assert exact_medians(rows, ["x"], in_memory=20)["x"] == pytest.approx(statistics.median(values), rel=1e-12)
 
 
+@pytest.mark.parametrize("in_memory", [2, 1_000])
+def test_medians_of_very_large_and_infinite_values(spark, in_memory):
+    inf = float("inf")
+    cases = {(1e308, 1e308, 1e308): 1e308, (-1.7e308, 5.0, -1.6e308): -1.6e308, (1.0, inf, inf): inf, (-inf, -inf, 2.0): -inf, (-inf, 3.0, inf): 3.0, (1.0, 2.0, 3.0, inf, inf, inf): inf}
+    for values, median in cases.items():
+        rows = spark.createDataFrame([(v,) for v in values * 3], "x double").repartition(2)
+        assert exact_medians(rows, ["x"], in_memory=in_memory)["x"] == median, values
+
+
 def test_constants(spark):
     assert constant_columns(column(spark, 5, 5, 5), ["x"]) == ["x"]
     assert constant_columns(column(spark, 1, 1 + 1e-9), ["x"]) == ["x"]
