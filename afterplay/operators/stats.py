@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from afterplay.functions.numbers import ratio_or_zero
 from afterplay.operators.events import first_n_events
+from afterplay.sources.writers import write_counted
 
 COUNTS = {"op": "op_event_count", "cp": "cp_event_count"}
 
@@ -104,6 +105,17 @@ def check_error_rate(flagged: DataFrame, ok: str = "is_valid", limit: float = 0.
         raise ValueError(f"{row.errors} of {row.players} players failed")
 
 
+def write_valid_players(flagged: DataFrame, path: str, ok: str = "is_valid", limit: float = 0.1) -> dict[str, int]:
+    """Write the valid rows and count ``players`` and ``errors`` in the same pass; too many errors raise.
+
+    Rows that were written before it raises stay there, for a look at them.
+    """
+    counts = write_counted(flagged, path, {"players": F.lit(True), "errors": ~F.col(ok)}, F.col(ok))
+    if counts["errors"] > counts["players"] * limit:
+        raise ValueError(f"{counts['errors']} of {counts['players']} players failed")
+    return counts
+
+
 def sample_players(labels: DataFrame, events: DataFrame, players: int = 3, per_player: int = 3) -> DataFrame:
     """The first observed events of the first players by id.
 

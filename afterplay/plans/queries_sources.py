@@ -35,6 +35,7 @@ from afterplay.sources.readers import (
     scan_json_lines,
     scan_json_lines_strict,
     scan_keyed_document,
+    write_json_rows,
 )
 from afterplay.sources.schemas import MATCH, MATCH_PLAYERS, RACE_LOG, SCORE_LOG
 from afterplay.sources.writers import write_csv, write_json_lines
@@ -115,6 +116,19 @@ def scan_jsonl_malformed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "write_jsonl_counted",
+    "SELECT count(DISTINCT user_id) AS records, 7 * count(DISTINCT user_id) AS malformed, count(*) AS events FROM events",
+)
+def write_jsonl_counted(spark: SparkSession, folder: str) -> DataFrame:
+    """Good rows go to a table; how many lines were good and bad comes from the same pass."""
+    lines = spark.read.text(_race_log_file(spark, folder, broken=True))
+    path = scratch_path(spark, "good-lines")
+    counts = write_json_rows(lines, RACE_LOG, path)
+    held = spark.read.parquet(path).agg(F.sum(F.size("records")).cast("bigint").alias("events"))
+    return held.select(F.lit(counts["records"]).alias("records"), F.lit(counts["malformed"]).alias("malformed"), "events")
+
+
 @query("scan_jsonl_strict", "SELECT CAST(user_id AS VARCHAR) AS uid, count(*) AS n FROM events GROUP BY user_id")
 def scan_jsonl_strict(spark: SparkSession, folder: str) -> DataFrame:
     path = _race_log_file(spark, folder, broken=False)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from afterplay.functions.identity import ID_FIELDS, id_text
 from afterplay.sources.documents import scan_array_document, scan_json_document, scan_keyed_document  # noqa: F401
 from afterplay.sources.schemas import SCORE_CSV
+from afterplay.sources.writers import write_counted
 
 CORRUPT = "_corrupt"
 
@@ -101,6 +102,14 @@ def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def write_json_rows(lines: DataFrame, schema: T.StructType, path: str) -> dict[str, int]:
+    """Write the rows that parsed to ``path`` and count ``records`` and ``malformed`` lines in the same pass."""
+    others = [c for c in lines.columns if c != "value"]
+    parsed = _parsed(lines.filter(F.trim("value") != ""), schema).select(*others, *_fields(schema), _good().alias("_is_good"))
+    good = F.col("_is_good")
+    return write_counted(parsed, path, {"records": good, "malformed": ~good}, good, drop=("_is_good",))
+
+
 def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> JsonLines:
     """One object per line. Bad lines are set aside instead of failing; blank lines are ignored."""
     return JsonLines.parse(spark.read.text(path).filter(F.trim("value") != ""), schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 def write_json_lines(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
@@ -20,3 +20,18 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def write_counted(
+    df: DataFrame, path: str, counts: dict[str, Column], where: Column | None = None, drop: tuple[str, ...] = ()
+) -> dict[str, int]:
+    """Write the rows for which ``where`` holds, without some columns, and count over all rows in the same pass.
+
+    A count is the number of rows for which its condition holds. A stage that runs again after a
+    lost executor does not count its rows twice.
+    """
+    seen = Observation()
+    observed = df.observe(seen, *[F.count_if(condition).alias(name) for name, condition in counts.items()])
+    kept = observed if where is None else observed.filter(where)
+    write_table(kept.drop(*drop), path)
+    return {name: seen.get[name] for name in counts}

@@ -1,6 +1,7 @@
 """Readers, adapters, intake and slicing on small files and the smallest tables."""
 
 import json
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -12,6 +13,7 @@ from afterplay.operators.events import assign_windows, nest_events, nest_labelle
 from afterplay.operators.hot import HotPolicy
 from afterplay.operators.player_table import churn_labels, player_table
 from afterplay.operators.profile import describe_paths, profile_json_document, profile_nested, profile_paths, text_kind
+from afterplay.operators.stats import flag_invalid_players, write_valid_players
 from afterplay.plans.fragments import RACE, SCORE
 from afterplay.plans.queries_rows import race_events, score_events
 from afterplay.sources.adapters import events_from_race_logs, events_from_score_csv, events_from_score_logs
@@ -25,6 +27,7 @@ from afterplay.sources.readers import (
     scan_json_lines,
     scan_json_lines_strict,
     scan_keyed_document,
+    write_json_rows,
 )
 from afterplay.sources.schemas import RACE_LOG, SCORE_LOG
 from afterplay.sources.writers import write_json_lines
@@ -263,6 +266,34 @@ def test_paths_at_any_depth(spark):
     assert profile_paths(rows.limit(0), "record").count() == 0
 
 
+def jobs_of(spark, work):
+    """What ``work`` returns, and how many jobs it took."""
+    group = f"counted-{id(work)}-{time.time()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = work()
+        return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    path = write(tmp_path / "logs.jsonl", log("a", race(1, reward=2)), "broken", "  ", '{"uid":"x"},"y":1', log("b", race(3, reward=4)))
+    counts, jobs = jobs_of(spark, lambda: write_json_rows(spark.read.text(path), RACE_LOG, str(tmp_path / "good")))
+    assert counts == {"records": 2, "malformed": 2} and jobs == 1
+    written = spark.read.parquet(str(tmp_path / "good"))
+    assert sorted(r.uid for r in written.collect()) == ["a", "b"] and "_is_good" not in written.columns
+    empty = write(tmp_path / "empty.jsonl", "")
+    assert write_json_rows(spark.read.text(empty), RACE_LOG, str(tmp_path / "none")) == {"records": 0, "malformed": 0}
+    players = spark.createDataFrame([("a", [1], 1)] * 19 + [("", [1], 1)], "player_id string, observation_records array<int>, op_event_count int")
+    players.write.parquet(str(tmp_path / "players"))
+    flagged = flag_invalid_players(spark.read.schema(players.schema).parquet(str(tmp_path / "players")))
+    counts, jobs = jobs_of(spark, lambda: write_valid_players(flagged, str(tmp_path / "valid")))
+    assert counts == {"players": 20, "errors": 1} and jobs == 1 and spark.read.parquet(str(tmp_path / "valid")).count() == 19
+    with pytest.raises(ValueError, match="2 of 3"):
+        write_valid_players(flag_invalid_players(players.limit(1).unionAll(players.filter("player_id = ''")).unionAll(players.filter("player_id = ''"))), str(tmp_path / "bad"))
+
+
 def test_text_kinds(spark):
     values = ["plain", "[1, 2]", '{"a": 1}', "5", "2.5", "true", "null", None, '"x"', "5 apples", "1, 2"]
     rows = spark.createDataFrame([(v,) for v in values], "t string")
