@@ -272,6 +272,15 @@ def training_matrix(table: DataFrame, preparation: Preparation, scaled: bool = T
     return TrainingMatrix(preparation, scaled, assembler, rows, {0: check.zeros, 1: check.ones})
 
 
+def without_summary(model: Model) -> Model:
+    """The model without the summary of its training.
+
+    Tasks that predict get the model with all it holds. A summary holds the session, which cannot be
+    sent to tasks any more once a count was observed in it. Copies of tree models have no summary.
+    """
+    return model.copy()
+
+
 def train_model(
     config: ModelConfig, matrix: TrainingMatrix, estimator: EstimatorFactory | None = None
 ) -> FittedModel:
@@ -281,7 +290,7 @@ def train_model(
     if factory is None:
         raise ValueError(f"{config.name} names no learner of {list(ESTIMATORS)} and has no estimator of its own")
     total = float(sum(matrix.class_rows.values()))
-    model = factory(config.params, total).fit(matrix.weighted(balanced))
+    model = without_summary(factory(config.params, total).fit(matrix.weighted(balanced)))
     pipeline = PipelineModel([matrix.assembler, model])
     return FittedModel(config.name, config.params, matrix.preparation, pipeline, matrix.scaled)
 

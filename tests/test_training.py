@@ -6,7 +6,7 @@ import warnings
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from afterplay.operators.metrics import roc_auc
 from afterplay.operators.prepare import fit_preparation
@@ -196,3 +196,11 @@ def test_predictions_of_all_models(data, result):
     rows = all_predictions(result, [data])
     assert rows.count() == 3 * data.held_out.count()
     assert rows.filter("score NOT BETWEEN 0 AND 1").isEmpty()
+
+
+@pytest.mark.parametrize("model", ["DecisionTree", "RandomForest"])
+def test_trees_predict_after_an_observed_count(spark, data, model):
+    spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    grid = run_grid(spark, [data], [QUICK.get(model)])
+    assert grid.metrics.filter("error IS NOT NULL").isEmpty()
+    assert set(values(grid, model)) == {"roc_auc", "accuracy", "precision", "recall", "f1_score"}
