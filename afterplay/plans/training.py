@@ -23,6 +23,7 @@ from afterplay.operators.prepare import (
     fit_preparation,
     fit_separately,
 )
+from afterplay.session import scratch_path
 
 TARGET = "churned"
 
@@ -276,9 +277,15 @@ def without_summary(model: Model) -> Model:
     """The model without the summary of its training.
 
     Tasks that predict get the model with all it holds. A summary holds the session, which cannot be
-    sent to tasks any more once a count was observed in it. Copies of tree models have no summary.
+    sent to tasks any more once a count was observed in it. Copies of tree models have no summary;
+    those of linear models keep it, but a stored model has none.
     """
-    return model.copy()
+    bare = model.copy()
+    if not getattr(bare, "hasSummary", False):
+        return bare
+    path = scratch_path(SparkSession.active(), "fitted")
+    bare.write().overwrite().save(path)
+    return type(bare).load(path)
 
 
 def train_model(

@@ -12,6 +12,7 @@ from afterplay.operators.metrics import roc_auc
 from afterplay.operators.prepare import fit_preparation
 from afterplay.plans.dataset import Game, build_all, load_dataset
 from afterplay.plans.fragments import RACE
+from afterplay.plans.queries_models import model_leaderboard
 from afterplay.plans.queries_rows import race_events
 from afterplay.plans.training import (
     FLAT_PARAMS,
@@ -204,3 +205,18 @@ def test_trees_predict_after_an_observed_count(spark, data, model):
     grid = run_grid(spark, [data], [QUICK.get(model)])
     assert grid.metrics.filter("error IS NOT NULL").isEmpty()
     assert set(values(grid, model)) == {"roc_auc", "accuracy", "precision", "recall", "f1_score"}
+
+
+def test_linear_models_predict_after_an_observed_count(spark, data):
+    spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    matrix = training_matrix(data.train, fit_preparation(data.train))
+    model = train_model(QUICK.get("LogisticRegression"), matrix)
+    fitted = logistic_regression(model.params, 400.0).fit(matrix.weighted(True))
+    assert model.classifier.coefficients == fitted.coefficients and model.classifier.intercept == fitted.intercept
+    assert model.predict(data.held_out).filter("score BETWEEN 0 AND 1").count() == data.held_out.count()
+
+
+def test_leaderboard_ranks_all_models_after_an_observed_count(spark, sf_dir):
+    spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    rows = {(r.dataset, r.model) for r in model_leaderboard(spark, sf_dir).collect()}
+    assert rows == {(d, m) for d in ("score", "race") for m in ModelRegistry().names()}
