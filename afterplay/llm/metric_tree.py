@@ -275,8 +275,12 @@ def build(vectors: DataFrame, tree_rows: int = TREE_ROWS, most_pivots: int = PIV
 
 
 def _searched(blocks: DataFrame, index: Index, k: int) -> DataFrame:
-    """Rows of (block, number, query, bound, id, score) for every block at every tree it is sent to."""
-    pairs = blocks.join(index.trees, ["pivot", "part"]).select("block", "queries", "tree")
+    """Rows of (block, query, id, score) for every block at every tree it is sent to.
+
+    Blocks and trees meet by a shuffle. Spark takes blocks for as small as the file they come from, however
+    many trees each one goes to, and would collect them all in the driver to broadcast them.
+    """
+    pairs = blocks.hint("merge").join(index.trees, ["pivot", "part"]).select("block", "queries", "tree")
     width = index.width
     names = ["block", "query", "id", "score"]
 

@@ -293,6 +293,17 @@ def test_awkward_vectors(spark):
             assert [(-r.score, r.vec_id) for r in mine] == best
 
 
+def test_query_blocks_go_to_their_trees_by_a_shuffle(spark):
+    """A block is repeated for every tree it is sent to; no copy of all of that may be made in the driver."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(600)]
+    vectors = metric_tree.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).cache()
+    found = metric_tree.top_k(vectors.filter("id % 50 = 0"), metric_tree.build(vectors, tree_rows=64), 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [pivot" in plan and "Broadcast" not in plan
+    assert found.count() == 3 * 12
+
+
 def losses_by_hand(rows, good):
     """``id, tokens, losses`` of each row by the whole models, over the tokenizer's ids."""
     from tokenizers import Tokenizer
