@@ -24,6 +24,7 @@ from afterplay.operators.prepare import (
     fit_separately,
 )
 from afterplay.session import scratch_path
+from afterplay.sources.writers import write_table
 
 TARGET = "churned"
 
@@ -145,6 +146,7 @@ EstimatorFactory = Callable[[dict[str, Any], float], Estimator]
 
 
 def _tree(params: dict[str, Any], trees: int, bootstrap: bool) -> RandomForestClassifier:
+    """Each row remembers its node in every tree. Else all trees so far travel with the tasks of every level."""
     subset = {"auto": "auto", "sqrt": "sqrt", "log2": "log2", None: "all"}[params.get("max_features")]
     return RandomForestClassifier(
         labelCol=TARGET,
@@ -156,7 +158,7 @@ def _tree(params: dict[str, Any], trees: int, bootstrap: bool) -> RandomForestCl
         maxDepth=params.get("max_depth") or DEEPEST_TREE,
         minInstancesPerNode=params.get("min_samples_leaf", 1),
         seed=params.get("random_state", 42),
-        cacheNodeIds=False,
+        cacheNodeIds=True,
     )
 
 
@@ -319,10 +321,16 @@ def check_held_out(model: FittedModel, table: DataFrame) -> None:
 
 
 def evaluate_model(model: FittedModel, table: DataFrame, checked: bool = False) -> DataFrame:
-    """All metrics of a fitted model on a labelled feature table, in one wide row."""
+    """All metrics of a fitted model on a labelled feature table, in one wide row.
+
+    Predictions go through a file in the scratch folder: every stage behind a prediction would carry
+    the model again, and deep forests are large.
+    """
     if not checked:
         check_held_out(model, table)
-    return evaluate(model.predict(table), label=TARGET)
+    path = scratch_path(table.sparkSession, "predictions")
+    write_table(model.predict(table), path)
+    return evaluate(table.sparkSession.read.parquet(path), label=TARGET)
 
 
 # Storage ---------------------------------------------------------------------------------

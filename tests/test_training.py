@@ -23,6 +23,7 @@ from afterplay.plans.training import (
     evaluate_model,
     load_model,
     logistic_regression,
+    random_forest,
     run_grid,
     save_model,
     train_model,
@@ -220,3 +221,21 @@ def test_leaderboard_ranks_all_models_after_an_observed_count(spark, sf_dir):
     spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
     rows = {(r.dataset, r.model) for r in model_leaderboard(spark, sf_dir).collect()}
     assert rows == {(d, m) for d in ("score", "race") for m in ModelRegistry().names()}
+
+
+def test_deep_trees_do_not_travel_with_the_rows_of_each_level(data):
+    """Rows that remember their nodes grow the same trees as rows that are led through them."""
+    matrix = training_matrix(data.train, fit_preparation(data.train))
+    learner = random_forest(FLAT_PARAMS["RandomForest"] | {"n_estimators": 10}, 400.0)
+    assert learner.getCacheNodeIds()
+    grown = [e.fit(matrix.weighted(False)) for e in (learner, learner.copy().setCacheNodeIds(False))]
+    assert grown[0].toDebugString == grown[1].toDebugString and max(t.depth for t in grown[0].trees) > 5
+    matrix.release()
+
+
+def test_metrics_come_from_written_predictions(data, result):
+    model = result.models["toy", "RandomForest"]
+    found = evaluate_model(model, data.held_out)
+    assert "UDF" in model.predict(data.held_out)._jdf.queryExecution().toString()
+    assert "UDF" not in found._jdf.queryExecution().toString()
+    assert found.first().roc_auc == pytest.approx(values(result, "RandomForest")["roc_auc"], rel=1e-12)
