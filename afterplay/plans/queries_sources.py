@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from afterplay.functions.timing import iso_time
 from afterplay.operators.events import nest_events, nest_labelled_events
@@ -182,9 +182,8 @@ def scan_array_document_query(spark: SparkSession, folder: str) -> DataFrame:
     return scan_array_document(spark, path, kind).select("value.*", "element")
 
 
-def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Large documents of matches keyed by number: every order is a match."""
-    orders = table(spark, folder, "orders")
+def keyed_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """``bucket, key, value``: matches and the documents they belong to. Every order is a match."""
     match = F.struct(
         F.col("o_orderpriority").alias("server"),
         (F.col("o_orderstatus") == "F").alias("official"),
@@ -194,14 +193,39 @@ def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
             F.struct(F.col("o_orderpriority").alias("name"), F.col("o_custkey").alias("score")),
         ).alias("teams"),
     )
-    entry = F.struct(F.col("o_orderkey").cast("string").alias("key"), match.alias("value"))
+    return table(spark, folder, "orders").select(
+        F.floor(F.col("o_orderkey") / ENTRIES).alias("bucket"), F.col("o_orderkey").cast("string").alias("key"), match.alias("value")
+    )
+
+
+def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Large documents of matches keyed by number, as column values."""
     return (
-        orders.groupBy(F.floor(F.col("o_orderkey") / ENTRIES).alias("bucket"))
-        .agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
+        keyed_matches(spark, folder)
+        .groupBy("bucket")
+        .agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
         .select("bucket", F.to_json("m").alias("value"))
     )
 
 
+def write_keyed_documents(spark: SparkSession, folder: str, path: str) -> None:
+    """The same documents as files, written member by member, so that no task holds a whole one."""
+    inside = Window.partitionBy("bucket").orderBy("key")
+    repeated = F.lag("key").over(inside) == F.col("key")
+    twice = F.raise_error(F.concat(F.lit("duplicate map key "), F.col("key")))
+    member = F.to_json(F.create_map("key", "value"))  # {"key":{...}}; refuses a null key
+    lines = keyed_matches(spark, folder).select(
+        "bucket",
+        "key",
+        F.when(F.row_number().over(inside) == 1, "{").otherwise(",").alias("before"),
+        F.when(repeated, twice).otherwise(member).alias("member"),
+        F.when(F.lead("key").over(inside).isNull(), "}").otherwise("").alias("behind"),
+    )
+    line = F.concat("before", F.expr("substring(member, 2, length(member) - 2)"), "behind")
+    ordered = lines.select("bucket", "key", line.alias("value")).sortWithinPartitions("bucket", "key")
+    ordered.drop("key").write.partitionBy("bucket").text(path)
+
+
 MATCHES_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS match_id, o_orderpriority AS server, o_orderstatus = 'F' AS official,
         0 AS team, o_orderstatus AS team_name, CAST(floor(o_totalprice) AS BIGINT) AS team_score FROM orders
        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderpriority, o_orderstatus = 'F', 1,
@@ -218,7 +242,7 @@ def explode_keyed_json(spark: SparkSession, folder: str) -> DataFrame:
 @query("scan_keyed_document", MATCHES_SQL)
 def scan_keyed_document_query(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "matches")
-    keyed_documents(spark, folder).write.partitionBy("bucket").text(path)
+    write_keyed_documents(spark, folder, path)
     return explode_matches(scan_keyed_document(spark, path, MATCH)).select(*MATCH_COLUMNS)
 
 

@@ -16,6 +16,7 @@ from afterplay.operators.profile import describe_paths, profile_json_document, p
 from afterplay.operators.stats import flag_invalid_players, write_valid_players
 from afterplay.plans.fragments import RACE, SCORE
 from afterplay.plans.queries_rows import race_events, score_events
+from afterplay.plans.queries_sources import keyed_documents, write_keyed_documents
 from afterplay.sources.adapters import events_from_race_logs, events_from_score_csv, events_from_score_logs
 from afterplay.sources.readers import (
     first_json_lines,
@@ -361,6 +362,51 @@ def test_keyed_document_is_read_by_structure(spark, tmp_path, style):
     assert {r.key: (r.value.server, r.value.port) for r in rows} == {k: (v["server"], v["port"]) for k, v in root.items()}
 
 
+@pytest.mark.parametrize("split", ["7", "40", "100000"])
+def test_members_are_found_wherever_a_split_begins(spark, tmp_path, split):
+    """Splits that begin inside strings, in nested values and in one value that spans many splits."""
+    long = {"a": [{"t": 'x,"y":{[ \\", ' * 9}, [[1, 2], [3, ["],[", {"}": "{"}]]]]}
+    root = {"k0": long, "k1": 5, "k2": ["],{", long], "k3": {}, "k4": '",{' * 20, "k5": {"a": 1}}
+    (tmp_path / "keyed.json").write_text(json.dumps(root))
+    (tmp_path / "list.json").write_text(json.dumps([*root.values()], separators=(",", ":")))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        keyed = scan_keyed_document(spark, str(tmp_path / "keyed.json"), T.VariantType()).collect()
+        listed = scan_array_document(spark, str(tmp_path / "list.json"), T.VariantType()).orderBy("element").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.key: r.value.toPython() for r in keyed} == root and len(keyed) == len(root)
+    assert [r.value.toPython() for r in listed] == [*root.values()]
+
+
+def test_documents_are_written_member_by_member(spark, tmp_path):
+    """No task gathers a document: it is 50 000 members, whatever else its task has to do."""
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    day = datetime(2024, 1, 1)
+    keys = [3, 49_999, 50_000, 100_000, 1]
+    rows = [(k, k + 7, None if k == 3 else "F", 1.5 * k, day, '5,"LOW') for k in keys]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "good" / "orders.parquet"))
+    write_keyed_documents(spark, str(tmp_path / "good"), str(tmp_path / "out"))
+    files = {f.parent.name: f for f in (tmp_path / "out").glob("*/part-*")}
+    found = {name: json.loads(f.read_text()) for name, f in files.items()}
+    whole = {f"bucket={r.bucket}": json.loads(r.value) for r in keyed_documents(spark, str(tmp_path / "good")).collect()}
+    assert found == whole and sorted(map(len, found.values())) == [1, 1, 3]
+    assert all(f.read_text().count("\n") == len(found[name]) for name, f in files.items())
+    for name, more, message in (("twice", 3, "(?i)duplicate map key"), ("null", None, "NULL_MAP_KEY")):
+        spark.createDataFrame([*rows, (more, 1, "F", 1.0, day, "x")], schema).write.parquet(str(tmp_path / name / "orders.parquet"))
+        with pytest.raises(Exception, match=message):
+            write_keyed_documents(spark, str(tmp_path / name), str(tmp_path / f"{name}-out"))
+
+
+def test_text_of_a_document_is_moved_twice(spark, tmp_path):
+    """To its split and to its member; the counts of splits read it once more and move numbers only."""
+    (tmp_path / "doc.json").write_text('{"a": 1, "b": [2, 3]}')
+    rows = scan_keyed_document(spark, str(tmp_path / "doc.json"), T.VariantType())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 2
+
+
 def test_order_of_rows_does_not_matter(spark, sf_dir):
     events = race_events(spark, sf_dir)
     shuffled = events.repartition(13, "pos")
