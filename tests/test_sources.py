@@ -14,9 +14,11 @@ from afterplay.operators.hot import HotPolicy
 from afterplay.operators.player_table import churn_labels, player_table
 from afterplay.operators.profile import describe_paths, profile_json_document, profile_nested, profile_paths, text_kind
 from afterplay.operators.stats import flag_invalid_players, write_valid_players
+from afterplay.plans import queries_profile
 from afterplay.plans.fragments import RACE, SCORE
 from afterplay.plans.queries_rows import race_events, score_events
 from afterplay.plans.queries_sources import keyed_documents, write_keyed_documents
+from afterplay.plans.registry import REGISTRY
 from afterplay.sources.adapters import events_from_race_logs, events_from_score_csv, events_from_score_logs
 from afterplay.sources.readers import (
     first_json_lines,
@@ -399,6 +401,13 @@ def test_documents_are_written_member_by_member(spark, tmp_path):
             write_keyed_documents(spark, str(tmp_path / name), str(tmp_path / f"{name}-out"))
 
 
+@pytest.mark.parametrize("name, shown", [("profile_json_document", ("dict", 1500, "yes"))])
+def test_profiled_documents_are_written_member_by_member(spark, sf_dir, tmp_path, monkeypatch, name, shown):
+    monkeypatch.setattr(queries_profile, "scratch_path", lambda _, kind: str(tmp_path / kind))
+    assert [tuple(r) for r in REGISTRY[name].run(spark, sf_dir).collect()] == [shown]
+    assert sum(f.read_text().count("\n") for f in tmp_path.glob("*/bucket=*/part-*")) == 1500
+
+
 def test_text_of_a_document_is_moved_twice(spark, tmp_path):
     """To its split and to its member; the counts of splits read it once more and move numbers only."""
     (tmp_path / "doc.json").write_text('{"a": 1, "b": [2, 3]}')
