@@ -17,7 +17,7 @@ from afterplay.operators.profile import (
     sample_records,
     sample_values,
 )
-from afterplay.plans.queries_sources import keyed_documents, write_keyed_documents
+from afterplay.plans.queries_sources import write_keyed_documents
 from afterplay.plans.registry import query, table
 from afterplay.session import scratch_path
 
@@ -206,5 +206,5 @@ def profile_json_document_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("profile_keyed_members", "SELECT 'dict' AS kind, count(*) AS n FROM orders")
 def profile_keyed_members_query(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "profile-members")
-    keyed_documents(spark, folder).write.partitionBy("bucket").text(path)
+    write_keyed_documents(spark, folder, path)
     return profile_keyed_members(spark, path)

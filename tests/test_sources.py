@@ -401,7 +401,7 @@ def test_documents_are_written_member_by_member(spark, tmp_path):
             write_keyed_documents(spark, str(tmp_path / name), str(tmp_path / f"{name}-out"))
 
 
-@pytest.mark.parametrize("name, shown", [("profile_json_document", ("dict", 1500, "yes"))])
+@pytest.mark.parametrize("name, shown", [("profile_json_document", ("dict", 1500, "yes")), ("profile_keyed_members", ("dict", 1500))])
 def test_profiled_documents_are_written_member_by_member(spark, sf_dir, tmp_path, monkeypatch, name, shown):
     monkeypatch.setattr(queries_profile, "scratch_path", lambda _, kind: str(tmp_path / kind))
     assert [tuple(r) for r in REGISTRY[name].run(spark, sf_dir).collect()] == [shown]
