@@ -421,6 +421,8 @@ def run_grid(
             continue
         checked = False
         for config in configs:
+            # what the models before left in the driver goes once it has collected their plans
+            spark._jvm.System.gc()
             try:
                 model = train_model(config, matrices[_is_scaled(config, scale)])
                 tested = replace(model, preparation=held_prep)
